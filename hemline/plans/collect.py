@@ -38,7 +38,10 @@ def listing_products(listings: DataFrame, run_date: str, keep: list[str] | None
     categories = F.col("p.frontCategoryInfo")
 
     def names(field: str):
-        return F.transform(F.coalesce(categories, F.array().cast(ranked.schema["p"].dataType["frontCategoryInfo"].dataType)), lambda c: c[field])
+        return F.transform(categories, lambda c: c[field])
+
+    def kept_names(field: str, excluded: list[str]):
+        return F.coalesce(distinct_names(names(field), excluded), F.array().cast("array<string>"))
 
     return ranked.select(
         *keep, "ranking",
@@ -56,8 +59,8 @@ def listing_products(listings: DataFrame, run_date: str, keep: list[str] | None
         membership_flag(
             names("categoryLargeName"), LARGE_CATEGORY_MALE, LARGE_CATEGORY_FEMALE, ("M/W", "M", "W")
         ).alias("gender"),
-        distinct_names(names("categoryMediumName"), EXCLUDED_MEDIUM_CATEGORIES).alias("categoryMediumNames"),
-        distinct_names(names("categorySmallName"), EXCLUDED_SMALL_CATEGORIES).alias("categorySmallNames"),
+        kept_names("categoryMediumName", EXCLUDED_MEDIUM_CATEGORIES).alias("categoryMediumNames"),
+        kept_names("categorySmallName", EXCLUDED_SMALL_CATEGORIES).alias("categorySmallNames"),
         F.lit(PLATFORM_29CM).alias("platform"),
         F.lit(run_date).alias("created_at"),
         F.concat(F.lit(IMAGE_HOST_29CM), "p.imageUrl").alias("img_url"),

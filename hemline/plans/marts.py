@@ -13,38 +13,52 @@ from hemline.operators.lookup import broadcast_if_small
 from hemline.operators.project import difference
 
 _DETAIL = [
-    "product_name", "img_url", "brand_name_kr", "original_price", "final_price",
+    "img_url", "brand_name_kr", "original_price", "final_price",
     "discount_ratio", "review_counting", "review_avg_rating", "like_counting",
 ]
 
 
-def _product_columns(r: DataFrame, p: DataFrame) -> list:
-    levels = [category_level(p["master_category_name"], n).alias(f"cat_depth_{n}") for n in (1, 2, 3)]
+def _side(df: DataFrame, prefix: str) -> DataFrame:
+    """The frame with prefixed names, so that both join sides may come from one lineage."""
+    return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
+
+
+def _product_columns() -> list:
+    levels = [category_level("p_master_category_name", n).alias(f"cat_depth_{n}") for n in (1, 2, 3)]
+
+    def renamed(prefix: str, names: list[str]) -> list:
+        return [F.col(prefix + name).alias(name) for name in names]
+
     return [
-        r["platform"], *levels, p["small_category_name"], r["product_id"], p["product_name"], r["ranking"],
-        *[p[c] for c in _DETAIL[1:]], r["created_at"],
+        *renamed("r_", ["platform"]), *levels, *renamed("p_", ["small_category_name"]),
+        *renamed("r_", ["product_id"]), *renamed("p_", ["product_name"]), *renamed("r_", ["ranking"]),
+        *renamed("p_", _DETAIL), *renamed("r_", ["created_at"]),
     ]
 
 
+def _same(*names: str):
+    return [F.col(f"r_{name}") == F.col(f"p_{name}") for name in names]
+
+
 def product_ranking_detail(ranking: DataFrame, detail: DataFrame) -> DataFrame:
     """Ranked products with their details, joined on product and platform only: a product
     listed in several categories meets each of its detail rows."""
-    r, p = ranking.alias("r"), detail.alias("p")
-    same = (F.col("r.product_id") == F.col("p.product_id")) & (F.col("r.platform") == F.col("p.platform"))
-    return r.join(p, same).select(*_product_columns(ranking, detail))
+    joined = _side(ranking, "r_").join(_side(detail, "p_"), _same("product_id", "platform"))
+    return joined.select(*_product_columns())
 
 
 def total_product(ranking: DataFrame, master_category: DataFrame, detail: DataFrame) -> DataFrame:
     """Every ranked product with the details of the same product, platform and category,
-    NULL where there are none. The category table only has to know the name once."""
-    known = master_category.select(F.col("master_category_name").alias("_category")).distinct()
-    ranked = ranking.join(known, ranking["master_category_name"] == known["_category"], "left")
-    same = (
-        (ranking["product_id"] == detail["product_id"])
-        & (ranking["platform"] == detail["platform"])
-        & (ranking["master_category_name"] == detail["master_category_name"])
-    )
-    return ranked.join(detail, same, "left").select(*_product_columns(ranking, detail))
+    NULL where there are none.
+
+    The category table adds no column and, being distinct, no row: the optimizer drops
+    that join.
+    """
+    known = master_category.select(F.col("master_category_name").alias("r_category")).distinct()
+    ranked = _side(ranking, "r_")
+    ranked = ranked.join(known, ranked["r_master_category_name"] == known["r_category"], "left")
+    same = _same("product_id", "platform", "master_category_name")
+    return ranked.join(_side(detail, "p_"), same, "left").select(*_product_columns())
 
 
 def keyword_trend(trend: DataFrame) -> DataFrame:
