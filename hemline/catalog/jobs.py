@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hemline.catalog.nested import line_words
-from hemline.catalog.registry import query, table
+from hemline.catalog.registry import query, table, texts
+from hemline.operators.nested import components_of_kind
 from hemline.plans import category, collect, product, ranking, review, snap, trend, video, weather
 from hemline.sources.readers import SOURCE_PATH
 
@@ -21,7 +22,7 @@ def _joined(*parts):
 
 
 def _ably_listing(spark, d):
-    raw = table(spark, d, "part").select(
+    raw = texts(spark, d, "part").select(
         F.struct(
             F.when(F.col("p_partkey") % 7 != 3, F.struct(F.col("p_partkey").alias("goods_sno"))).alias("like"),
             _joined("'img/", "p_partkey").alias("image"), F.col("p_size").alias("ranking"),
@@ -66,7 +67,7 @@ def ably_ranking(spark, d):
 
 def _cm29_listing(spark, d):
     folder = F.when(F.col("p_size") % 2 == 0, "Man").when(F.col("p_size") % 5 == 0, "Kids").otherwise("Woman")
-    raw = table(spark, d, "part").select(
+    raw = texts(spark, d, "part").select(
         _text("p_size").alias("ranking"), _text("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
         F.col("p_brand").alias("brand_name_kr"), F.upper("p_brand").alias("brand_name_en"),
         _text("p_retailprice").alias("original_price"), F.lit("n/a").alias("final_price"),
@@ -163,7 +164,7 @@ def musinsa_product_detail(spark, d):
         _joined("'/img/", "p_partkey").alias("image_src"), F.lit(RUN_DATE).alias("created_at"),
     ))
     broken = F.when(F.col("p_size") == 13, F.concat(F.lit("<html>"), record)).otherwise(record)
-    return product.musinsa_product_detail(table(spark, d, "part").select(broken.alias("value")))
+    return product.musinsa_product_detail(texts(spark, d, "part").select(broken.alias("value")))
 
 
 @query("musinsa_ranking", """
@@ -181,7 +182,7 @@ def musinsa_ranking(spark, d):
 
     modules = F.transform(F.split("text", "\n"), lambda x: F.struct(
         F.when(F.length(x) % 5 != 0, F.transform(F.split(x, " "), item)).alias("items")))
-    docs = table(spark, d, "documents").select(
+    docs = texts(spark, d, "documents").select(
         F.struct(modules.alias("modules")).alias("data"),
         F.concat(F.lit("s3a://zone/ranking_data/x/여성_상의_"), "lang", F.lit("_"), "source", F.lit(".json")).alias(SOURCE_PATH),
     )
@@ -195,7 +196,7 @@ select cast(user_id as int) as product_id, props as review_content, cast(trunc(v
 from events
 """)
 def ably_reviews(spark, d):
-    raw = table(spark, d, "events").select(
+    raw = texts(spark, d, "events").select(
         _text("user_id").alias("goods_sno"), F.col("props").alias("contents"), _text("value").alias("eval"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
         F.nullif(_text("user_id"), F.lit("7")).alias("height"), F.lit("private").alias("weight"),
@@ -213,7 +214,7 @@ from events
 """)
 def cm29_reviews(spark, d):
     height, weight = _joined("user_id", "'cm"), _joined("value", "'kg")
-    raw = table(spark, d, "events").select(
+    raw = texts(spark, d, "events").select(
         _text("user_id").alias("product_id"), F.col("props").alias("contents"), _text("value").alias("point"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("insertTimestamp"),
         F.when(F.col("user_id") % 2 == 0, F.array(height, weight)).otherwise(F.array(height)).alias("userSize"),
@@ -238,8 +239,8 @@ def musinsa_reviews(spark, d):
         F.struct(F.col("user_id").alias("userHeight"), F.when(F.col("user_id") % 2 == 0, 60).alias("userWeight")).alias("userProfileInfo"),
         F.lit("M").alias("goodsOption"),
     )
-    lines = table(spark, d, "events").select(F.to_json(F.struct(F.array(one, one).alias("list"), F.lit(2).alias("total"))).alias("value"))
-    return review.musinsa_reviews(lines, RUN_DATE)
+    docs = texts(spark, d, "events").select(F.array(one, one).alias("list"))
+    return review.musinsa_reviews(docs, RUN_DATE)
 
 
 @query("snap_brand_ranking", """
@@ -258,7 +259,7 @@ def snap_brand_ranking(spark, d):
         F.struct(F.col("n_chars").alias("rank"), F.nullif(F.col("n_chars"), F.lit(416)).alias("previousRank")).alias("ranking"),
         F.col("n_chars").alias("followerCount"), line_words("labels").alias("snaps"),
     )
-    pages = table(spark, d, "documents").select(F.struct(F.array(brand).alias("list")).alias("data"))
+    pages = texts(spark, d, "documents").select(F.struct(F.array(brand).alias("list")).alias("data"))
     return snap.brand_ranking(pages, RUN_DATE)
 
 
@@ -273,7 +274,7 @@ def snap_story_ranking(spark, d):
         F.struct(F.length("text").alias("likeCount")).alias("aggregations"),
         F.transform(F.split("text", " "), lambda w: F.struct(w.alias("name"))).alias("tags"),
     )
-    pages = table(spark, d, "conversations").select(F.struct(F.array(story).alias("list")).alias("data"))
+    pages = texts(spark, d, "conversations").select(F.struct(F.array(story).alias("list")).alias("data"))
     return snap.story_ranking(pages, "WOMEN", RUN_DATE)
 
 
@@ -289,7 +290,7 @@ def keyword_trend(spark, d):
     day = F.col("ts").cast("date")
     point = [F.struct(F.date_add(day, k).alias("period"), F.col("value").alias("ratio")) for k in (0, 1)]
     result = F.struct(F.concat("event_type", F.lit("_trend")).alias("title"), F.array("event_type").alias("keyword"), F.array(*point).alias("data"))
-    docs = table(spark, d, "events").select(
+    docs = texts(spark, d, "events").select(
         day.alias("startDate"), day.alias("endDate"), F.lit("date").alias("timeUnit"), F.array(result).alias("results")
     )
     return trend.keyword_trend(docs, "male", RUN_DATE)
@@ -311,7 +312,7 @@ def weather_daily(spark, d):
     full = F.array(*[filled.get(i, F.lit("")) for i in range(47)])
     # Records of line 3 are too short to hold the last field.
     record = F.array_join(F.when(F.col("l_linenumber") == 3, F.slice(full, 1, 40)).otherwise(full), ",")
-    lines = table(spark, d, "lineitem").select(
+    lines = texts(spark, d, "lineitem").select(
         F.explode(F.when(F.col("l_linenumber") == 1, F.array(F.lit("#START7777"), F.lit(""), record)).otherwise(F.array(record))).alias("value")
     )
     return weather.weather_daily(lines)
@@ -335,7 +336,7 @@ select 'v' || event_id as video_id, cast(null as varchar) as gender, event_type
 from events
 """)
 def videos(spark, d):
-    raw = table(spark, d, "events").select(
+    raw = texts(spark, d, "events").select(
         _joined("'v", "event_id").alias("videoId"), F.col("event_type").alias("category_name"), F.col("props").alias("title"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"), _joined("'channel ", "user_id").alias("channelName"),
         _joined("'/img/", "event_id").alias("thumbnailUrl"), _text("user_id").alias("duration"),
@@ -368,7 +369,7 @@ def video_select(spark, d):
             F.struct(F.when(k % 2 != 0, _text(k)).alias("viewCount"), none.alias("likeCount"), none.alias("commentCount")).alias("statistics"),
         )
 
-    searches = table(spark, d, "orders").select(
+    searches = texts(spark, d, "orders").select(
         _joined("'order ", "o_orderkey").alias("category_name"), F.transform(F.sequence(F.lit(0), F.lit(5)), found).alias("items")
     )
     return video.select_videos(searches).select("category_name", "videoId", "duration", "viewCount")
@@ -402,7 +403,7 @@ def listing_products(spark, d):
         F.lit(0).alias("reviewCount"), F.lit(0.0).alias("reviewAveragePoint"), F.lit(0).alias("heartCount"),
         F.lit(k == 0).alias("isSoldOut"), F.lit(False).alias("isNew"),
     ) for k in range(3)]
-    listings = table(spark, d, "part").select(
+    listings = texts(spark, d, "part").select(
         F.col("p_partkey").alias("listing"),
         F.struct(F.when(F.col("p_size") != 9, F.array(*products)).otherwise(F.slice(F.array(*products), 1, 0)).alias("products")).alias("data"),
     )
@@ -435,7 +436,7 @@ def page_products(spark, d):
     link = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<body><a href="/brand/slug'), _text("page_id"), F.lit('">b</a>'))).otherwise("<body>")
     html = F.replace(F.replace("html", F.lit("</head>"), head), F.lit("<body>"), link)
     html = F.replace(html, F.lit("</title>"), F.lit(" - 사이즈 & 후기 | shop</title>"))
-    return collect.page_products(table(spark, d, "pages").select("page_id", html.alias("html")), keep=["page_id"])
+    return collect.page_products(texts(spark, d, "pages").select("page_id", html.alias("html")), keep=["page_id"])
 
 
 def _component_pages(spark, d):
@@ -449,7 +450,7 @@ def _component_pages(spark, d):
             F.when(F.length(x) % 3 == 0, 9).otherwise(7).alias("component_id"), F.struct(items.alias("item_list")).alias("entity")
         )
 
-    return table(spark, d, "documents").select(
+    return texts(spark, d, "documents").select(
         "source", "doc_id", F.transform(F.split("text", "\n"), line_items).alias("components")
     )
 
@@ -478,6 +479,6 @@ from k join s using (source) group by all
 """)
 def product_work_list(spark, d):
     pages = _component_pages(spark, d)
-    items = collect.components_of_kind(pages, "components", 9, keep=["source"])
+    items = components_of_kind(pages, "components", 9, keep=["source"])
     lists = collect.product_work_list(items, "source", batch_size=5)
     return lists.withColumn("product_ids", F.array_join(F.transform("product_ids", lambda x: x.cast("string")), ","))

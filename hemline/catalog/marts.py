@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hemline.catalog.registry import query, table
 from hemline.contracts import PRODUCT_DETAIL, RANKING
 from hemline.operators.grouping import left_join_using
+from hemline.operators.lookup import broadcast_if_small
 from hemline.operators.ranking import top_items, top_n
 from hemline.plans import marts
 from hemline.plans.category import master_category
@@ -15,10 +16,11 @@ from hemline.plans.category import master_category
 def listed_products(spark, d):
     """Sold products per platform (region) and category: flag, type and brand.
 
-    Lines are aggregated per supplier region, part and flag before the part's
-    attributes are joined, so the join handles one row per listed product.
+    The supplier side is broadcast only while it is small. Lines are aggregated per
+    region, part and flag before the part's attributes are joined, so that join handles
+    one row per listed product.
     """
-    region = (
+    region = broadcast_if_small(
         table(spark, d, "supplier")
         .join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -37,10 +39,13 @@ def listed_products(spark, d):
 
 
 def ranking_and_detail(spark, d):
-    """The 50 best sold products of every category, and the details of products above size 5."""
+    """The 50 best sold products of every category, and the details of products above size 5.
+
+    Both need the same aggregate, so its shuffle is done once and reused.
+    """
     listed = listed_products(spark, d)
     keys = ["platform", "master_category_name"]
-    best = top_n(listed, keys, [F.desc("qty"), F.asc("p_partkey")], 50, "ranking")
+    best = top_n(listed, keys, [F.desc("qty"), F.desc("n_lines"), F.asc("p_partkey")], 50, "ranking")
     ranking = RANKING.conform(best, {"product_id": "p_partkey", "created_at": F.lit("2025-01-02")})
     detail = PRODUCT_DETAIL.conform(listed.where("p_size > 5"), {
         "small_category_name": F.col("p_size").cast("string"), "product_id": "p_partkey",
@@ -58,7 +63,7 @@ with l as (select r_name as platform, concat_ws('-', l_returnflag, p_type, p_bra
            from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
                 join region on n_regionkey = r_regionkey join part on l_partkey = p_partkey group by all),
 r as (select * from (select platform, category, p_partkey,
-                            row_number() over (partition by platform, category order by qty desc, p_partkey) as rk from l) where rk <= 50),
+                            row_number() over (partition by platform, category order by qty desc, n_lines desc, p_partkey) as rk from l) where rk <= 50),
 p as (select * from l where p_size > 5)
 select r.platform, split_part(p.category, '-', 1) as cat_depth_1, split_part(p.category, '-', 2) as cat_depth_2,
        split_part(p.category, '-', 3) as cat_depth_3, cast(p.p_size as varchar) as small_category_name,

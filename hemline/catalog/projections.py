@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hemline.catalog.registry import query, table
+from hemline.catalog.registry import query, table, texts
 from hemline.contracts import Field, TableContract
 from hemline.functions import arrays, dates, documents, text
 from hemline.operators import grouping, lookup, project
@@ -200,7 +200,7 @@ def iso_duration(spark, d):
     n = F.col("n_chars")
     hours, minutes = F.floor(n / 3600).cast("string"), F.floor(n % 3600 / 60).cast("string")
     full = F.concat(F.lit("PT"), hours, F.lit("H"), minutes, F.lit("M"), (n % 60).cast("string"), F.lit("S"))
-    return table(spark, d, "documents").select(
+    return texts(spark, d, "documents").select(
         "doc_id",
         text.duration_seconds(full).alias("seconds"),
         text.duration_seconds(F.concat(F.lit("PT"), (n % 60).cast("string"), F.lit("S"))).alias("short_seconds"),
@@ -280,7 +280,7 @@ from pages
 """)
 def url_parts(spark, d):
     last = text.last_path_part("url")
-    return table(spark, d, "pages").select(
+    return texts(spark, d, "pages").select(
         "page_id", text.url_host("url").alias("host"), last.alias("last_part"),
         text.text_after("url", "example.").alias("after_mark"),
         F.replace(last, F.lit("?page"), F.lit("_page")).alias("renamed"),
@@ -289,13 +289,13 @@ def url_parts(spark, d):
 
 @query("array_to_text", "select doc_id, replace(text, ' ', ', ') as words from documents")
 def array_to_text(spark, d):
-    return table(spark, d, "documents").select("doc_id", arrays.array_to_text(F.split("text", " ")).alias("words"))
+    return texts(spark, d, "documents").select("doc_id", arrays.array_to_text(F.split("text", " ")).alias("words"))
 
 
 @query("tags_to_text", "select doc_id, replace(text, ' ', ',') as tags from documents")
 def tags_to_text(spark, d):
     tags = F.transform(F.split("text", " "), lambda w: F.struct(w.alias("name"), F.length(w).alias("n")))
-    tagged = table(spark, d, "documents").select("doc_id", tags.alias("tags"))
+    tagged = texts(spark, d, "documents").select("doc_id", tags.alias("tags"))
     return tagged.select("doc_id", arrays.field_to_text("tags", "name").alias("tags"))
 
 
@@ -305,7 +305,7 @@ select doc_id, case when list_contains(w, 'the') and list_contains(w, 'le') then
 from (select doc_id, string_split(text, ' ') as w from documents)
 """)
 def set_to_flag(spark, d):
-    return table(spark, d, "documents").select(
+    return texts(spark, d, "documents").select(
         "doc_id", arrays.membership_flag(F.split("text", " "), "the", "le", ("M/W", "M", "W")).alias("gender")
     )
 
@@ -316,7 +316,7 @@ from documents
 """)
 def array_filter(spark, d):
     names = arrays.distinct_names(F.split("text", " "), ["the", "de", "of"])
-    return table(spark, d, "documents").select("doc_id", F.array_join(names, "|").alias("names"))
+    return texts(spark, d, "documents").select("doc_id", F.array_join(names, "|").alias("names"))
 
 
 @query("json_parse", "select event_id, cast(json_extract(props, '$.k') as int) as k, cast(null as int) as malformed from events")
@@ -344,7 +344,7 @@ from pages
 """)
 def html_fields(spark, d):
     links = documents.page_links("html")
-    return table(spark, d, "pages").select(
+    return texts(spark, d, "pages").select(
         "page_id", documents.page_title("html").alias("title"), documents.page_lang("html").alias("lang"),
         F.size(links).alias("n_links"), F.array_join(links, " ").alias("links"),
         documents.page_meta("html", "product:brand").alias("brand"),

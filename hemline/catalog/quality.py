@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hemline.catalog.registry import query, table
+from hemline.catalog.registry import query, table, texts
 from hemline.contracts import Field, TableContract
 from hemline.functions.casts import null_to_zero, to_double, to_int
 from hemline.functions.dates import compact_date
@@ -50,7 +50,7 @@ select doc_id, array_to_string([x for x in [
 from documents where strlen(text) > 2000 or nullif(lang, 'de') is null or strlen(source) > 4
 """)
 def contract_reject(spark, d):
-    documents = table(spark, d, "documents").withColumn("lang", F.nullif("lang", F.lit("de")))
+    documents = texts(spark, d, "documents").withColumn("lang", F.nullif("lang", F.lit("de")))
     _, rejected = DOCUMENT.split(DOCUMENT.conform(documents))
     return rejected.select("doc_id", F.array_join("reject_reasons", ",").alias("reasons"))
 
@@ -60,7 +60,7 @@ select doc_id, lang, source, strlen(text) as n_bytes from documents
 where strlen(text) <= 2000 and nullif(lang, 'de') is not null and strlen(source) <= 4
 """)
 def contract_accept(spark, d):
-    documents = table(spark, d, "documents").withColumn("lang", F.nullif("lang", F.lit("de")))
+    documents = texts(spark, d, "documents").withColumn("lang", F.nullif("lang", F.lit("de")))
     good, _ = DOCUMENT.split(DOCUMENT.conform(documents))
     return good.select("doc_id", "lang", "source", F.octet_length("text").cast("bigint").alias("n_bytes"))
 
@@ -78,7 +78,7 @@ def text_records(spark, d):
     )
     padded = F.concat(F.lit("  "), record, F.lit(" "))
     noise = [F.lit("# comment, 1"), F.lit("   "), F.lit("#START7777"), F.lit(" 7777END")]
-    lines = table(spark, d, "lineitem").select(
+    lines = texts(spark, d, "lineitem").select(
         F.explode(F.when(F.col("l_linenumber") == 1, F.array(*noise, padded)).otherwise(F.array(padded))).alias("value")
     )
     return quality.text_records(lines, ",").select(
@@ -125,7 +125,7 @@ def keep_between(spark, d):
         F.lit("PT"), F.when(n >= 3600, F.concat(F.floor(n / 3600).cast("string"), F.lit("H"))).otherwise(""),
         F.floor(n % 3600 / 60).cast("string"), F.lit("M"), (n % 60).cast("string"), F.lit("S"),
     )
-    videos = table(spark, d, "documents").select("doc_id", duration_seconds(spoken).alias("seconds"))
+    videos = texts(spark, d, "documents").select("doc_id", duration_seconds(spoken).alias("seconds"))
     return quality.keep_between(videos, "seconds", 120, 1800)
 
 
@@ -146,7 +146,7 @@ from documents where len(string_split(text, chr(10))) > 1
 """)
 def skip_empty(spark, d):
     lines = F.split("text", "\n")
-    payloads = table(spark, d, "documents").select(
+    payloads = texts(spark, d, "documents").select(
         "doc_id", (F.size(lines) - 1).alias("total"), F.slice(lines, 2, F.size(lines)).alias("entries")
     )
     return quality.skip_empty(payloads, "total", "entries").select("doc_id", "total")

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from hemline.functions.casts import to_date, to_double, to_int, to_long
 
-_CASTS = {"int": to_int, "bigint": to_long, "double": to_double, "date": to_date}
+# Casts of text; other sources are cast directly.
+_TEXT_CASTS = {"int": to_int, "bigint": to_long, "double": to_double, "date": to_date}
 
 
 @dataclass(frozen=True)
@@ -27,9 +28,12 @@ class Field:
     required: bool = False
     max_bytes: int | None = None
 
-    def cast(self, c: Column) -> Column:
-        caster = _CASTS.get(self.type)
-        return caster(c) if caster else c.try_cast(self.type)
+    def cast(self, c: Column, source_type: str) -> Column:
+        if source_type == self.type:
+            return c
+        if source_type == "string" and self.type in _TEXT_CASTS:
+            return _TEXT_CASTS[self.type](c)
+        return c.try_cast(self.type)
 
 
 @dataclass(frozen=True)
@@ -63,7 +67,9 @@ class TableContract:
             c = mapping.get(f.name, f.name)
             return F.col(c) if isinstance(c, str) else c
 
-        return df.select(*[f.cast(source(f)).alias(f.name) for f in self.fields])
+        mapped = df.select(*[source(f).alias(f.name) for f in self.fields])
+        types = dict(mapped.dtypes)
+        return mapped.select(*[f.cast(F.col(f.name), types[f.name]).alias(f.name) for f in self.fields])
 
     def by_position(self, df: DataFrame) -> DataFrame:
         """Conform a frame whose columns have the right order but other names."""

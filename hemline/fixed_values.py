@@ -109,3 +109,23 @@ WEATHER_MART_COLUMNS = {
 # Business time.
 BUSINESS_ZONE = "Asia/Seoul"
 BUSINESS_OFFSET_HOURS = 9
+
+# Topics (last parts) of the dated zone paths.
+TOPICS = {
+    "ably_listing": "ably/ranking_data",
+    "ably_reviews": "ably/review_data",
+    "cm29_listing": "29cm/29cm_product",
+    "cm29_reviews": "29cm/29cm_reviews",
+    "musinsa_ranking": "musinsa/ranking_data",
+    "musinsa_detail": "musinsa/product_detail_data",
+    "musinsa_reviews": "musinsa/product_review_data",
+    "snap_brand": "otherapis/musinsa_snap_brand_ranking_raw_data",
+    "snap_story_women": "otherapis/musinsa_WOMEN_ranking_story_group_raw_data",
+    "snap_story_men": "otherapis/musinsa_MEN_ranking_story_group_raw_data",
+    "trend_women": "otherapis/여성_keyword_trends",
+    "trend_men": "otherapis/남성_keyword_trends",
+    "video_women": "otherapis/여성_youtoube_videos_by_categories_raw_data",
+    "video_men": "otherapis/남성_youtoube_videos_by_categories_raw_data",
+    "weather_daily": "otherapis/weekly_weather_data_raw_data",
+    "weather_stations": "otherapis/weather_station_data_raw_data",
+}

@@ -63,11 +63,15 @@ def record_field(fields: Column | str, position: int) -> Column:
 
 
 def duration_seconds(c: Column | str) -> Column:
-    """ISO 8601 'PT#H#M#S' in seconds; NULL for text of another form."""
+    """ISO 8601 'PT#H#M#S' in seconds; a missing part is 0, text of another form NULL."""
     c = as_column(c)
 
-    def part(letter: str) -> Column:
-        digits = F.regexp_extract(c, rf"^PT(?:\d+[HM])*?(\d+){letter}", 1)
-        return F.coalesce(digits.try_cast("int"), F.lit(0))
+    def part(unit: str, larger: str) -> Column:
+        # The digits before the unit and after the larger units.
+        digits = F.substring_index(c, unit, 1)
+        for mark in larger:
+            digits = F.substring_index(digits, mark, -1)
+        return F.when(c.contains(unit), F.coalesce(digits.try_cast("int"), F.lit(0))).otherwise(0)
 
-    return F.when(c.startswith("PT"), part("H") * 3600 + part("M") * 60 + part("S"))
+    seconds = part("H", "T") * 3600 + part("M", "TH") * 60 + part("S", "THM")
+    return F.when(c.startswith("PT"), seconds)

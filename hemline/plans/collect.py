@@ -25,7 +25,7 @@ from hemline.functions.arrays import distinct_names, membership_flag
 from hemline.functions.documents import json_path, page_links, page_meta, page_script, page_title
 from hemline.functions.text import text_after
 from hemline.operators.grouping import item_batches
-from hemline.operators.nested import components_of_kind, enumerate_items
+from hemline.operators.nested import enumerate_items
 from hemline.operators.quality import keep_present, skip_empty
 from hemline.operators.ranking import top_n
 
@@ -92,10 +92,19 @@ def page_products(pages: DataFrame, html: str = "html", keep: list[str] | None =
 def listing_items(
     pages: DataFrame, category: str, page: str, size: int = LISTING_SIZE, kind: int = ITEM_COMPONENT_ID
 ) -> DataFrame:
-    """First ``size`` items of every category over its pages of components, with ``ranking``."""
-    items = components_of_kind(pages, "components", kind, keep=[category, page])
-    order = [F.asc(page), F.asc("component_pos"), F.asc("item_pos")]
-    return top_n(items, [category], order, size, rank="ranking").select(category, "ranking", "item")
+    """First ``size`` items of every category over its pages of components, with ``ranking``.
+
+    A page can give no more than ``size`` of them, so every page is cut inside its row
+    before its items become rows.
+    """
+    lists = F.transform(
+        F.filter("components", lambda c: (c["component_id"] == kind) & c["entity"]["item_list"].isNotNull()),
+        lambda c: c["entity"]["item_list"],
+    )
+    head = F.slice(F.flatten(lists), 1, size)
+    items = pages.select(category, page, F.posexplode(head).alias("item_pos", "item"))
+    best = top_n(items, [category], [F.asc(page), F.asc("item_pos")], size, rank="ranking")
+    return best.select(category, "ranking", "item")
 
 
 def product_work_list(

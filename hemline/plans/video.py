@@ -45,8 +45,12 @@ def select_videos(
     ``searches``: the category column and the ``items`` array of one search. A missing
     count is '0'. The choice is made inside the array, without a shuffle.
     """
-    fitting = F.filter("items", lambda v: duration_seconds(v["contentDetails"]["duration"]).between(low, high))
-    chosen = searches.select(category, F.explode(F.slice(fitting, 1, per_category)).alias("v"))
+    timed = F.transform("items", lambda v: F.struct(
+        v.alias("video"), duration_seconds(v["contentDetails"]["duration"]).alias("seconds")
+    ))
+    fitting = F.filter(timed, lambda t: t["seconds"].between(low, high))
+    chosen = searches.select(category, F.explode(F.slice(fitting, 1, per_category)).alias("t"))
+    chosen = chosen.select(category, F.col("t.video").alias("v"), "t.seconds")
 
     def count(name: str):
         return F.coalesce(F.col(f"v.statistics.{name}"), F.lit("0")).alias(name)
@@ -61,7 +65,7 @@ def select_videos(
         F.col("v.snippet.thumbnails.high.url").alias("thumbnailUrl"),
         F.coalesce("v.snippet.tags", F.array().cast("array<string>")).alias("tags"),
         F.coalesce("v.snippet.categoryId", F.lit("")).alias("categoryId"),
-        duration_seconds("v.contentDetails.duration").alias("duration"),
+        F.col("seconds").alias("duration"),
         F.col("v.contentDetails.dimension").alias("dimension"),
         F.col("v.contentDetails.definition").alias("definition"),
         count("viewCount"), count("likeCount"), count("commentCount"),

@@ -96,9 +96,9 @@ def read_sized(
 ) -> DataFrame:
     """Read ``path`` in one of the known formats, laid out in about ``target_mb`` pieces.
 
-    Without ``key``, ``lo`` and ``hi`` the scan's own splits are the layout and no
-    shuffle is added. With bounds the rows are spread evenly over the computed number
-    of partitions. With ``key`` rows of a key are brought together, and a key too
+    Without ``key`` the scan's own splits are the layout as long as their number lies
+    within ``lo`` and ``hi``; only otherwise are the rows spread evenly over the computed
+    number of partitions. With ``key`` rows of a key are brought together, and a key too
     large for one partition is split by adaptive execution. An unknown format is an error;
     HTML is read as a text column (see ``functions.documents``).
     """
@@ -112,12 +112,26 @@ def read_sized(
         df = read_text(spark, path)
     else:
         df = read_csv(spark, path, schema)
-    if key is None and lo is None and hi is None:
+    if key is None and within(df.rdd.getNumPartitions(), lo, hi):
         return df
     n = partition_count(input_bytes(spark, path), target_mb, lo, hi)
     return df.hint("rebalance", n, key) if key else df.repartition(n)
 
 
+def within(n: int, lo: int | None, hi: int | None) -> bool:
+    return (lo is None or n >= lo) and (hi is None or n <= hi)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that comes in fewer pieces than there are cores.
+
+    For parsing-heavy work on small files. An input of many pieces is left as scanned,
+    so large inputs are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def partition_count(total_bytes: int, target_mb: int = 128, lo: int | None = None, hi: int | None = None) -> int:
     """Whole pieces of ``target_mb`` in ``total_bytes``, at least 1, within the bounds."""
     n = max(1, int(total_bytes / (1024 * 1024) / target_mb))
