@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from hemline.catalog.registry import query, table, texts
 from hemline.contracts import Field, TableContract
+from hemline.fixed_values import DEPTH2_NAMES, DEPTH3_KEYS
 from hemline.functions import arrays, dates, documents, text
 from hemline.operators import grouping, lookup, project
+from hemline.plans.snap import gender_word
 
 ITEM = TableContract("item_tb", (
     Field("item_no", "int", True), Field("brand_no", "int"), Field("kind_no", "int"), Field("price", "int"),
@@ -127,6 +129,25 @@ def master_category(spark, d):
     return project.distinct_rows(table(spark, d, "part").select(name.alias("master_category_name")))
 
 
+@query("category_names", """
+select p_partkey,
+       case k when 0 then '신발' when 1 then '아우터' when 2 then '상의' when 3 then '하의' end as depth_2,
+       case k when 0 then 'shoes' when 1 then 'knit' when 2 then 'skirt' when 3 then 'coat' end as depth_3_key,
+       case k when 0 then '여성' when 1 then '남성' else 'kids' end as gender
+from (select p_partkey, p_size % 5 as k from part)
+""")
+def category_names(spark, d):
+    def pick(*names):
+        return F.get(F.array(*[F.lit(n) for n in names]), F.col("p_size") % 5)
+
+    return table(spark, d, "part").select(
+        "p_partkey",
+        text.translate_name(pick("shoes", "outer", "top", "bottom", "other"), DEPTH2_NAMES).alias("depth_2"),
+        text.translate_name(pick("전체", "니트", "스커트", "코트"), DEPTH3_KEYS).alias("depth_3_key"),
+        gender_word(pick("female", "MEN", "kids", "kids", "kids")).alias("gender"),
+    )
+
+
 @query("split_category", """
 select p_partkey, split_part(c, '-', 1) as depth_1, split_part(c, '-', 2) as depth_2, split_part(c, '-', 3) as depth_3,
        split_part(c, '-', 4) as depth_4

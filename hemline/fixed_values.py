@@ -35,6 +35,20 @@ GENDER_SYNONYMS = {
 CATEGORY_SEPARATOR = "-"
 UNMAPPED_CATEGORY = "Unknown"
 DEPTH2_NAMES = {"shoes": "신발", "outer": "아우터", "top": "상의", "bottom": "하의"}
+DEPTH3_KEYS = {
+    "전체": "shoes",
+    "재킷": "jacket",
+    "폴리스": "police",
+    "코트": "coat",
+    "패딩": "padding",
+    "기타": "etcouter",
+    "티셔츠": "tshirt",
+    "셔츠": "shirt",
+    "니트": "knit",
+    "팬츠": "pants",
+    "원피스": "onepiece",
+    "스커트": "skirt",
+}
 
 # Listing payloads.
 RANKED_MODULES_FROM = 1

@@ -18,13 +18,17 @@ def compact_date(c: Column | str) -> Column:
     """'20250102' -> date; anything else NULL."""
     c = as_column(c)
     dashed = F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2))
-    return F.when(c.rlike("^[0-9]{8}$"), dashed.try_cast("date"))
+    return F.when(F.length(F.trim(c)) == 8, dashed.try_cast("date"))
 
 
 def offset_text_to_date(c: Column | str, zone: str = BUSINESS_ZONE) -> Column:
-    """Date, in ``zone``, of an instant written with its offset ('...T23:30:00.000+09:00')."""
-    instant = as_column(c).try_cast("timestamp")
-    return F.convert_timezone(None, F.lit(zone), instant).cast("date")
+    """Date, in ``zone``, of an instant written with its offset ('...T23:30:00.000+09:00').
+
+    The shifted instant is cut to days by arithmetic: a cast to date would apply the
+    session's zone once more.
+    """
+    local = F.from_utc_timestamp(as_column(c).try_cast("timestamp"), zone)
+    return F.date_from_unix_date(F.floor(F.unix_seconds(local) / 86400).cast("int"))
 
 
 def utc_text_to_timestamp(c: Column | str) -> Column:

@@ -9,12 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hemline.fixed_values import CATEGORY_SEPARATOR
-from hemline.functions.casts import as_column
+from hemline.functions.casts import as_column, to_double, to_int
 
 
 def strip_unit(c: Column | str, unit: str) -> Column:
     """'170cm' -> 170.0; text that is not a number after removal gives NULL."""
-    return F.trim(F.regexp_replace(as_column(c), re.escape(unit), "")).try_cast("double")
+    return to_double(F.replace(as_column(c), F.lit(unit), F.lit("")))
 
 
 def file_stem(path: Column | str, extension: str = "json") -> Column:
@@ -45,6 +45,13 @@ def category_level(c: Column | str, level: int) -> Column:
     return F.split_part(as_column(c), F.lit(CATEGORY_SEPARATOR), F.lit(level))
 
 
+def translate_name(c: Column | str, names: dict[str, str], default: Column | None = None) -> Column:
+    """The name a short fixed list gives to a key; ``default`` (NULL) for a key not in it."""
+    known = F.create_map(*[F.lit(text) for pair in names.items() for text in pair])
+    found = F.try_element_at(known, as_column(c))
+    return found if default is None else F.coalesce(found, default)
+
+
 def is_text_record(line: Column | str, comment: str, markers: list[str]) -> Column:
     """True for lines that carry data: not blank, not a comment, no block marker."""
     line = F.trim(as_column(line))
@@ -71,7 +78,7 @@ def duration_seconds(c: Column | str) -> Column:
         digits = F.substring_index(c, unit, 1)
         for mark in larger:
             digits = F.substring_index(digits, mark, -1)
-        return F.when(c.contains(unit), F.coalesce(digits.try_cast("int"), F.lit(0))).otherwise(0)
+        return F.when(c.contains(unit), F.coalesce(to_int(digits), F.lit(0))).otherwise(0)
 
     seconds = part("H", "T") * 3600 + part("M", "TH") * 60 + part("S", "THM")
     return F.when(c.startswith("PT"), seconds)

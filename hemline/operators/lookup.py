@@ -15,10 +15,18 @@ MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def _measure(df: DataFrame, max_rows: int, *key: str):
+    """(rows, bytes, distinct keys) of the first ``max_rows + 1`` rows."""
+    row_bytes = F.octet_length(F.to_json(F.struct("*")))
+    distinct = F.count_distinct(*key) if key else F.lit(None)
+    return df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(row_bytes), F.lit(0)), distinct
+    ).first()
+
+
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """Whether the frame is within both bounds. Looks at no more than ``max_rows + 1`` rows."""
-    row_bytes = F.octet_length(F.to_json(F.struct("*")))
-    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes), F.lit(0))).first()
+    rows, size, _ = _measure(df, max_rows)
     return rows <= max_rows and size <= max_bytes
 
 
@@ -46,10 +54,12 @@ def map_lookup(
 
     Keys without a dimension row get ``default`` (NULL when not given).
     """
-    dim = dim.select(F.col(dim_key).alias("_lookup_key"), *values)
-    require_unique(dim, ["_lookup_key"])
-    side = broadcast_if_small(dim, max_broadcast_rows)
-    joined = df.join(side, F.col(key) == F.col("_lookup_key"), "left")
+    dim = dim.where(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias("_lookup_key"), *values)
+    rows, size, keys = _measure(dim, max_broadcast_rows, "_lookup_key")
+    small = rows <= max_broadcast_rows and size <= MAX_BROADCAST_BYTES
+    if not small or keys < rows:
+        require_unique(dim, ["_lookup_key"])
+    joined = df.join(F.broadcast(dim) if small else dim, F.col(key) == F.col("_lookup_key"), "left")
     if default is not None:
         # Only keys without a dimension row take the default; a NULL inside the row stays.
         absent = F.col("_lookup_key").isNull()

@@ -80,13 +80,17 @@ def stable_ids(df: DataFrame, natural_key: list[str], name: str = "id", prefix_d
     ranges' offsets come from one short table (16 ** prefix_digits rows at most).
     """
     key_text = F.to_json(F.struct(*natural_key), {"ignoreNullFields": "false"})
-    keys = df.select(*natural_key).distinct().withColumn("_digest", F.md5(key_text))
+    # The digest is never NULL and the join is a left one: otherwise a test for NULL would
+    # be pushed below the distinct, and the digest computed for every input row. As both
+    # branches then start from the same distinct keys, its shuffle is done once.
+    digest = F.coalesce(F.md5(key_text), F.lit(""))
+    keys = df.select(*natural_key).distinct().withColumn("_digest", digest)
     keys = keys.withColumn("_range", F.substring("_digest", 1, prefix_digits))
     numbered = keys.withColumn("_pos", F.row_number().over(Window.partitionBy("_range").orderBy("_digest")))
     sizes = keys.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    return numbered.join(F.broadcast(offsets), "_range").select(
+    return numbered.join(F.broadcast(offsets), "_range", "left").select(
         *natural_key, (F.col("_offset") + F.col("_pos")).alias(name)
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hemline.contracts import PRODUCT_DETAIL
 from hemline.fixed_values import GENDER_FOLDERS, PLATFORM_ABLY, UNMAPPED_CATEGORY
 from hemline.functions.documents import json_parse
-from hemline.functions.text import compose_category
+from hemline.functions.text import compose_category, translate_name
 from hemline.operators.lookup import map_lookup
 from hemline.plans import schemas
 from hemline.sources.readers import SOURCE_PATH, read_json, read_text, source_key
@@ -59,8 +59,7 @@ def cm29_listing(raw: DataFrame, categories: DataFrame) -> DataFrame:
     and its composed name is the gender alone.
     """
     folder = F.regexp_extract(SOURCE_PATH, r"/([^/]+)/[^/]+/[^/]+$", 1)
-    genders = F.create_map(*[F.lit(v) for pair in GENDER_FOLDERS.items() for v in pair])
-    keyed = raw.withColumns({"gender": F.try_element_at(genders, folder), "file_key": source_key()})
+    keyed = raw.withColumns({"gender": translate_name(folder, GENDER_FOLDERS), "file_key": source_key()})
     levels = categories.select(
         F.col("file_key").alias("code"), F.col("depth2").alias("cat_depth_2"),
         F.col("depth3").alias("cat_depth_3"), F.col("depth4").alias("small_category_name"),

@@ -9,6 +9,7 @@ from hemline.contracts import SNAP_BRAND_RANKING, SNAP_USER_RANKING
 from hemline.fixed_values import GENDER_SYNONYMS
 from hemline.functions.arrays import field_to_text
 from hemline.functions.casts import as_column, null_to_zero
+from hemline.functions.text import translate_name
 from hemline.operators.grouping import left_join_using
 from hemline.operators.nested import explode_items, explode_two_levels
 from hemline.operators.ranking import top_items
@@ -20,9 +21,7 @@ LABELS = ["labels_name_1", "labels_name_2"]
 
 def gender_word(c: Column | str) -> Column:
     """One word per gender whatever the source calls it; an unknown word stays."""
-    words = F.create_map(*[F.lit(v) for pair in GENDER_SYNONYMS.items() for v in pair])
-    c = as_column(c)
-    return F.coalesce(F.try_element_at(words, c), c)
+    return translate_name(c, GENDER_SYNONYMS, as_column(c))
 
 
 def read_brand_pages(spark: SparkSession, path: str) -> DataFrame:
