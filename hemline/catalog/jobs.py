@@ -415,7 +415,7 @@ def listing_products(spark, d):
 
 
 @query("page_products", r"""
-select page_id, nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '') as product_name,
+select page_id, replace(nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ''), '&amp;', '&') as product_name,
        case when page_id % 3 = 0 then 'slug' || page_id end as brand_name_en, 'brand ' || page_id as brand_name_kr,
        cast(page_id * 100 as varchar) as original_price, case when page_id % 2 = 0 then cast(page_id as varchar) end as final_price,
        cast(null as varchar) as discount_rate, url as image_src, cast(page_id as varchar) as review_count,
@@ -435,7 +435,7 @@ def page_products(spark, d):
     )
     link = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<body><a href="/brand/slug'), _text("page_id"), F.lit('">b</a>'))).otherwise("<body>")
     html = F.replace(F.replace("html", F.lit("</head>"), head), F.lit("<body>"), link)
-    html = F.replace(html, F.lit("</title>"), F.lit(" - 사이즈 & 후기 | shop</title>"))
+    html = F.replace(html, F.lit("</title>"), F.lit(" - 사이즈 &amp; 후기 | shop</title>"))
     return collect.page_products(texts(spark, d, "pages").select("page_id", html.alias("html")), keep=["page_id"])
 
 

@@ -356,7 +356,7 @@ def json_path(spark, d):
 
 
 @query("html_fields", r"""
-select page_id, nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '') as title,
+select page_id, replace(nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ''), '&amp;', '&') as title,
        nullif(regexp_extract(html, '(?is)<html[^>]*\blang="([^"]*)"', 1), '') as lang,
        cast(len(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref=["'']([^"'']*)["'']', 1)) as int) as n_links,
        array_to_string(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref=["'']([^"'']*)["'']', 1), ' ') as links,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hemline.catalog.registry import query, table
+from hemline.fixed_values import NEWEST_REVIEWS
 from hemline.operators import grouping, ranking
 from hemline.plans import collect, trend
 
@@ -51,7 +52,7 @@ from (select *, row_number() over (partition by user_id order by ts desc, event_
 """)
 def reviews_newest_n(spark, d):
     events = table(spark, d, "events").select("user_id", "event_id", "ts", "value")
-    return collect.newest_reviews(events, "user_id", "ts", "event_id", 20)
+    return collect.newest_reviews(events, "user_id", "ts", "event_id", NEWEST_REVIEWS["ably"])
 
 
 @query("latest_value", """

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hemline.fixed_values import HTML_ENTITIES
 from hemline.functions.casts import as_column
 
 
@@ -23,9 +24,16 @@ def _found(c: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
 
 
+def unescape(c: Column) -> Column:
+    """Replace the common HTML entities by their characters (the ampersand last)."""
+    for entity, character in HTML_ENTITIES.items():
+        c = F.replace(c, F.lit(entity), F.lit(character))
+    return c
+
+
 def page_title(html: Column | str, suffix: str | None = None) -> Column:
     """Text of <title> without the site's suffix; NULL when there is no title."""
-    title = _found(as_column(html), r"(?is)<title[^>]*>(.*?)</title>")
+    title = unescape(_found(as_column(html), r"(?is)<title[^>]*>(.*?)</title>"))
     return F.regexp_replace(title, suffix, "") if suffix else title
 
 
@@ -36,10 +44,10 @@ def page_lang(html: Column | str) -> Column:
 def page_meta(html: Column | str, prop: str) -> Column:
     """Content of <meta property=prop>, whichever attribute comes first."""
     html, prop = as_column(html), re.escape(prop)
-    return F.coalesce(
+    return unescape(F.coalesce(
         _found(html, rf"(?is)<meta\b[^>]*\bproperty=[\"']{prop}[\"'][^>]*\bcontent=[\"']([^\"']*)[\"']"),
         _found(html, rf"(?is)<meta\b[^>]*\bcontent=[\"']([^\"']*)[\"'][^>]*\bproperty=[\"']{prop}[\"']"),
-    )
+    ))
 
 
 def page_links(html: Column | str) -> Column:

@@ -123,7 +123,7 @@ def within(n: int, lo: int | None, hi: int | None) -> bool:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input that comes in fewer pieces than there are cores.
+    """Give every core a share of a scan that comes in fewer pieces than there are cores.
 
     For parsing-heavy work on small files. An input of many pieces is left as scanned,
     so large inputs are never shuffled for this.

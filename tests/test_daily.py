@@ -164,3 +164,27 @@ def test_a_day_can_be_run_again(spark, day):
     for n in names:
         spark.catalog.refreshTable(n)
         assert table(spark, n) == before[n], n
+
+
+def test_every_job_runs_from_the_command_line(spark, day, tmp_path):
+    from hemline import run
+
+    base, _ = day
+    (tmp_path / "ably.csv").write_text("code,master_category_name,small_category_name\n" + "\n".join(",".join(r) for r in ABLY_CATEGORIES))
+    (tmp_path / "cm29.csv").write_text("file_key,depth2,depth3,depth4\n" + "\n".join(",".join(r) for r in CM29_CATEGORIES))
+    zone = f"{base}/bronze/{RUN_DATE}"
+    sources = {
+        "ably_product_detail": "ably/ranking_data/*/*.json", "ably_ranking": "ably/ranking_data/*/*.json",
+        "ably_reviews": "ably/review_data/*/*.json", "musinsa_ranking": "musinsa/ranking_data",
+        "musinsa_product_detail": "musinsa/product_detail_data/*/*/*.json", "musinsa_reviews": "musinsa/product_review_data",
+        "cm29_reviews": "29cm/29cm_reviews/*/*/*.json", "snap_brand_ranking": "otherapis/musinsa_snap_brand_ranking_raw_data/*.json",
+        "snap_story_ranking": "otherapis/musinsa_MEN_ranking_story_group_raw_data", "keyword_trend": "otherapis/남성_keyword_trends/*.json",
+        "videos": "otherapis/남성_youtoube_videos_by_categories_raw_data", "weather_daily": "otherapis/weekly_weather_data_raw_data/*.txt",
+        "weather_stations": "otherapis/weather_station_data_raw_data",
+    }
+    for name in run.JOBS:
+        source = f"{zone}/{sources.get(name, '29cm/29cm_product/*/*/*.json')}"
+        categories = tmp_path / ("ably.csv" if name.startswith("ably") else "cm29.csv")
+        target = str(tmp_path / name)
+        run.main(["job", name, source, target, "--run-date", RUN_DATE, "--gender", "남성", "--categories", str(categories)], spark)
+        assert spark.read.parquet(target).count() > 0, name
