@@ -16,6 +16,17 @@ def left_join_using(base: DataFrame, other: DataFrame, *keys: str) -> DataFrame:
     return base.join(other, list(keys), "left")
 
 
+def join_same_keys(base: DataFrame, other: DataFrame, keys: list[str], *values: str) -> DataFrame:
+    """Base rows with ``values`` of the row of ``other`` with the same keys, NULL equal to NULL.
+
+    ``other`` has one row per key. Only its side is unique, so a hot key of the base
+    may be split by the adaptive skew join.
+    """
+    other = other.select(*[F.col(k).alias(f"_same_{k}") for k in keys], *values)
+    same = [base[k].eqNullSafe(other[f"_same_{k}"]) for k in keys]
+    return base.join(other, same, "left").select(base["*"], *[other[v] for v in values])
+
+
 def item_batches(df: DataFrame, keys: list[str], item: str, batch_size: int, name: str = "items") -> DataFrame:
     """Distinct items per group as sorted lists of about ``batch_size``.
 
@@ -26,5 +37,6 @@ def item_batches(df: DataFrame, keys: list[str], item: str, batch_size: int, nam
     items = df.where(F.col(item).isNotNull()).select(*keys, item).distinct()
     sizes = items.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(batch_size)).alias("_batches"))
     digest = F.conv(F.substring(F.md5(F.col(item).cast("string")), 1, 8), 16, 10).cast("bigint")
-    placed = items.join(sizes, keys).withColumn("batch", (digest % F.col("_batches")).cast("int"))
+    placed = join_same_keys(items, sizes, keys, "_batches")
+    placed = placed.withColumn("batch", (digest % F.col("_batches")).cast("int"))
     return placed.groupBy(*keys, "batch").agg(F.array_sort(F.collect_list(item)).alias(name))

@@ -1,4 +1,9 @@
-"""Nested documents to rows. All of them work row by row, without a shuffle."""
+"""Nested documents to rows. All of them work row by row, without a shuffle.
+
+A plain explode makes the optimizer add a filter "the array is not empty" below it; when
+the array is computed (parsed JSON, split text) it is then computed twice. The outer
+form has no such filter, and the position tells an element from an absent array.
+"""
 
 from __future__ import annotations
 
@@ -9,9 +14,15 @@ from hemline.fixed_values import RANKED_MODULES_FROM, RANKED_MODULES_TO
 from hemline.functions.casts import as_column
 
 
+def _elements(df: DataFrame, array: Column | str, keep: list[str], name: str, position: str = "_position") -> DataFrame:
+    """``keep``, the position from 0, and the element; no row for a NULL or empty array."""
+    exploded = df.select(*keep, F.posexplode_outer(as_column(array)).alias(position, name))
+    return exploded.where(F.col(position).isNotNull())
+
+
 def explode_items(df: DataFrame, path: Column | str, name: str = "item", keep: list[str] | None = None) -> DataFrame:
     """One row per array element; a NULL or empty array gives no row."""
-    return df.select(*(keep or []), F.explode(as_column(path)).alias(name))
+    return _elements(df, path, keep or [], name).drop("_position")
 
 
 def explode_two_levels(
@@ -28,8 +39,8 @@ def enumerate_items(
     df: DataFrame, path: str, keep: list[str] | None = None, name: str = "item", rank: str = "ranking"
 ) -> DataFrame:
     """One row per array element with its position counted from 1."""
-    exploded = df.select(*(keep or []), F.posexplode(F.col(path)).alias("_pos", name))
-    return exploded.select(*(keep or []), name, (F.col("_pos") + 1).alias(rank))
+    keep = keep or []
+    return _elements(df, path, keep, name).select(*keep, name, (F.col("_position") + 1).alias(rank))
 
 
 def module_items(
@@ -43,8 +54,8 @@ def module_items(
     """
     keep = keep or []
     wanted = F.slice(F.col(modules), first + 1, last - first + 1)
-    lists = df.select(*keep, F.explode(F.transform(wanted, lambda m: m[items])).alias("_list"))
-    return lists.select(*keep, F.explode("_list").alias(name))
+    lists = explode_items(df, F.transform(wanted, lambda m: m[items]), "_list", keep)
+    return explode_items(lists, "_list", name, keep)
 
 
 def components_of_kind(
@@ -53,11 +64,9 @@ def components_of_kind(
 ) -> DataFrame:
     """Items of the listing components of one kind, with ``component_pos`` and ``item_pos``."""
     keep = keep or []
-    found = df.select(*keep, F.posexplode(components).alias("component_pos", "_component"))
+    found = _elements(df, components, keep, "_component", "component_pos")
     found = found.where(F.col(f"_component.{kind_field}") == kind)
-    return found.select(
-        *keep, "component_pos", F.posexplode(F.col(f"_component.{items}")).alias("item_pos", name)
-    )
+    return _elements(found, f"_component.{items}", [*keep, "component_pos"], name, "item_pos")
 
 
 def tree_leaves(df: DataFrame, tree: str, names: list[str], keep: list[str] | None = None) -> DataFrame:
@@ -68,4 +77,4 @@ def tree_leaves(df: DataFrame, tree: str, names: list[str], keep: list[str] | No
         rows = rows.select(*keep, F.explode(current).alias(name, "_subtree"))
         keep.append(name)
         current = "_subtree"
-    return rows.select(*keep, F.explode(current).alias(names[-1]))
+    return explode_items(rows, current, names[-1], keep)

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hemline.operators.grouping import join_same_keys
+
 # Spark prunes "row_number <= n" to the n best rows of each task before the shuffle,
 # for n up to this limit (spark.sql.optimizer.windowGroupLimitThreshold).
 _PRUNED_LIMIT = 1000
@@ -97,10 +99,4 @@ def stable_ids(df: DataFrame, natural_key: list[str], name: str = "id", prefix_d
 
 def with_stable_id(df: DataFrame, natural_key: list[str], name: str = "id") -> DataFrame:
     """Add the stable id of each row's natural key (NULLs in the key match NULLs)."""
-    ids = stable_ids(df, natural_key, name)
-    ids = ids.select(*[F.col(k).alias(f"_id_{k}") for k in natural_key], name)
-    same = None
-    for k in natural_key:
-        test = df[k].eqNullSafe(ids[f"_id_{k}"])
-        same = test if same is None else same & test
-    return df.join(ids, same, "left").select(df["*"], ids[name])
+    return join_same_keys(df, stable_ids(df, natural_key, name), natural_key, name)

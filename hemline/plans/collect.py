@@ -102,7 +102,7 @@ def listing_items(
         lambda c: c["entity"]["item_list"],
     )
     head = F.slice(F.flatten(lists), 1, size)
-    items = pages.select(category, page, F.posexplode(head).alias("item_pos", "item"))
+    items = enumerate_items(pages.select(category, page, head.alias("_head")), "_head", [category, page], rank="item_pos")
     best = top_n(items, [category], [F.asc(page), F.asc("item_pos")], size, rank="ranking")
     return best.select(category, "ranking", "item")
 

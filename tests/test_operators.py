@@ -112,12 +112,13 @@ def test_top_n_equals_brute_force(spark, data, n):
 
 def test_item_batches_keep_every_distinct_item_and_cut_a_hot_group(spark):
     hot = [("hot", i) for i in range(1000)] * 2
-    df = spark.createDataFrame(hot + [("small", 1), ("small", None)], "g string, i int")
+    df = spark.createDataFrame(hot + [("small", 1), ("small", None), (None, 5)], "g string, i int")
     got = grouping.item_batches(df, ["g"], "i", 40).collect()
     items = [x for r in got if r.g == "hot" for x in r["items"]]
     assert sorted(items) == list(range(1000))
     assert max(len(r["items"]) for r in got) < 100
     assert [(r.batch, r["items"]) for r in got if r.g == "small"] == [(0, [1])]
+    assert [(r.batch, r["items"]) for r in got if r.g is None] == [(0, [5])]
 
 
 def test_module_items_skip_modules_without_items(spark):
