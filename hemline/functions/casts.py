@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 _WHOLE = r"^\s*[+-]?[0-9]+\s*$"
 _NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-_NOT_FINITE = r"^\s*([+-]?(?i:inf|infinity)|(?i:nan))\s*$"
+_DOUBLE = r"^\s*([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[+-]?(?i:inf|infinity)|(?i:nan))\s*$"
 
 
 def as_column(c: Column | str) -> Column:
@@ -34,7 +34,7 @@ def to_long(c: Column | str) -> Column:
 
 def to_double(c: Column | str) -> Column:
     c = as_column(c).cast("string")
-    return F.when(c.rlike(_NUMBER) | c.rlike(_NOT_FINITE), c.try_cast("double"))
+    return F.when(c.rlike(_DOUBLE), c.try_cast("double"))
 
 
 def to_date(c: Column | str) -> Column:

@@ -10,31 +10,35 @@ from pyspark.sql import functions as F
 
 from hemline.operators.grouping import join_same_keys
 
-# Spark prunes "row_number <= n" to the n best rows of each task before the shuffle,
-# for n up to this limit (spark.sql.optimizer.windowGroupLimitThreshold).
-_PRUNED_LIMIT = 1000
-_SPLITS = 64
+# Spark prunes "row_number <= n" to the n best rows of each task before the shuffle, for n up to
+# this setting.
+_PRUNED_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+_PIECES = 64
 
 
-def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str | None = None) -> DataFrame:
+def _first(df: DataFrame, keys: list[str], order: list[Column], n: int, position: str) -> DataFrame:
+    ranked = df.withColumn(position, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where(F.col(position) <= n)
+
+
+def top_n(
+    df: DataFrame, keys: list[str], order: list[Column], n: int, rank: str | None = None, pieces: int | None = None
+) -> DataFrame:
     """The first ``n`` rows of each group, with their position in column ``rank``.
 
-    Up to 1000 rows per group Spark itself keeps only the n best rows of every task
-    before the shuffle, so a hot group never meets in one task. Beyond that the groups
-    are cut into hashed pieces, each piece keeps its n best, and only those meet.
+    For n within Spark's pruning limit (1000 unless set otherwise) every task keeps only
+    its n best rows of a group before the shuffle, so a hot group never meets in one task.
+    Beyond the limit groups are cut into pieces by input partition (which also parts equal
+    rows), each piece keeps its n best, and only those meet. ``pieces`` asks for that step also below the limit, for groups fed
+    by so many tasks that their n best rows each are too many for one task.
     """
-    if n > _PRUNED_LIMIT:
-        piece = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(_SPLITS))
-        within = Window.partitionBy(*keys, "_piece").orderBy(*order)
-        df = (
-            df.withColumn("_piece", piece)
-            .withColumn("_pos", F.row_number().over(within))
-            .where(F.col("_pos") <= n).drop("_pos", "_piece")
-        )
-    name = rank or "_rank"
-    ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    kept = ranked.where(F.col(name) <= n)
-    return kept if rank else kept.drop(name)
+    if n > int(df.sparkSession.conf.get(_PRUNED_LIMIT, "1000")):
+        pieces = pieces or _PIECES
+    if pieces:
+        piece = F.pmod(F.spark_partition_id(), F.lit(pieces))
+        df = _first(df.withColumn("_piece", piece), [*keys, "_piece"], order, n, "_position").drop("_position", "_piece")
+    best = _first(df, keys, order, n, rank or "_rank")
+    return best if rank else best.drop("_rank")
 
 
 def top_n_overall(df: DataFrame, order: list[Column], n: int) -> DataFrame:

@@ -14,6 +14,7 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.sql.parquet.compression.codec": "snappy",
 }
 

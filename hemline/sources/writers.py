@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from hemline.contracts import TableContract
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_parquet(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, max_records_per_file: int | None = None
+) -> None:
     """Overwrite Parquet at ``path``.
 
     Partitioned output is rebalanced on its partition columns first: a folder gets few
@@ -19,6 +21,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 

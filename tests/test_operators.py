@@ -98,11 +98,11 @@ group_rows = st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 50)), min_si
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(data=group_rows, n=st.sampled_from([1, 3, 1001]))
-def test_top_n_equals_brute_force(spark, data, n):
+@given(data=group_rows, n=st.sampled_from([1, 3, 20000]), pieces=st.sampled_from([None, 3]))
+def test_top_n_equals_brute_force(spark, data, n, pieces):
     data = [(i, k, v) for i, (k, v) in enumerate(data)]
     df = spark.createDataFrame(data, "i int, k int, v int")
-    got = rows(ranking.top_n(df, ["k"], [F.desc("v"), F.asc("i")], n, "rank"))
+    got = rows(ranking.top_n(df, ["k"], [F.desc("v"), F.asc("i")], n, "rank", pieces))
     wanted = []
     for key in {k for _, k, _ in data}:
         best = sorted((r for r in data if r[1] == key), key=lambda r: (-r[2], r[0]))[:n]

@@ -82,6 +82,12 @@ def test_partitioned_write_keeps_all_rows_of_a_hot_folder(spark, tmp_path):
     assert readers.read_parquet(spark, path).count() == 3000
 
 
+def test_files_are_cut_at_the_record_limit(spark, tmp_path):
+    path = str(tmp_path / "cut")
+    writers.write_parquet(spark.range(100, numPartitions=1), path, max_records_per_file=30)
+    assert len(spark.read.parquet(path).inputFiles()) == 4
+
+
 def test_replace_json_touches_only_the_given_folders(spark, tmp_path):
     path = str(tmp_path / "j")
     df = spark.createDataFrame([(1, None, "a"), (2, "x", "b")], "id int, v string, p string")
