@@ -24,7 +24,7 @@ def _joined(*parts):
 def _ably_listing(spark, d):
     raw = texts(spark, d, "part").select(
         F.struct(
-            F.when(F.col("p_partkey") % 7 != 3, F.struct(F.col("p_partkey").alias("goods_sno"))).alias("like"),
+            F.when(F.col("p_size") != 7, F.struct(F.col("p_partkey").alias("goods_sno"))).alias("like"),
             _joined("'img/", "p_partkey").alias("image"), F.col("p_size").alias("ranking"),
             F.struct((F.col("p_size") * 100).alias("original_price")).alias("first_page_rendering"),
         ).alias("item"),
@@ -46,7 +46,7 @@ def _ably_listing(spark, d):
 @query("ably_product_detail", """
 select 'ably' as platform, coalesce('여성-상의-' || n_name, 'Unknown') as master_category_name,
        coalesce(n_name, 'Unknown') as small_category_name,
-       case when p_partkey % 7 <> 3 then cast(p_partkey as int) end as product_id, 'img/' || p_partkey as img_url,
+       case when p_size <> 7 then cast(p_partkey as int) end as product_id, 'img/' || p_partkey as img_url,
        p_name as product_name, p_brand as brand_name_kr, '' as brand_name_en, p_size * 100 as original_price,
        cast(trunc(p_retailprice) as int) as final_price, p_size as discount_ratio, p_size + 1 as review_counting,
        p_size / 4 as review_avg_rating, p_size * 2 as like_counting, date '2025-01-02' as created_at
@@ -58,7 +58,7 @@ def ably_product_detail(spark, d):
 
 @query("ably_ranking", """
 select 'ably' as platform, coalesce('여성-상의-' || n_name, 'Unknown') as master_category_name,
-       case when p_partkey % 7 <> 3 then cast(p_partkey as int) end as product_id, p_size as ranking, date '2025-01-02' as created_at
+       case when p_size <> 7 then cast(p_partkey as int) end as product_id, p_size as ranking, date '2025-01-02' as created_at
 from part left join nation on n_nationkey = p_size
 """)
 def ably_ranking(spark, d):
@@ -66,7 +66,7 @@ def ably_ranking(spark, d):
 
 
 def _cm29_listing(spark, d):
-    folder = F.when(F.col("p_size") % 2 == 0, "Man").when(F.col("p_size") % 5 == 0, "Kids").otherwise("Woman")
+    folder = F.when(F.col("p_size") < 20, "Man").when(F.col("p_size") == 25, "Kids").otherwise("Woman")
     raw = texts(spark, d, "part").select(
         _text("p_size").alias("ranking"), _text("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
         F.col("p_brand").alias("brand_name_kr"), F.upper("p_brand").alias("brand_name_en"),
@@ -85,7 +85,7 @@ def _cm29_listing(spark, d):
 
 
 _CM29 = """
-with l as (select *, case when p_size % 2 = 0 then '남성' when p_size % 5 = 0 then null else '여성' end as gender,
+with l as (select *, case when p_size < 20 then '남성' when p_size = 25 then null else '여성' end as gender,
                   'k' || p_size as file_key, 'r' || n_regionkey as depth3, n_name || '/4' as depth4
            from part left join nation on n_nationkey = p_size),
 m as (select *, concat_ws('-', gender, n_name, depth3) as category from l)
@@ -171,17 +171,17 @@ def musinsa_product_detail(spark, d):
 select 'musinsa' as platform, '여성-상의-' || lang as master_category_name, cast(length(word) as int) as product_id,
        cast(pos as int) as ranking, date '2025-01-02' as created_at
 from (select lang, unnest(string_split(line, ' ')) as word, generate_subscripts(string_split(line, ' '), 1) as pos
-      from (select lang, unnest(string_split(text, chr(10))[2:18]) as line from documents) where length(line) % 5 <> 0)
-where pos % 4 <> 0
+      from (select lang, unnest(string_split(text, chr(10))[2:18]) as line from documents) where contains(line, ','))
+where not contains(word, '.')
 """)
 def musinsa_ranking(spark, d):
     def item(word, i):
-        index = F.when((i + 1) % 4 != 0, _text(i + 1))
+        index = F.when(~F.contains(word, F.lit(".")), _text(i + 1))
         payload = F.struct(F.struct(F.struct(F.struct(F.struct(index.alias("index")).alias("payload")).alias("ga4")).alias("eventLog")).alias("onClickBrandName"))
         return F.struct(_text(F.length(word)).alias("id"), payload.alias("info"))
 
     modules = F.transform(F.split("text", "\n"), lambda x: F.struct(
-        F.when(F.length(x) % 5 != 0, F.transform(F.split(x, " "), item)).alias("items")))
+        F.when(F.contains(x, F.lit(",")), F.transform(F.split(x, " "), item)).alias("items")))
     docs = texts(spark, d, "documents").select(
         F.struct(modules.alias("modules")).alias("data"),
         F.concat(F.lit("s3a://zone/ranking_data/x/여성_상의_"), "lang", F.lit("_"), "source", F.lit(".json")).alias(SOURCE_PATH),
@@ -208,7 +208,7 @@ def ably_reviews(spark, d):
 @query("cm29_reviews", """
 select cast(user_id as int) as product_id, props as review_content, cast(trunc(value) as int) as review_rating,
        cast(ts as date) as review_date, cast(user_id as double) as reviewer_height,
-       case when user_id % 2 = 0 then value end as reviewer_weight, nullif(event_type, 'view') as selected_options,
+       case when event_type = 'click' then value end as reviewer_weight, nullif(event_type, 'view') as selected_options,
        date '2025-01-02' as created_at
 from events
 """)
@@ -217,7 +217,7 @@ def cm29_reviews(spark, d):
     raw = texts(spark, d, "events").select(
         _text("user_id").alias("product_id"), F.col("props").alias("contents"), _text("value").alias("point"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("insertTimestamp"),
-        F.when(F.col("user_id") % 2 == 0, F.array(height, weight)).otherwise(F.array(height)).alias("userSize"),
+        F.when(F.col("event_type") == "click", F.array(height, weight)).otherwise(F.array(height)).alias("userSize"),
         F.when(F.col("event_type") != "view", F.array("event_type", F.lit("second"))).alias("optionValue"),
         F.lit(RUN_DATE).alias("created_at"),
     )
@@ -227,7 +227,7 @@ def cm29_reviews(spark, d):
 @query("musinsa_reviews", """
 select distinct cast(user_id as int) as product_id, event_type as review_content, cast(trunc(value) as int) as review_rating,
        cast(ts + interval 9 hour as date) as review_date, cast(user_id as double) as reviewer_height,
-       cast(case when user_id % 2 = 0 then 60 end as double) as reviewer_weight, 'M' as selected_options,
+       cast(case when event_type = 'click' then 60 end as double) as reviewer_weight, 'M' as selected_options,
        date '2025-01-02' as created_at
 from events
 """)
@@ -236,7 +236,7 @@ def musinsa_reviews(spark, d):
         F.struct(F.col("user_id").alias("goodsNo")).alias("goods"), F.col("event_type").alias("content"),
         _text("value").alias("grade"),
         F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+00:00")).alias("createDate"),
-        F.struct(F.col("user_id").alias("userHeight"), F.when(F.col("user_id") % 2 == 0, 60).alias("userWeight")).alias("userProfileInfo"),
+        F.struct(F.col("user_id").alias("userHeight"), F.when(F.col("event_type") == "click", 60).alias("userWeight")).alias("userProfileInfo"),
         F.lit("M").alias("goodsOption"),
     )
     docs = texts(spark, d, "events").select(F.array(one, one).alias("list"))
@@ -350,7 +350,7 @@ with s as (select o_orderkey, cast(k as int) as k, cast((o_orderkey * 37 + k * 6
            from orders, range(6) t(k)),
 f as (select *, row_number() over (partition by o_orderkey order by k) as pos from s where duration between 120 and 1800)
 select 'order ' || o_orderkey as category_name, o_orderkey || '-' || k as "videoId", duration,
-       case when k % 2 = 0 then '0' else cast(k as varchar) end as "viewCount"
+       case when k in (0, 2, 4) then '0' else cast(k as varchar) end as "viewCount"
 from f where pos <= 3
 """)
 def video_select(spark, d):
@@ -366,7 +366,7 @@ def video_select(spark, d):
                 F.lit(None).cast("array<string>").alias("tags"), none.alias("categoryId"),
             ).alias("snippet"),
             F.struct(length.alias("duration"), none.alias("dimension"), none.alias("definition")).alias("contentDetails"),
-            F.struct(F.when(k % 2 != 0, _text(k)).alias("viewCount"), none.alias("likeCount"), none.alias("commentCount")).alias("statistics"),
+            F.struct(F.when(~k.isin(0, 2, 4), _text(k)).alias("viewCount"), none.alias("likeCount"), none.alias("commentCount")).alias("statistics"),
         )
 
     searches = texts(spark, d, "orders").select(
@@ -416,24 +416,24 @@ def listing_products(spark, d):
 
 @query("page_products", r"""
 select page_id, replace(nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ''), '&amp;', '&') as product_name,
-       case when page_id % 3 = 0 then 'slug' || page_id end as brand_name_en, 'brand ' || page_id as brand_name_kr,
-       cast(page_id * 100 as varchar) as original_price, case when page_id % 2 = 0 then cast(page_id as varchar) end as final_price,
+       case when starts_with(url, 'https') then 'slug' || page_id end as brand_name_en, 'brand ' || page_id as brand_name_kr,
+       cast(page_id * 100 as varchar) as original_price, case when contains(url, '.com') then cast(page_id as varchar) end as final_price,
        cast(null as varchar) as discount_rate, url as image_src, cast(page_id as varchar) as review_count,
-       case when page_id % 5 = 0 then cast(page_id % 100 as varchar) end as review_avg_rating
+       case when contains(url, '?') then cast(page_id as varchar) end as review_avg_rating
 from pages
 """)
 def page_products(spark, d):
     # The product tags are added to the stored pages, attributes in either order.
-    score = F.when(F.col("page_id") % 5 == 0, F.concat(F.lit(', "satisfactionScore": '), _text(F.col("page_id") % 100))).otherwise("")
+    score = F.when(F.col("url").contains("?"), F.concat(F.lit(', "satisfactionScore": '), _text("page_id"))).otherwise("")
     head = F.concat(
         F.lit('<meta property="product:brand" content="brand '), _text("page_id"),
         F.lit('"/><meta content="'), _text(F.col("page_id") * 100), F.lit('" property="product:price:normal_price">'),
-        F.when(F.col("page_id") % 2 == 0, F.concat(F.lit('<meta property="product:price:amount" content="'), _text("page_id"), F.lit('">'))).otherwise(""),
+        F.when(F.col("url").contains(".com"), F.concat(F.lit('<meta property="product:price:amount" content="'), _text("page_id"), F.lit('">'))).otherwise(""),
         F.lit('<meta property="og:image" content="'), F.col("url"), F.lit('">'),
         F.lit('<script id="__NEXT_DATA__" type="application/json">{"props": {"pageProps": {"meta": {"data": {"goodsReview": {"totalCount": '),
         _text("page_id"), score, F.lit("}}}}}}</script></head>"),
     )
-    link = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<body><a href="/brand/slug'), _text("page_id"), F.lit('">b</a>'))).otherwise("<body>")
+    link = F.when(F.col("url").startswith("https"), F.concat(F.lit('<body><a href="/brand/slug'), _text("page_id"), F.lit('">b</a>'))).otherwise("<body>")
     html = F.replace(F.replace("html", F.lit("</head>"), head), F.lit("<body>"), link)
     html = F.replace(html, F.lit("</title>"), F.lit(" - 사이즈 &amp; 후기 | shop</title>"))
     return collect.page_products(texts(spark, d, "pages").select("page_id", html.alias("html")), keep=["page_id"])
@@ -447,7 +447,7 @@ def _component_pages(spark, d):
             w.alias("image"),
         ).alias("item")))
         return F.struct(
-            F.when(F.length(x) % 3 == 0, 9).otherwise(7).alias("component_id"), F.struct(items.alias("item_list")).alias("entity")
+            F.when(F.contains(x, F.lit(",")), 9).otherwise(7).alias("component_id"), F.struct(items.alias("item_list")).alias("entity")
         )
 
     return texts(spark, d, "documents").select(
@@ -458,7 +458,7 @@ def _component_pages(spark, d):
 _COMPONENT_ITEMS = """
 with c as (select source, doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as cpos from documents),
 i as (select source, doc_id, cpos, unnest(string_split(line, ' ')) as word, generate_subscripts(string_split(line, ' '), 1) as ipos
-      from c where length(line) % 3 = 0),
+      from c where contains(line, ',')),
 r as (select *, row_number() over (partition by source order by doc_id, cpos, ipos) as rk from i)
 """
 

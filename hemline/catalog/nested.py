@@ -39,12 +39,12 @@ def explode_nested(spark, d):
 @query("indexed_modules", """
 select doc_id, unnest(string_split(line, ' ')) as word
 from (select doc_id, unnest(string_split(text, chr(10))[2:18]) as line from documents)
-where length(line) % 5 <> 0
+where contains(line, ',')
 """)
 def indexed_modules(spark, d):
     # Modules without an item list (NULL) occur among the others.
-    modules = F.transform(line_words(n=F.length), lambda m: F.struct(
-        F.when(m["n"] % 5 != 0, m["items"]).alias("items")))
+    modules = F.transform(line_words(listed=lambda x: F.contains(x, F.lit(","))), lambda m: F.struct(
+        F.when(m["listed"], m["items"]).alias("items")))
     docs = texts(spark, d, "documents").select("doc_id", F.struct(modules.alias("modules")).alias("data"))
     return nested.module_items(docs, "data.modules", "items", ["doc_id"]).select("doc_id", F.col("item.name").alias("word"))
 
@@ -53,10 +53,10 @@ def indexed_modules(spark, d):
 select doc_id, cast(pos - 1 as int) as component_pos,
        cast(generate_subscripts(string_split(line, ' '), 1) - 1 as int) as item_pos, unnest(string_split(line, ' ')) as word
 from (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos from documents)
-where length(line) % 3 = 0
+where contains(line, ',')
 """)
 def components_of_kind(spark, d):
-    kinds = F.transform(line_words(component_id=lambda x: F.when(F.length(x) % 3 == 0, 9).otherwise(7)), lambda c: F.struct(
+    kinds = F.transform(line_words(component_id=lambda x: F.when(F.contains(x, F.lit(",")), 9).otherwise(7)), lambda c: F.struct(
         c["component_id"].alias("component_id"), F.struct(c["items"].alias("item_list")).alias("entity")))
     docs = texts(spark, d, "documents").select("doc_id", kinds.alias("components"))
     found = nested.components_of_kind(docs, "components", 9, keep=["doc_id"])

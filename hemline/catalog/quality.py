@@ -89,13 +89,13 @@ def text_records(spark, d):
 
 EVENT_NULLS = {
     "kind": "nullif(event_type, 'view')",
-    "amount": "case when user_id % 10 = 3 then null else value end",
+    "amount": "case when value >= 5 then value end",
 }
 
 
 @query("drop_null_rows", """
 select event_id, nullif(event_type, 'view') as kind, value as amount from events
-where event_type <> 'view' and user_id % 10 <> 3
+where event_type <> 'view' and value >= 5
 """)
 def drop_null_rows(spark, d):
     events = table(spark, d, "events").selectExpr("event_id", *[f"{sql} as {name}" for name, sql in EVENT_NULLS.items()])
@@ -104,7 +104,7 @@ def drop_null_rows(spark, d):
 
 @query("fill_defaults", """
 select event_id, coalesce(nullif(event_type, 'view'), 'none') as kind,
-       case when user_id % 10 = 3 then 0.0 else value end as amount
+       case when value >= 5 then value else 0.0 end as amount
 from events
 """)
 def fill_defaults(spark, d):
