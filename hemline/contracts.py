@@ -120,7 +120,8 @@ class TableContract:
             parts.append(surplus.select(
                 F.lit(",".join(self.key)).alias("column_name"), F.lit("duplicate_key").alias("rule"), "bad_rows"
             ))
-        return reduce(DataFrame.unionByName, parts)
+        nothing = df.sparkSession.createDataFrame([], "column_name string, rule string, bad_rows bigint")
+        return reduce(DataFrame.unionByName, parts or [nothing])
 
 
 def _text(name: str, max_bytes: int, required: bool = False) -> Field:

@@ -129,8 +129,8 @@ def bronze_to_silver(
 
 
 def load_silver(spark: SparkSession, base: str, run_date: str, schema: str = SILVER_SCHEMA) -> None:
-    """Refresh every silver table from the day's folders; rejected rows go to the
-    ``rejected`` zone with their reasons."""
+    """Refresh every silver table from the day's folders. Rejected rows go to the
+    ``rejected`` zone with their reasons, the counts of broken rules to ``reports``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
 
     def frame(folder: str) -> DataFrame:
@@ -142,8 +142,9 @@ def load_silver(spark: SparkSession, base: str, run_date: str, schema: str = SIL
     ]
     for table, frames in sources.items():
         location = f"{base.rstrip('/')}/tables/{schema}/{table}"
-        _, rejected = load_table(contracts.CONTRACTS[table], frames, f"{schema}.{table}", location)
-        write_parquet(rejected, zone_path(base, "rejected", run_date, table))
+        loaded = load_table(contracts.CONTRACTS[table], frames, f"{schema}.{table}", location)
+        write_parquet(loaded.rejected, zone_path(base, "rejected", run_date, table))
+        write_parquet(loaded.report, zone_path(base, "reports", run_date, table))
 
 
 def build_gold(

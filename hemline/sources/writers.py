@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,18 +48,24 @@ def refresh_table(spark: SparkSession, contract: TableContract, table: str, loca
     spark.sql(contract.create_sql(table, location))
 
 
+class Loaded(NamedTuple):
+    """What a load leaves to store: rejected rows with their reasons, and rule counts. Both lazy."""
+
+    rejected: DataFrame
+    report: DataFrame
+
+
 def load_table(
     contract: TableContract, sources: list[DataFrame], table: str, location: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Full refresh from all sources: one union, one write.
+) -> Loaded:
+    """Full refresh of a table from all sources: one union, one write.
 
-    Returns (loadable, rejected); the loadable rows have been written, the rejected
-    ones are for the caller to store. Sources are conformed by name first.
+    Sources are conformed by name; rows that break a row rule are left out.
     """
     conformed = reduce(DataFrame.unionByName, [contract.conform(s) for s in sources])
     good, rejected = contract.split(conformed)
     save_table(good, table, location)
-    return good, rejected
+    return Loaded(rejected, contract.report(conformed))
 
 
 def save_table(df: DataFrame, table: str, location: str | None = None) -> None:

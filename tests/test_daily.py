@@ -65,6 +65,17 @@ def test_product_detail(spark, day):
     ], key=repr)
 
 
+def test_reports_count_broken_rules(spark, day):
+    base, _ = day
+    report = spark.read.parquet(f"{base}/reports/{RUN_DATE}/product_detail_tb")
+    assert [tuple(r) for r in report.where("bad_rows > 0").orderBy("column_name", "rule").collect()] == [
+        ("created_at", "null", 1), ("platform", "null", 1), ("product_id", "null", 2), ("product_name", "null", 2),
+        ("product_name", "too_long", 1),
+    ]
+    keys = spark.read.parquet(f"{base}/reports/{RUN_DATE}/weather_daily_tb").where("rule = 'duplicate_key'")
+    assert rows(keys) == [("TM,STN", "duplicate_key", 0)]
+
+
 def test_ranking(spark, day):
     got = table(spark, "silver_test.ranking_tb", "platform", "master_category_name", "product_id", "ranking")
     musinsa = [("musinsa", "여성-상의-셔츠", 100 + i, i) for i in range(1, 18) if i not in (3, 4, 5, 6)]

@@ -104,9 +104,10 @@ def test_load_table_refreshes_and_separates_rejects(spark, tmp_path):
     a = spark.createDataFrame([("1", "abc")], "id string, name string")
     b = spark.createDataFrame([("toolong", 2), ("x", None)], "name string, id int")
     for _ in range(2):
-        _, rejected = writers.load_table(TABLE, [a, b], "load_test", location)
+        loaded = writers.load_table(TABLE, [a, b], "load_test", location)
     assert rows(spark.table("load_test")) == [(1, "abc")]
-    assert rows(rejected.select("reject_reasons")) == [(["id:null"],), (["name:too_long"],)]
+    assert rows(loaded.rejected.select("reject_reasons")) == [(["id:null"],), (["name:too_long"],)]
+    assert rows(loaded.report) == [("id", "null", 1), ("name", "too_long", 1)]
 
 
 def test_append_positional_adds_to_the_table(spark, tmp_path):
