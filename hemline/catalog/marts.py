@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hemline.catalog.registry import query, table
 from hemline.contracts import PRODUCT_DETAIL, RANKING
+from hemline.functions.casts import null_to_zero
 from hemline.operators.grouping import left_join_using
 from hemline.operators.lookup import broadcast_if_small
 from hemline.operators.ranking import top_items, top_n
@@ -18,7 +20,8 @@ def listed_products(spark, d):
 
     The supplier side is broadcast only while it is small. Lines are aggregated per
     region, part and flag before the part's attributes are joined, so that join handles
-    one row per listed product.
+    one row per listed product. Keys are present, as both tables built from this require:
+    with the same rows kept for both, their plans share the aggregate.
     """
     region = broadcast_if_small(
         table(spark, d, "supplier")
@@ -34,8 +37,9 @@ def listed_products(spark, d):
     return sold.join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("r_name").alias("platform"),
         F.concat_ws("-", "l_returnflag", "p_type", "p_brand").alias("master_category_name"),
-        "qty", "n_lines", "p_partkey", "p_name", "p_brand", "p_size", "p_retailprice",
-    )
+        F.col("p_partkey").try_cast("int").alias("product_id"),
+        "qty", "n_lines", "p_name", "p_brand", "p_size", "p_retailprice",
+    ).where(F.col("platform").isNotNull() & F.col("product_id").isNotNull())
 
 
 def ranking_and_detail(spark, d):
@@ -45,10 +49,10 @@ def ranking_and_detail(spark, d):
     """
     listed = listed_products(spark, d)
     keys = ["platform", "master_category_name"]
-    best = top_n(listed, keys, [F.desc("qty"), F.desc("n_lines"), F.asc("p_partkey")], 50, "ranking")
-    ranking = RANKING.conform(best, {"product_id": "p_partkey", "created_at": F.lit("2025-01-02")})
+    best = top_n(listed, keys, [F.desc("qty"), F.desc("n_lines"), F.asc("product_id")], 50, "ranking")
+    ranking = RANKING.conform(best, {"created_at": F.lit("2025-01-02")})
     detail = PRODUCT_DETAIL.conform(listed.where("p_size > 5"), {
-        "small_category_name": F.col("p_size").cast("string"), "product_id": "p_partkey",
+        "small_category_name": F.col("p_size").cast("string"),
         "img_url": F.concat(F.lit("/img/"), "p_name"), "product_name": "p_name", "brand_name_kr": "p_brand",
         "brand_name_en": F.lit(""), "original_price": "p_retailprice", "final_price": "qty", "discount_ratio": "p_size",
         "review_counting": "n_lines", "review_avg_rating": F.col("qty") / F.col("n_lines"),
@@ -120,13 +124,15 @@ def mart_brand(spark, d):
         F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).cast("int").alias("follower_count")
     )
     ranks = top_n(yearly, ["yr"], [F.desc("qty"), F.asc("l_suppkey")], 100, "rank")
-    before = ranks.select("l_suppkey", (F.col("yr") + 1).alias("yr"), F.col("rank").alias("_before"))
+    # The year before is the row before, when there is one: no second pass over the lines.
+    by_year = Window.partitionBy("l_suppkey").orderBy("yr")
+    before = F.when(F.lag("yr").over(by_year) == F.col("yr") - 1, F.lag("rank").over(by_year))
+    ranks = ranks.withColumn("previous_rank", null_to_zero(before))
     kinds = lineitem.join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select("l_suppkey", "p_type")
     labels = top_items(kinds, "l_suppkey", "p_type", 2, ["labels_name_1", "labels_name_2"])
     names = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("brand_name"))
-    brands = left_join_using(left_join_using(ranks, before, "l_suppkey", "yr"), labels, "l_suppkey").join(names, "l_suppkey")
+    brands = left_join_using(ranks, labels, "l_suppkey").join(names, "l_suppkey")
     return marts.snap_brand_ranking(brands.withColumns({
-        "previous_rank": F.coalesce("_before", F.lit(0)),
         "created_at": F.make_date("yr", F.lit(1), F.lit(1)),
         "img_url": F.concat(F.lit("/img/"), "brand_name"),
     }))
