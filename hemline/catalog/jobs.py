@@ -463,6 +463,40 @@ r as (select *, row_number() over (partition by source order by doc_id, cpos, ip
 """
 
 
+def _category_trees(spark, d):
+    """Every document is a tree: language, source, line number, words of the line."""
+    lines = F.split("text", "\n")
+    by_line = F.map_from_arrays(
+        F.transform(lines, lambda x, i: _text(i)), F.transform(lines, lambda x: F.split(x, " "))
+    )
+    return texts(spark, d, "documents").select("doc_id", F.create_map("lang", F.create_map("source", by_line)).alias("tree"))
+
+
+_CATEGORY_TREES = """
+with w as (select *, row_number() over (partition by lang, source order by doc_id desc) as rk from documents),
+l as (select lang, source, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as i
+      from w where rk = 1),
+t as (select lang as depth_1, source as depth_2, cast(i as varchar) as depth_3, unnest(string_split(line, ' ')) as depth_4 from l)
+"""
+
+
+@query("category_tuples", _CATEGORY_TREES + "select * from t")
+def category_tuples(spark, d):
+    return collect.category_tuples(_category_trees(spark, d), "tree", "doc_id")
+
+
+@query("category_groups", _CATEGORY_TREES + """
+, k as (select distinct * from t),
+s as (select depth_1, depth_2, depth_3, cast(ceil(count(*) / 40) as bigint) as n from k group by all)
+select depth_1, depth_2, depth_3, cast(cast(('0x' || substr(md5(depth_4), 1, 8)) as bigint) % n as int) as batch,
+       array_to_string(list_sort(list(depth_4)), ' ') as categories
+from k join s using (depth_1, depth_2, depth_3) group by all
+""")
+def category_groups(spark, d):
+    groups = collect.category_groups(collect.category_tuples(_category_trees(spark, d), "tree", "doc_id"))
+    return groups.withColumn("categories", F.array_join("categories", " "))
+
+
 @query("listing_items", _COMPONENT_ITEMS + "select source, cast(rk as int) as ranking, word from r where rk <= 50")
 def listing_items(spark, d):
     items = collect.listing_items(_component_pages(spark, d), "source", "doc_id")

@@ -25,9 +25,9 @@ from hemline.functions.arrays import distinct_names, membership_flag
 from hemline.functions.documents import json_path, page_links, page_meta, page_script, page_title
 from hemline.functions.text import text_after
 from hemline.operators.grouping import item_batches
-from hemline.operators.nested import enumerate_items
+from hemline.operators.nested import enumerate_items, tree_leaves
 from hemline.operators.quality import keep_present, skip_empty
-from hemline.operators.ranking import top_n
+from hemline.operators.ranking import last_wins, top_n
 
 
 def listing_products(listings: DataFrame, run_date: str, keep: list[str] | None = None) -> DataFrame:
@@ -115,6 +115,23 @@ def product_work_list(
     return item_batches(complete.where(F.col("product_id") != 0), [category], "product_id", batch_size, "product_ids")
 
 
+def category_tuples(trees: DataFrame, tree: str, position: str) -> DataFrame:
+    """Rows (depth_1 .. depth_4) of all category trees merged.
+
+    A tree is gender -> depth 2 -> depth 3 -> names. Where several trees hold the same
+    depth 2 of a gender, the one with the highest ``position`` replaces the others.
+    """
+    genders = trees.select(position, F.explode(tree).alias("depth_1", "_branch"))
+    branches = genders.select(position, "depth_1", F.explode("_branch").alias("depth_2", "_subtree"))
+    merged = last_wins(branches, ["depth_1", "depth_2"], [position])
+    return tree_leaves(merged, "_subtree", ["depth_3", "depth_4"], ["depth_1", "depth_2"])
+
+
+def category_groups(tuples: DataFrame, batch_size: int = PRODUCT_BATCH_SIZE) -> DataFrame:
+    """Lists of the depth-4 names per gender, depth 2 and depth 3."""
+    return item_batches(tuples, ["depth_1", "depth_2", "depth_3"], "depth_4", batch_size, "categories")
+
+
 def newest_reviews(reviews: DataFrame, product: str, written: str, review_id: str, n: int) -> DataFrame:
     """The ``n`` newest reviews of every product."""
     return top_n(reviews, [product], [F.desc(written), F.desc(review_id)], n)

@@ -94,6 +94,18 @@ def test_item_without_number_is_skipped_in_work_lists(spark):
     assert rows(got.select("category", "product_ids")) == [("c", [3, 5])]
 
 
+def test_a_later_category_tree_replaces_whole_branches(spark):
+    trees = [
+        (1, {"여성": {"상의": {"니트": ["a", "b"]}, "하의": {"팬츠": ["c"]}}}),
+        (2, {"여성": {"상의": {"셔츠": ["d"]}}, "남성": {"상의": {"니트": ["a"]}}}),
+        (3, None),
+    ]
+    df = spark.createDataFrame(trees, "position int, tree map<string, map<string, map<string, array<string>>>>")
+    tuples = collect.category_tuples(df, "tree", "position")
+    assert rows(tuples) == sorted([("여성", "상의", "셔츠", "d"), ("여성", "하의", "팬츠", "c"), ("남성", "상의", "니트", "a")])
+    assert ("여성", "하의", "팬츠", 0, ["c"]) in rows(collect.category_groups(tuples))
+
+
 def test_listing_stops_at_its_size_over_all_pages(spark):
     item = ((1,), "img", 1, (1,))
     components = [(9, ([(item, None)] * 3,)), (7, ([(item, None)],)), (9, None)]
