@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hemline.catalog.nested import line_words
+from hemline.catalog.projections import TITLE_SQL
 from hemline.catalog.registry import query, table, texts
 from hemline.operators.nested import components_of_kind
 from hemline.plans import category, collect, product, ranking, review, snap, trend, video, weather
@@ -414,8 +415,7 @@ def listing_products(spark, d):
     )
 
 
-@query("page_products", r"""
-select page_id, replace(nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ''), '&amp;', '&') as product_name,
+@query("page_products", f"select page_id, {TITLE_SQL} as product_name," + r"""
        case when starts_with(url, 'https') then 'slug' || page_id end as brand_name_en, 'brand ' || page_id as brand_name_kr,
        cast(page_id * 100 as varchar) as original_price, case when contains(url, '.com') then cast(page_id as varchar) end as final_price,
        cast(null as varchar) as discount_rate, url as image_src, cast(page_id as varchar) as review_count,

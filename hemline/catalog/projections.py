@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hemline.catalog.registry import query, table, texts
+from hemline.catalog.registry import query, table, texts, unescape_sql
 from hemline.contracts import Field, TableContract
 from hemline.fixed_values import DEPTH2_NAMES, DEPTH3_KEYS
 from hemline.functions import arrays, dates, documents, text
@@ -355,8 +355,10 @@ def json_path(spark, d):
     )
 
 
-@query("html_fields", r"""
-select page_id, replace(nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ''), '&amp;', '&') as title,
+TITLE_SQL = unescape_sql("nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '')")
+
+
+@query("html_fields", f"select page_id, {TITLE_SQL} as title," + r"""
        nullif(regexp_extract(html, '(?is)<html[^>]*\blang="([^"]*)"', 1), '') as lang,
        cast(len(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref=["'']([^"'']*)["'']', 1)) as int) as n_links,
        array_to_string(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref=["'']([^"'']*)["'']', 1), ' ') as links,
