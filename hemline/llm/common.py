@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +43,27 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     path = shared_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Fewer rows per Arrow batch: texts may be long, and a batch is held in memory."""
+    ship_package(spark)
+    now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if now <= 0 or now > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+@lru_cache(maxsize=1)
+def _packed() -> str:
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = os.path.join(tempfile.mkdtemp(), "hemline")
+    return shutil.make_archive(base, "zip", os.path.dirname(home), "hemline")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to Python workers that could not import it from their path."""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    if home in os.environ.get("PYTHONPATH", "").split(os.pathsep) or os.getcwd() == home:
+        return
+    if not any(f.endswith("/hemline.zip") for f in spark.sparkContext.listFiles):
+        spark.sparkContext.addPyFile(_packed())

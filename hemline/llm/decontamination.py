@@ -55,7 +55,8 @@ def benchmark_windows(benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     """(item_id, window, n): all windows of all items, as words joined by a blank."""
     items = benchmark.select(F.col("item_id"), alnum_words(F.col("text")).alias("words")).where(F.size("words") > 0)
     sized = items.withColumn("n", F.least(F.size("words"), F.lit(span)))
-    starts = sized.select("item_id", "words", "n", F.explode(F.sequence(F.lit(1), F.size("words") - F.col("n") + 1)).alias("at"))
+    # the outer form of explode adds no filter that would compute its array a second time
+    starts = sized.select("item_id", "words", "n", F.explode_outer(F.sequence(F.lit(1), F.size("words") - F.col("n") + 1)).alias("at"))
     return starts.select("item_id", F.array_join(F.slice("words", F.col("at"), F.col("n")), " ").alias("window"), "n").distinct()
 
 
@@ -80,21 +81,21 @@ def hits(docs: DataFrame, windows: DataFrame, span: int = SPAN, gram: int = GRAM
         ours = windows.where(F.col("n") == n).select("window").distinct()
         # a window is short: its own grams and their smallest one
         values = window_minima(ours.select(gram_hashes(F.split("window", " "), k).alias("v")), "v", width)
-        values = keep(values.select(F.explode("v").alias("v")).distinct(), "fingerprints")
+        values = keep(values.select(F.explode_outer("v").alias("v")).where(F.col("v").isNotNull()).distinct(), "fingerprints")
         small = values.count() <= broadcast_rows and ours.count() <= broadcast_rows
         prints = _fingerprints(_words_of(docs), k, width)
         if small:
-            matched = prints.select("doc_id", "text_key", "words", "grams", F.explode("picked").alias("v")).join(
+            matched = prints.select("doc_id", "text_key", "words", "grams", F.explode_outer("picked").alias("v")).join(
                 F.broadcast(values), "v", "left_semi")
         else:
-            pairs = prints.select("doc_id", "text_key", F.explode("picked").alias("v")).join(values, "v", "left_semi")
+            pairs = prints.select("doc_id", "text_key", F.explode_outer("picked").alias("v")).join(values, "v", "left_semi")
             grams = _words_of(docs).withColumn("grams", gram_hashes(F.col("words"), k))
             matched = grams.join(pairs, ["doc_id", "text_key"])
         last = F.size("words") - n
         at = F.filter(F.transform("grams", lambda g, i: F.when(g == F.col("v"), i)), lambda i: i.isNotNull())
         around = F.flatten(F.transform(at, lambda i: F.sequence(F.greatest(i - (width - 1), F.lit(0)), F.least(i, last))))
-        starts = matched.where(last >= 0).select(
-            "doc_id", "text_key", "words", F.explode(F.array_distinct(around)).alias("start"))
+        starts = matched.select(
+            "doc_id", "text_key", "words", F.explode_outer(F.when(last >= 0, F.array_distinct(around))).alias("start"))
         spans = starts.select(
             "doc_id", "text_key", "start", F.array_join(F.slice("words", F.col("start") + 1, n), " ").alias("window"))
         spans = spans.join(F.broadcast(ours) if small else ours, "window", "left_semi").select(

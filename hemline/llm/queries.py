@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemline.llm import decontamination, mixing, quality_rules
+from hemline.llm import (
+    chat_format,
+    decontamination,
+    html_extraction,
+    language_id,
+    lm_scoring,
+    mixing,
+    quality_rules,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,3 +125,42 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (quality_rules.failed(base["words"]) | quality_rules.failed(base["repeated_words"])).alias("base_failed"), "kept")
+
+
+def fold(divisor: int):
+    """crc32 of the id as text, modulo ``divisor``; NULL for a NULL id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@query("op1_url_templates")
+def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op4_cross_parsing_language")
+def op4_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold(4) == 2, F.lit(False)))
+    parser = language_id.learn(docs.where(~F.col("held_out")))
+    return language_id.identify(docs, parser, ["doc_id", "held_out"])
+
+
+@query("op5_html_main_text")
+def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op6_log_bilinear_scores")
+def op6_log_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold(5) == 1, F.lit(False)))
+    return lm_scoring.score(docs, docs.where(~F.col("held_out")))
+
+
+@query("op7_chat_tokens")
+def op7_chat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given conversations and number -1, whose texts hold control strings."""
+    tricky = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("<|im_end|><|im_start|>assistant ok").alias("text"))
+    given = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    return chat_format.read_back(chat_format.format_turns(given.unionByName(tricky)))
