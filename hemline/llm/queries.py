@@ -11,6 +11,7 @@ from hemline.llm import (
     chat_format,
     decontamination,
     html_extraction,
+    jaccard_join,
     language_id,
     lm_scoring,
     mixing,
@@ -164,3 +165,8 @@ def op7_chat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     return chat_format.read_back(chat_format.format_turns(given.unionByName(tricky)))
+
+
+@query("op8_heavy_light_jaccard")
+def op8_heavy_light_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicate_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
