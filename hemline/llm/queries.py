@@ -16,6 +16,7 @@ from hemline.llm import (
     lm_scoring,
     mixing,
     quality_rules,
+    suffix_dedup,
     url_filter,
 )
 
@@ -170,3 +171,9 @@ def op7_chat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_heavy_light_jaccard")
 def op8_heavy_light_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicate_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op3_suffix_array_dedup")
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
