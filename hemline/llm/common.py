@@ -53,6 +53,21 @@ def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def without(docs: DataFrame, dropped: DataFrame, broadcast_rows: int = 500_000) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, text_key) isn't among the ``dropped`` ones.
+
+    The dropped keys are counted; a small number is broadcast, a larger one joined by a shuffle.
+    """
+    keys = keep(dropped.select(F.col("doc_id").alias("dropped_id"), F.col("text_key").alias("dropped_key")).distinct(), "dropped")
+    small = keys.count() <= broadcast_rows
+    same = docs["doc_id"].eqNullSafe(F.col("dropped_id")) & (text_key(docs["text"]) == F.col("dropped_key"))
+    return docs.join(F.broadcast(keys) if small else keys, same, "left_anti")
+
+
 @lru_cache(maxsize=1)
 def _packed() -> str:
     home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

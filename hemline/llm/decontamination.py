@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hemline.llm.common import alnum_words, keep
+from hemline.llm.common import alnum_words, keep, text_key, without
 
 SPAN = 10
 GRAM = 5
@@ -61,8 +61,7 @@ def benchmark_windows(benchmark: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def _words_of(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id"), F.xxhash64(text).alias("text_key"), alnum_words(text).alias("words"))
+    return docs.select(F.col("doc_id"), text_key(F.col("text")).alias("text_key"), alnum_words(F.col("text")).alias("words"))
 
 
 def _fingerprints(words: DataFrame, k: int, width: int) -> DataFrame:
@@ -137,3 +136,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
         F.coalesce("item_ids", F.array().cast(dict(benchmark.dtypes)["item_id"].join(["array<", ">"]))).alias("item_ids"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """The rows, with all their columns, that share no window with the benchmark."""
+    windows = keep(benchmark_windows(benchmark, span), "windows")
+    return without(docs, hits(docs, windows, span, gram))

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hemline.llm.common import keep, small_batches
+from hemline.llm.common import keep, small_batches, text_key, without
 
 WORDS = 3
 PERCENT = 90
@@ -181,7 +181,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), F.col("text"))
+        F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), F.col("text"))
 
 
 def hub_members(sets: DataFrame) -> DataFrame:
@@ -336,3 +336,20 @@ def near_duplicate_groups(docs: DataFrame, piece: int = PIECE, broadcast_rows: i
     groups = labelled.join(smallest, "label").select("set_id", "component_id")
     return sets.select("doc_id", "text_key", "n_shingles", "set_id").join(groups, "set_id").select(
         "doc_id", "text_key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The rows, with all their columns, of which one is left in each group of linked documents:
+    that of the smallest doc_id (and text hash). Documents with an empty set all stay."""
+    groups = keep(near_duplicate_groups(docs), "groups").where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    heads = groups.where(F.col("doc_id") == F.col("component_id")).groupBy("component_id").agg(
+        F.min("text_key").alias("text_key"), F.count("*").alias("rows")).withColumnRenamed("component_id", "doc_id")
+    left = without(docs, groups.join(heads, ["doc_id", "text_key"], "left_anti"))
+    repeated = groups.groupBy("doc_id", "text_key").agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
+    repeated = keep(repeated.select("doc_id", "text_key"), "repeated-rows")
+    if not repeated.head(1):
+        return left
+    # equal ids and texts: the rest without them, and one row of each
+    again = repeated.select(F.col("doc_id").alias("again_id"), F.col("text_key").alias("again_key"))
+    same = (left["doc_id"] == F.col("again_id")) & (text_key(left["text"]) == F.col("again_key"))
+    return without(left, repeated).unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))

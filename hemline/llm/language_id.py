@@ -39,6 +39,8 @@ CHUNK = 2_000_000
 UNKNOWN = "und"
 #: A text that needs more phrases per symbol than this is in none of the learned languages.
 REJECT_AT = 0.75
+#: Texts of fewer symbols count as this many, so that a short text isn't taken for none of them.
+SHORT = 40
 
 _LETTER = re.compile(r"[^\W\d_]")
 _PAD, _BLANK, _OTHER = 0, 1, 2
@@ -155,7 +157,7 @@ class CrossParser:
             for row, at in enumerate(pending):
                 names[at] = self.languages[best[row]]
                 scores[at] = float(1 - ranked[row, 0] / ranked[row, 1]) if table.shape[1] > 1 else 1.0
-                rates[at] = float(ranked[row, 0] / len(symbols[row]))
+                rates[at] = float(ranked[row, 0] / max(len(symbols[row]), SHORT))
             pending.clear()
             symbols.clear()
 
@@ -186,7 +188,8 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = S
 
 
 def identify(docs: DataFrame, parser: CrossParser, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with lang_pred, score and phrase_rate of every row's ``text``.
+    """lang_pred, score and phrase_rate of every row's ``text``, with the columns ``keep`` as the
+    struct ``kept``, whose names can't clash with them.
 
     Rows stream through in Arrow batches; kept columns pass through untouched.
     """
@@ -201,4 +204,10 @@ def identify(docs: DataFrame, parser: CrossParser, keep: list[str]) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column("kept"), *columns], names=["kept", *names])
 
     kept = packed.schema["kept"].dataType.simpleString()
-    return packed.mapInArrow(run, f"kept {kept}, lang_pred string, score double, phrase_rate double").select("kept.*", *names)
+    return packed.mapInArrow(run, f"kept {kept}, lang_pred string, score double, phrase_rate double")
+
+
+def in_known_language(docs: DataFrame, parser: CrossParser) -> DataFrame:
+    """The rows, with all their columns, whose text has letters and reads as a learned language."""
+    judged = identify(docs, parser, docs.columns)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("phrase_rate") < REJECT_AT)).select("kept.*")

@@ -143,7 +143,7 @@ def op1_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold(4) == 2, F.lit(False)))
     parser = language_id.learn(docs.where(~F.col("held_out")))
-    return language_id.identify(docs, parser, ["doc_id", "held_out"])
+    return language_id.identify(docs, parser, ["doc_id", "held_out"]).select("kept.*", "lang_pred", "score", "phrase_rate")
 
 
 @query("op5_html_main_text")
@@ -175,5 +175,5 @@ def op8_heavy_light_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_suffix_array_dedup")
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"]).select(
+        "kept.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

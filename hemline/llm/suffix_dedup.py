@@ -257,10 +257,11 @@ class Sorter:
         self._clear()
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text as bytes, and a key of the text."""
+def keyed(docs: DataFrame, keep_columns: list[str]) -> DataFrame:
+    """The other columns to keep as a struct, text as bytes, and a key of the text."""
     data = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(data).alias("text_key"), data.alias("data"))
+    kept = [F.col(f"`{c}`") for c in keep_columns]
+    return docs.select(F.struct(F.col("text").isNull().alias("no_text"), *kept).alias("kept"), F.xxhash64(data).alias("text_key"), data.alias("data"))
 
 
 _ROWS = {"anchor": pa.int64(), "context": pa.int64(), "text_key": pa.int64(), "at": pa.int32(), "low": pa.int16(), "high": pa.int16()}
@@ -392,24 +393,36 @@ def kept_parts(data: bytes, starts: list[dict] | None) -> tuple[list[tuple[int,
     return runs, b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
-def remove_repeats(docs: DataFrame, piece: int = PIECE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """doc_id, text_key, n_bytes, n_removed, n_spans, kept_sha256 and kept (bytes) of every row."""
+def remove_repeats(docs: DataFrame, keep_columns: list[str], piece: int = PIECE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Of every row: ``kept`` (struct of ``keep_columns``), n_bytes, n_removed, n_spans, kept_sha256 and
+    kept_text, the bytes left as text; characters that lost a byte go with it."""
     small_batches(docs.sparkSession)
-    texts = keyed(docs)
+    texts = keyed(docs, keep_columns)
     starts = keep(repeated_starts(texts, piece), "repeated-starts")
     size = starts.agg(F.count("*"), F.coalesce(F.sum(F.size("starts")), F.lit(0))).first()
     small = size[0] <= broadcast_rows and size[1] <= 4 * broadcast_rows
-    rows = texts.join(F.broadcast(starts) if small else starts, "text_key", "left").select("doc_id", "text_key", "data", "starts")
+    rows = texts.join(F.broadcast(starts) if small else starts, "text_key", "left").select("kept", "data", "starts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for data, starts in zip(batch.column("data").to_pylist(), batch.column("starts").to_pylist()):
                 runs, left = kept_parts(data, starts)
-                out.append((len(data), len(data) - len(left), len(runs), hashlib.sha256(left).hexdigest(), left))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+                out.append((len(data), len(data) - len(left), len(runs), hashlib.sha256(left).hexdigest(), left.decode(errors="ignore")))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), *[pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)]],
-                names=["doc_id", "text_key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                [batch.column("kept"), *[pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)]],
+                names=["kept", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
-    return rows.mapInArrow(run, "doc_id long, text_key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    kept = rows.schema["kept"].dataType.simpleString()
+    return rows.mapInArrow(run, f"kept {kept}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The rows with their columns, repeated strings cut out of ``text``; n_chars follows the text."""
+    others = [c for c in docs.columns if c != "text"]
+    cut = remove_repeats(docs, others)
+    text = F.when(~F.col("kept.no_text"), F.col("kept_text"))
+    changed = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("kept.n_chars"))} \
+        if "n_chars" in others else {"text": text}
+    return cut.select(*[changed.get(c, F.col(f"kept.`{c}`")).alias(c) for c in docs.columns])
