@@ -42,8 +42,8 @@ CLASSES = OWN_CLASSES + 1 + SUFFIX_CLASSES
 END_CLASS, FIRST_SUFFIX, BEGIN = OWN_CLASSES, OWN_CLASSES + 1, CLASSES
 WIDTH = 16
 NOISE_PER_TOKEN = 10
-NOISE_SAMPLE = 128
-BATCH = 8_192
+NOISE_SAMPLE = 64
+BATCH = 4_096
 RATE = 0.1
 #: Tokens whose equal contexts are gathered before a training pass, and partial counts held by a task.
 TRAIN_CHUNK = 1_500_000
@@ -191,7 +191,7 @@ class Trainer:
 
     def __init__(self, model: LogBilinear, noise: np.ndarray) -> None:
         self.model, self.noise, self.random = model, noise, np.random.default_rng(5)
-        self.squares = [np.full(a.shape, 1e-2) for a in model.arrays()]
+        self.squares = [np.full(a.shape, 1e-6) for a in model.arrays()]
         self.log_noise = np.log(NOISE_PER_TOKEN * noise)
 
     def fit(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> None:
