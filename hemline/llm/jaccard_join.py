@@ -45,7 +45,7 @@ CLASS_GROWTH = 1.25
 #: Different sets a task remembers in order to emit the lists of equal sets once.
 SEEN = 200_000
 #: Shingles of the texts that are compared with each other in one piece.
-PIECE = 400_000
+PIECE = 60_000
 BROADCAST_ROWS = 500_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
