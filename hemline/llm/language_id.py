@@ -77,13 +77,18 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 def parse_table(step: list[dict[int, int]]) -> np.ndarray:
-    """Flat table over (state * ALPHABET + symbol): next row offset * 2 + whether a phrase ended."""
+    """Flat table over (state * ALPHABET + symbol): next row offset * 4 + number of phrases that end.
+
+    A symbol that doesn't go on ends the phrase before it; one that the sample lacks is a phrase too.
+    """
     table = np.zeros((len(step), ALPHABET), dtype=np.int32)
     for state, moves in enumerate(step):
         for symbol, to in moves.items():
             table[state, symbol] = to
     missing = table == 0
-    following = np.where(missing, table[0][None, :], table) * (ALPHABET * 2) + missing
+    opened = np.arange(len(step))[:, None] > 0
+    ends = missing * (opened + (table[0] == 0)[None, :])
+    following = np.where(missing, table[0][None, :], table) * (ALPHABET * 4) + ends
     following[:, _PAD] = 1  # the end of a text closes its phrase
     following[0, _PAD] = 0
     return following.astype(np.int32).ravel()
@@ -132,8 +137,8 @@ class CrossParser:
             for symbol in columns:
                 state += symbol
                 move = table.take(state)
-                count += move & 1
-                state = move >> 1
+                count += move & 3
+                state = move >> 2
             out[i] = np.add.reduceat(count + (state > 0), first)
         return out.T
 
