@@ -86,7 +86,7 @@ def parse_table(step: list[dict[int, int]]) -> np.ndarray:
         for symbol, to in moves.items():
             table[state, symbol] = to
     missing = table == 0
-    opened = np.arange(len(step))[:, None] > 0
+    opened = (np.arange(len(step))[:, None] > 0).astype(np.int32)
     ends = missing * (opened + (table[0] == 0)[None, :])
     following = np.where(missing, table[0][None, :], table) * (ALPHABET * 4) + ends
     following[:, _PAD] = 1  # the end of a text closes its phrase
