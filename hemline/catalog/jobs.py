@@ -416,7 +416,7 @@ def listing_products(spark, d):
 
 
 @query("page_products", f"select page_id, {TITLE_SQL} as product_name," + r"""
-       case when starts_with(url, 'https') then 'slug' || page_id end as brand_name_en, 'brand ' || page_id as brand_name_kr,
+       case when starts_with(url, 'https') then 'slug' || page_id end as brand_name_en, 'brand''s 가 ' || page_id as brand_name_kr,
        cast(page_id * 100 as varchar) as original_price, case when contains(url, '.com') then cast(page_id as varchar) end as final_price,
        cast(null as varchar) as discount_rate, url as image_src, cast(page_id as varchar) as review_count,
        case when contains(url, '?') then cast(page_id as varchar) end as review_avg_rating
@@ -426,7 +426,7 @@ def page_products(spark, d):
     # The product tags are added to the stored pages, attributes in either order.
     score = F.when(F.col("url").contains("?"), F.concat(F.lit(', "satisfactionScore": '), _text("page_id"))).otherwise("")
     head = F.concat(
-        F.lit('<meta property="product:brand" content="brand '), _text("page_id"),
+        F.lit('<meta property="product:brand" content="brand\'s &#44032; '), _text("page_id"),
         F.lit('"/><meta content="'), _text(F.col("page_id") * 100), F.lit('" property="product:price:normal_price">'),
         F.when(F.col("url").contains(".com"), F.concat(F.lit('<meta property="product:price:amount" content="'), _text("page_id"), F.lit('">'))).otherwise(""),
         F.lit('<meta property="og:image" content="'), F.col("url"), F.lit('">'),

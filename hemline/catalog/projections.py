@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hemline.catalog.registry import query, table, texts, unescape_sql
+from hemline.catalog.registry import query, table, texts
 from hemline.contracts import Field, TableContract
 from hemline.fixed_values import DEPTH2_NAMES, DEPTH3_KEYS
 from hemline.functions import arrays, dates, documents, text
@@ -257,13 +257,15 @@ def text_to_date(spark, d):
 @query("compact_date", "select event_id, cast(ts as date) as day, cast(null as date) as bad_day from events")
 def compact_date(spark, d):
     return table(spark, d, "events").select(
-        "event_id", dates.compact_date(F.date_format("ts", "yyyyMMdd")).alias("day"),
+        "event_id", dates.compact_date(F.concat(F.lit(" "), F.date_format("ts", "yyyyMMdd"))).alias("day"),
         dates.compact_date(F.date_format("ts", "yyyyMM")).alias("bad_day"),
     )
 
 
 @query("ts_offset_to_date", """
-select event_id, cast(ts + interval 9 hour as date) as local_day, cast(ts as date) as utc_day from events
+select event_id, cast(ts + interval 9 hour as date) as local_day, cast(ts as date) as utc_day,
+       cast(ts + interval 330 minute as date) as short_day, cast(null as date) as no_offset
+from events
 """)
 def ts_offset_to_date(spark, d):
     # The same wall-clock text with two offsets: nine hours ahead of and equal to UTC.
@@ -272,13 +274,22 @@ def ts_offset_to_date(spark, d):
         "event_id",
         dates.offset_text_to_date(F.concat(wall, F.lit("+00:00"))).alias("local_day"),
         dates.offset_text_to_date(F.concat(wall, F.lit("+09:00"))).alias("utc_day"),
+        dates.offset_text_to_date(F.concat(wall, F.lit("+0330"))).alias("short_day"),
+        dates.offset_text_to_date(wall).alias("no_offset"),
     )
 
 
-@query("ts_utc", "select event_id, date_trunc('second', ts) as published_at from events")
+@query("ts_utc", """
+select event_id, date_trunc('second', ts) as published_at, date_trunc('second', ts) - interval 9 hour as from_seoul,
+       cast(null as timestamp) as no_offset
+from events
+""")
 def ts_utc(spark, d):
+    wall = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     return table(spark, d, "events").select(
-        "event_id", dates.utc_text_to_timestamp(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("published_at")
+        "event_id", dates.utc_text_to_timestamp(F.concat(wall, F.lit("Z"))).alias("published_at"),
+        dates.utc_text_to_timestamp(F.concat(wall, F.lit("+09:00"))).alias("from_seoul"),
+        dates.utc_text_to_timestamp(wall).alias("no_offset"),
     )
 
 
@@ -355,20 +366,28 @@ def json_path(spark, d):
     )
 
 
-TITLE_SQL = unescape_sql("nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '')")
+# The stored titles hold no entity but the ampersand's; texts with others are stated as expected.
+TITLE_SQL = "replace(split_part(split_part(html, '<title>', 2), '</title>', 1), '&amp;', '&')"
 
 
-@query("html_fields", f"select page_id, {TITLE_SQL} as title," + r"""
-       nullif(regexp_extract(html, '(?is)<html[^>]*\blang="([^"]*)"', 1), '') as lang,
-       cast(len(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref=["'']([^"'']*)["'']', 1)) as int) as n_links,
-       array_to_string(regexp_extract_all(html, '(?i)<a\b[^>]*\bhref=["'']([^"'']*)["'']', 1), ' ') as links,
-       cast(null as varchar) as brand
+@query("html_fields", f"select page_id, {TITLE_SQL}" + r""" || ' Café 가 — Levi''s <b>' as title,
+       split_part(split_part(html, '<html lang="', 2), '"', 1) as lang,
+       cast(len(string_split(html, '<a href="')) + 2 as int) as n_links,
+       array_to_string(list_concat([split_part(x, '"', 1) for x in string_split(html, '<a href="')[2:]], ['/b/o''neill', '/plain', '/two words']), ' ') as links,
+       'Levi''s "Men"' as brand, '100' as price, cast(null as varchar) as twin
 from pages
 """)
 def html_fields(spark, d):
+    # Forms that the stored pages lack: entities, the other quote inside a value, no quotes, look-alike names.
+    html = F.replace("html", F.lit("</title>"), F.lit(" Caf&eacute; &#44032; &#x2014; Levi&apos;s &lt;b&gt;</title>"))
+    extra = """<meta data-property="og:twin" content="no"><meta content='Levi&#39;s "Men"' property='product:brand'>
+<meta property=product:price content=100><meta name="x" content="property='og:twin' content='no'">
+<a data-href="/no" href="/b/o'neill">b</a><A HREF=/plain class=c>c</A><a title="href='/no'" href='/two words'>d</a>"""
+    pages = texts(spark, d, "pages").select("page_id", F.concat(html, F.lit(extra)).alias("html"))
     links = documents.page_links("html")
-    return texts(spark, d, "pages").select(
+    return pages.select(
         "page_id", documents.page_title("html").alias("title"), documents.page_lang("html").alias("lang"),
         F.size(links).alias("n_links"), F.array_join(links, " ").alias("links"),
         documents.page_meta("html", "product:brand").alias("brand"),
+        documents.page_meta("html", "product:price").alias("price"), documents.page_meta("html", "og:twin").alias("twin"),
     )

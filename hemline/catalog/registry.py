@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hemline.fixed_values import HTML_ENTITIES
 from hemline.sources.readers import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,14 +25,6 @@ def query(name: str, sql: str) -> Callable[[Query], Query]:
     return register
 
 
-def unescape_sql(expression: str) -> str:
-    """SQL that replaces the common HTML entities in a text expression."""
-    for entity, character in HTML_ENTITIES.items():
-        quoted = character.replace("'", "''")
-        expression = f"replace({expression}, '{entity}', '{quoted}')"
-    return expression
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -75,17 +75,7 @@ PAGE_META = {
     "discount_rate": "product:price:sale_rate",
     "image_src": "og:image",
 }
-HTML_ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#34;": '"',
-    "&#39;": "'",
-    "&#x27;": "'",
-    "&apos;": "'",
-    "&nbsp;": "\u00a0",
-    "&amp;": "&",
-}
+
 PAGE_JSON_ID = "__NEXT_DATA__"
 PAGE_REVIEW_PATH = "$.props.pageProps.meta.data.goodsReview"
 

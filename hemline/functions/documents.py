@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
+from html import unescape as unescape_reference
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hemline.fixed_values import HTML_ENTITIES
 from hemline.functions.casts import as_column
 
 
@@ -24,11 +24,56 @@ def _found(c: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
 
 
+# Attributes of a tag: everything up to the ">" outside quotes; then names with their values, whose
+# quotes may hold the other kind of quote. A value is never searched for names.
+_INSIDE_TAG = r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+_ATTRIBUTE = r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'=<>`]+))?"""
+
+_REFERENCE = r"&(#[0-9]{1,9}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]{1,31});"
+#: Numbers 128 to 159 stand for the characters of the Windows code page.
+_C1 = {n: unescape_reference(f"&#{n};") for n in range(128, 160)}
+
+
+def _named_references() -> Column:
+    names = sorted(n[:-1] for n in html5 if n.endswith(";"))
+    return F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.lit(html5[n + ";"]) for n in names]))
+
+
+def _character(number: Column) -> Column:
+    """Text of a code point; the replacement character for what is none."""
+    hexadecimal = F.lpad(F.hex(number), 8, "0")
+    valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    c1 = F.map_from_arrays(F.array(*map(F.lit, _C1)), F.array(*map(F.lit, _C1.values())))
+    return F.when(number.between(128, 159), c1[number.cast("int")]).when(
+        valid, F.decode(F.unhex(hexadecimal), "UTF-32")).otherwise("\ufffd")
+
+
 def unescape(c: Column) -> Column:
-    """Replace the common HTML entities by their characters (the ampersand last)."""
-    for entity, character in HTML_ENTITIES.items():
-        c = F.replace(c, F.lit(entity), F.lit(character))
-    return c
+    """Replace all character references that end in a semicolon; unknown names stay as they are."""
+    def resolved(reference: Column) -> Column:
+        body = F.substring(reference, 2, 100)
+        name = F.regexp_replace(body, ";$", "")
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 10), 16, 10)).otherwise(F.substring(name, 2, 10))
+        return F.when(name == "amp", "&").when(name.startswith("#"), _character(number.try_cast("bigint"))).otherwise(
+            F.coalesce(F.try_element_at(_named_references(), name), reference))
+
+    between = F.split(c, _REFERENCE, -1)
+    references = F.transform(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0)), resolved)
+    joined = F.array_join(F.flatten(F.zip_with(between, references, lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
+    return F.when(F.contains(c, F.lit("&")), joined).otherwise(c)
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of the first attribute of this name, without quotes; NULL when absent or empty."""
+    names = F.transform(F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(1)), F.lower)
+    values = F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(2))
+    value = F.get(values, F.array_position(names, name).cast("int") - 1)
+    quoted = value.startswith('"') | value.startswith("'")
+    return F.nullif(F.when(quoted, F.substring(value, 2, F.length(value) - 2)).otherwise(value), F.lit(""))
+
+
+def _tags(html: Column, name: str) -> Column:
+    return F.regexp_extract_all(html, F.lit(rf"(?is)<{name}(?=[\s/>]){_INSIDE_TAG}"), F.lit(1))
 
 
 def page_title(html: Column | str, suffix: str | None = None) -> Column:
@@ -38,23 +83,23 @@ def page_title(html: Column | str, suffix: str | None = None) -> Column:
 
 
 def page_lang(html: Column | str) -> Column:
-    return _found(as_column(html), r"(?is)<html[^>]*\blang=\"([^\"]*)\"")
+    return _attribute(F.get(_tags(as_column(html), "html"), 0), "lang")
 
 
 def page_meta(html: Column | str, prop: str) -> Column:
-    """Content of <meta property=prop>, whichever attribute comes first."""
-    html, prop = as_column(html), re.escape(prop)
-    return unescape(F.coalesce(
-        _found(html, rf"(?is)<meta\b[^>]*\bproperty=[\"']{prop}[\"'][^>]*\bcontent=[\"']([^\"']*)[\"']"),
-        _found(html, rf"(?is)<meta\b[^>]*\bcontent=[\"']([^\"']*)[\"'][^>]*\bproperty=[\"']{prop}[\"']"),
-    ))
+    """Content of the first <meta property=prop>, whichever attribute comes first."""
+    named = F.filter(_tags(as_column(html), "meta"), lambda tag: _attribute(tag, "property") == prop)
+    return unescape(_attribute(F.get(named, 0), "content"))
 
 
 def page_links(html: Column | str) -> Column:
-    """Array of link targets in page order."""
-    return F.regexp_extract_all(as_column(html), F.lit(r"(?i)<a\b[^>]*\bhref=[\"']([^\"']*)[\"']"), F.lit(1))
+    """Array of link targets in page order; links without a target are left out."""
+    targets = F.transform(_tags(as_column(html), "a"), lambda tag: unescape(_attribute(tag, "href")))
+    return F.filter(targets, lambda link: link.isNotNull())
 
 
 def page_script(html: Column | str, script_id: str) -> Column:
-    """Text of the <script> with this id, NULL when absent."""
-    return _found(as_column(html), rf"(?is)<script\b[^>]*\bid=[\"']{re.escape(script_id)}[\"'][^>]*>(.*?)</script>")
+    """Text of the first <script> with this id, NULL when absent."""
+    scripts = F.regexp_extract_all(as_column(html), F.lit(rf"(?is)<script(?=[\s/>]){_INSIDE_TAG}.*?</script"), F.lit(0))
+    named = F.filter(scripts, lambda s: _attribute(F.regexp_extract(s, rf"(?is)^<script{_INSIDE_TAG}", 1), "id") == script_id)
+    return F.nullif(F.regexp_extract(F.get(named, 0), rf"(?is)^<script{_INSIDE_TAG}(.*)</script$", 2), F.lit(""))

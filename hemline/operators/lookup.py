@@ -1,9 +1,9 @@
 """Dimension lookup by key.
 
 A lookup never changes the number of fact rows: the dimension is checked to be
-unique per key. It is broadcast only when a bounded count shows that it is small;
-otherwise the join is left to Spark, which shuffles both sides and splits a hot key
-(adaptive skew join).
+unique per key. It is broadcast only when its rows and bytes, summed by each task before
+anything moves, are within the bounds; otherwise both sides are shuffled and Spark
+splits a hot key (adaptive skew join).
 """
 
 from __future__ import annotations
@@ -15,18 +15,16 @@ MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def _measure(df: DataFrame, max_rows: int, *key: str):
-    """(rows, bytes, distinct keys) of the first ``max_rows + 1`` rows."""
+def _measure(df: DataFrame, *key: str):
+    """(rows, bytes, distinct keys). Tasks send sums, and for keys each different key once."""
     row_bytes = F.octet_length(F.to_json(F.struct("*")))
     distinct = F.count_distinct(*key) if key else F.lit(None)
-    return df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(row_bytes), F.lit(0)), distinct
-    ).first()
+    return df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes), F.lit(0)), distinct).first()
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Whether the frame is within both bounds. Looks at no more than ``max_rows + 1`` rows."""
-    rows, size, _ = _measure(df, max_rows)
+    """Whether the frame is within both bounds."""
+    rows, size, _ = _measure(df)
     return rows <= max_rows and size <= max_bytes
 
 
@@ -55,11 +53,11 @@ def map_lookup(
     Keys without a dimension row get ``default`` (NULL when not given).
     """
     dim = dim.where(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias("_lookup_key"), *values)
-    rows, size, keys = _measure(dim, max_broadcast_rows, "_lookup_key")
+    rows, size, keys = _measure(dim, "_lookup_key")
     small = rows <= max_broadcast_rows and size <= MAX_BROADCAST_BYTES
-    if not small or keys < rows:
+    if keys < rows:
         require_unique(dim, ["_lookup_key"])
-    joined = df.join(F.broadcast(dim) if small else dim, F.col(key) == F.col("_lookup_key"), "left")
+    joined = df.join(F.broadcast(dim) if small else dim.hint("shuffle_merge"), F.col(key) == F.col("_lookup_key"), "left")
     if default is not None:
         # Only keys without a dimension row take the default; a NULL inside the row stays.
         absent = F.col("_lookup_key").isNull()
