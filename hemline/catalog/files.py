@@ -87,7 +87,7 @@ def scan_csv(spark, d):
 select l_returnflag, cast(count(*) as bigint) as n_rows, sum(l_quantity) as sum_qty from lineitem group by l_returnflag
 """)
 def read_sized(spark, d):
-    df = readers.read_sized(spark, f"{d}/lineitem.parquet", "parquet", lo=4, hi=64)
+    df = readers.read_sized(spark, f"{d}/lineitem.parquet", "parquet", lo=4)
     return df.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").alias("sum_qty"))
 
 
@@ -198,14 +198,15 @@ ORDER_HEAD = TableContract("order_tb", (
 
 
 @query("multi_source_load", """
-select o_orderkey, o_orderstatus, o_totalprice, lower(o_orderstatus) as source from orders where o_orderstatus in ('F', 'O', 'P')
+select o_orderkey, o_orderstatus, o_totalprice, case when o_orderstatus in ('F', 'O') then lower(o_orderstatus) else 'other' end as source from orders
 """)
 def multi_source_load(spark, d):
     name = _new_table("sources")
     orders = table(spark, d, "orders")
+    status = F.coalesce("o_orderstatus", F.lit(""))
     sources = [
-        orders.where(F.col("o_orderstatus") == status).withColumn("source", F.lit(status.lower()))
-        for status in ("F", "O", "P")
+        *[orders.where(status == known).withColumn("source", F.lit(known.lower())) for known in ("F", "O")],
+        orders.where(~status.isin("F", "O")).withColumn("source", F.lit("other")),
     ]
     writers.load_table(ORDER_HEAD, sources, name, shared_dir(spark, "multi_source"))
     return spark.table(name)

@@ -47,7 +47,7 @@ def _ably_listing(spark, d):
 @query("ably_product_detail", """
 select 'ably' as platform, coalesce('여성-상의-' || n_name, 'Unknown') as master_category_name,
        coalesce(n_name, 'Unknown') as small_category_name,
-       case when p_size <> 7 then cast(p_partkey as int) end as product_id, 'img/' || p_partkey as img_url,
+       case when p_size <> 7 then cast(p_partkey as bigint) end as product_id, 'img/' || p_partkey as img_url,
        p_name as product_name, p_brand as brand_name_kr, '' as brand_name_en, p_size * 100 as original_price,
        cast(trunc(p_retailprice) as int) as final_price, p_size as discount_ratio, p_size + 1 as review_counting,
        p_size / 4 as review_avg_rating, p_size * 2 as like_counting, date '2025-01-02' as created_at
@@ -59,7 +59,7 @@ def ably_product_detail(spark, d):
 
 @query("ably_ranking", """
 select 'ably' as platform, coalesce('여성-상의-' || n_name, 'Unknown') as master_category_name,
-       case when p_size <> 7 then cast(p_partkey as int) end as product_id, p_size as ranking, date '2025-01-02' as created_at
+       case when p_size <> 7 then cast(p_partkey as bigint) end as product_id, p_size as ranking, date '2025-01-02' as created_at
 from part left join nation on n_nationkey = p_size
 """)
 def ably_ranking(spark, d):
@@ -94,7 +94,7 @@ m as (select *, concat_ws('-', gender, n_name, depth3) as category from l)
 
 
 @query("cm29_product_detail", _CM29 + """
-select '29CM' as platform, category as master_category_name, depth4 as small_category_name, cast(p_partkey as int) as product_id,
+select '29CM' as platform, category as master_category_name, depth4 as small_category_name, cast(p_partkey as bigint) as product_id,
        'https://img/' || p_partkey as img_url, p_name as product_name, p_brand as brand_name_kr, upper(p_brand) as brand_name_en,
        cast(trunc(p_retailprice) as int) as original_price, cast(null as int) as final_price, p_size as discount_ratio,
        p_size as review_counting, p_size / 4 as review_avg_rating, p_size as like_counting, date '2025-01-02' as created_at
@@ -105,7 +105,7 @@ def cm29_product_detail(spark, d):
 
 
 @query("cm29_ranking", _CM29 + """
-select '29CM' as platform, category as master_category_name, cast(p_partkey as int) as product_id, p_size as ranking,
+select '29CM' as platform, category as master_category_name, cast(p_partkey as bigint) as product_id, p_size as ranking,
        date '2025-01-02' as created_at
 from m
 """)
@@ -145,7 +145,7 @@ def master_category_all(spark, d):
 
 @query("musinsa_product_detail", """
 select case when ok then 'musinsa' end as platform, case when ok then 'a-b-' || p_type end as master_category_name,
-       case when ok then p_type end as small_category_name, case when ok then cast(p_partkey as int) end as product_id,
+       case when ok then p_type end as small_category_name, case when ok then cast(p_partkey as bigint) end as product_id,
        case when ok then '/img/' || p_partkey end as img_url, case when ok then p_name end as product_name,
        case when ok then p_brand end as brand_name_kr, cast(null as varchar) as brand_name_en,
        case when ok then cast(trunc(p_retailprice) as int) end as original_price, case when ok then p_size end as final_price,
@@ -169,7 +169,7 @@ def musinsa_product_detail(spark, d):
 
 
 @query("musinsa_ranking", """
-select 'musinsa' as platform, '여성-상의-' || lang as master_category_name, cast(length(word) as int) as product_id,
+select 'musinsa' as platform, '여성-상의-' || lang as master_category_name, cast(length(word) as bigint) as product_id,
        cast(pos as int) as ranking, date '2025-01-02' as created_at
 from (select lang, unnest(string_split(line, ' ')) as word, generate_subscripts(string_split(line, ' '), 1) as pos
       from (select lang, unnest(string_split(text, chr(10))[2:18]) as line from documents) where contains(line, ','))
@@ -191,7 +191,7 @@ def musinsa_ranking(spark, d):
 
 
 @query("ably_reviews", """
-select cast(user_id as int) as product_id, props as review_content, cast(trunc(value) as int) as review_rating,
+select cast(user_id as bigint) as product_id, props as review_content, cast(trunc(value) as int) as review_rating,
        cast(ts as date) as review_date, cast(nullif(user_id, 7) as double) as reviewer_height, cast(null as double) as reviewer_weight,
        event_type || ', ' || user_id as selected_options, date '2025-01-02' as created_at
 from events
@@ -207,7 +207,7 @@ def ably_reviews(spark, d):
 
 
 @query("cm29_reviews", """
-select cast(user_id as int) as product_id, props as review_content, cast(trunc(value) as int) as review_rating,
+select cast(user_id as bigint) as product_id, props as review_content, cast(trunc(value) as int) as review_rating,
        cast(ts as date) as review_date, cast(user_id as double) as reviewer_height,
        case when event_type = 'click' then value end as reviewer_weight, nullif(event_type, 'view') as selected_options,
        date '2025-01-02' as created_at
@@ -226,7 +226,7 @@ def cm29_reviews(spark, d):
 
 
 @query("musinsa_reviews", """
-select distinct cast(user_id as int) as product_id, event_type as review_content, cast(trunc(value) as int) as review_rating,
+select distinct cast(user_id as bigint) as product_id, event_type as review_content, cast(trunc(value) as int) as review_rating,
        cast(ts + interval 9 hour as date) as review_date, cast(user_id as double) as reviewer_height,
        cast(case when event_type = 'click' then 60 end as double) as reviewer_weight, 'M' as selected_options,
        date '2025-01-02' as created_at
@@ -281,7 +281,7 @@ def snap_story_ranking(spark, d):
 
 @query("keyword_trend", """
 select cast(dense_rank() over (order by md5('{"start_date":"' || cast(ts as date) || '","end_date":"' || cast(ts as date)
-         || '","time_unit":"date","gender":"남성","keyword_name":"' || event_type || '"}')) as int) as trend_id,
+         || '","time_unit":"date","gender":"남성","keyword_name":"' || event_type || '"}')) as bigint) as trend_id,
        cast(ts as date) as start_date, cast(ts as date) as end_date, 'date' as time_unit, '패션의류' as category_name,
        50000000 as category_code, event_type as keyword_name, '남성' as gender, cast(ts as date) + cast(k as int) as period,
        value as ratio, date '2025-01-02' as created_at
@@ -487,13 +487,12 @@ def category_tuples(spark, d):
 
 @query("category_groups", _CATEGORY_TREES + """
 , k as (select distinct * from t),
-s as (select depth_1, depth_2, depth_3, cast(ceil(count(*) / 40) as bigint) as n from k group by all)
-select depth_1, depth_2, depth_3, cast(cast(('0x' || substr(md5(depth_4), 1, 8)) as bigint) % n as int) as batch,
-       array_to_string(list_sort(list(depth_4)), ' ') as categories
-from k join s using (depth_1, depth_2, depth_3) group by all
+p as (select *, row_number() over (partition by depth_1, depth_2, depth_3 order by depth_4) as pos from k)
+select depth_1, depth_2, depth_3, cast((pos - 1) // 8 as int) as batch, string_agg(depth_4, ' ' order by depth_4) as categories
+from p group by all
 """)
 def category_groups(spark, d):
-    groups = collect.category_groups(collect.category_tuples(_category_trees(spark, d), "tree", "doc_id"))
+    groups = collect.category_groups(collect.category_tuples(_category_trees(spark, d), "tree", "doc_id"), 8)
     return groups.withColumn("categories", F.array_join("categories", " "))
 
 
@@ -506,10 +505,9 @@ def listing_items(spark, d):
 @query("product_work_list", _COMPONENT_ITEMS + """
 , k as (select distinct source, cast(length(word) as bigint) as product_id from r
         where length(word) not in (0, 3, 4)),
-s as (select source, cast(ceil(count(*) / 5) as bigint) as n from k group by all)
-select source, cast(cast(('0x' || substr(md5(cast(product_id as varchar)), 1, 8)) as bigint) % n as int) as batch,
-       array_to_string(list_sort(list(product_id)), ',') as product_ids
-from k join s using (source) group by all
+p as (select *, row_number() over (partition by source order by product_id) as pos from k)
+select source, cast((pos - 1) // 5 as int) as batch, string_agg(product_id, ',' order by product_id) as product_ids
+from p group by all
 """)
 def product_work_list(spark, d):
     pages = _component_pages(spark, d)

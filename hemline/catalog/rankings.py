@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hemline.catalog.registry import query, table
 from hemline.fixed_values import NEWEST_REVIEWS
-from hemline.operators import grouping, ranking
+from hemline.operators import ranking
 from hemline.plans import collect, trend
 
 
@@ -112,12 +112,31 @@ def surrogate_id_joined(spark, d):
 
 
 @query("group_to_list", """
-with i as (select distinct p_brand, p_type, p_partkey from part),
-s as (select p_brand, p_type, cast(ceil(count(*) / 40) as bigint) as n from i group by all)
-select p_brand, p_type, cast(cast(('0x' || substr(md5(cast(p_partkey as varchar)), 1, 8)) as bigint) % n as int) as batch,
-       array_to_string(list_sort(list(p_partkey)), ',') as items
-from i join s using (p_brand, p_type) group by all
+with i as (select distinct p_brand, p_partkey from part),
+p as (select *, row_number() over (partition by p_brand order by p_partkey) as pos from i)
+select p_brand, cast((pos - 1) // 40 as int) as batch, string_agg(p_partkey, ',' order by p_partkey) as items
+from p group by all
 """)
 def group_to_list(spark, d):
-    lists = grouping.item_batches(table(spark, d, "part"), ["p_brand", "p_type"], "p_partkey", 40)
+    lists = ranking.item_batches(table(spark, d, "part"), ["p_brand"], "p_partkey", 40)
     return lists.withColumn("items", F.array_join(F.transform("items", lambda x: x.cast("string")), ","))
+
+
+@query("full_rank", """
+select o_orderstatus, o_orderkey, row_number() over (partition by o_orderstatus order by o_totalprice desc, o_orderkey) as ranking from orders
+""")
+def full_rank(spark, d):
+    orders = table(spark, d, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice")
+    ranked = ranking.full_rank(orders, ["o_orderstatus"], [F.desc("o_totalprice"), F.asc("o_orderkey")], "ranking")
+    return ranked.drop("o_totalprice")
+
+
+@query("top_n_brands", """
+with q as (select l_suppkey, cast(year(l_shipdate) as int) as yr, sum(l_quantity) as qty from lineitem group by all)
+select * from (select yr, l_suppkey, qty, cast(row_number() over (partition by yr order by qty desc, l_suppkey) as int) as ranking from q)
+where ranking <= 100
+""")
+def top_n_brands(spark, d):
+    """The 100 best suppliers of every year: a report with a limit."""
+    yearly = table(spark, d, "lineitem").groupBy(F.year("l_shipdate").alias("yr"), "l_suppkey").agg(F.sum("l_quantity").alias("qty"))
+    return ranking.top_n(yearly, ["yr"], [F.desc("qty"), F.asc("l_suppkey")], 100, "ranking")

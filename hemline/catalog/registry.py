@@ -32,4 +32,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """A table whose rows are taken apart at length; a small one is spread over the cores."""
     df = table(spark, sf_dir, name)
-    return spread(df.select(*columns) if columns else df)
+    return spread(df.select(*columns) if columns else df, f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -128,13 +128,13 @@ def _text(name: str, max_bytes: int, required: bool = False) -> Field:
     return Field(name, "string", required, max_bytes)
 
 
-# Column names, types and limits of the loaded tables.
+# Column names, types and limits of the loaded tables; ids are kept as wide as the sources have them.
 
 PRODUCT_DETAIL = TableContract("product_detail_tb", (
     _text("platform", 100, True),
     _text("master_category_name", 32),
     _text("small_category_name", 50),
-    Field("product_id", "int", True),
+    Field("product_id", "bigint", True),
     _text("img_url", 1000),
     _text("product_name", 512, True),
     _text("brand_name_kr", 100),
@@ -151,7 +151,7 @@ PRODUCT_DETAIL = TableContract("product_detail_tb", (
 RANKING = TableContract("ranking_tb", (
     _text("platform", 100, True),
     _text("master_category_name", 32, True),
-    Field("product_id", "int", True),
+    Field("product_id", "bigint", True),
     Field("ranking", "int", True),
     Field("created_at", "date", True),
 ))
@@ -172,7 +172,7 @@ SUB_CATEGORY = TableContract("sub_category_tb", (
 ))
 
 REVIEW_DETAIL = TableContract("product_review_detail_tb", (
-    Field("product_id", "int", True),
+    Field("product_id", "bigint", True),
     _text("review_content", 8000),
     Field("review_rating", "int"),
     Field("review_date", "date"),
@@ -209,7 +209,7 @@ SNAP_USER_RANKING = TableContract("musinsa_snap_user_ranking_tb", (
 ), key=("story_id",))
 
 KEYWORD_TREND = TableContract("naver_shopping_kwd_tb", (
-    Field("trend_id", "int"),
+    Field("trend_id", "bigint"),
     Field("start_date", "date"),
     Field("end_date", "date"),
     _text("time_unit", 10),

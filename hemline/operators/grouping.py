@@ -25,18 +25,3 @@ def join_same_keys(base: DataFrame, other: DataFrame, keys: list[str], *values:
     other = other.select(*[F.col(k).alias(f"_same_{k}") for k in keys], *values)
     same = [base[k].eqNullSafe(other[f"_same_{k}"]) for k in keys]
     return base.join(other, same, "left").select(base["*"], *[other[v] for v in values])
-
-
-def item_batches(df: DataFrame, keys: list[str], item: str, batch_size: int, name: str = "items") -> DataFrame:
-    """Distinct items per group as sorted lists of about ``batch_size``.
-
-    Columns: keys, ``batch`` (from 0), ``items``. A group is cut by the digest of the
-    item into as many batches as its size asks for, so no task holds more than a batch
-    whatever the group's size. Groups that fit one batch give exactly one list.
-    """
-    items = df.where(F.col(item).isNotNull()).select(*keys, item).distinct()
-    sizes = items.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(batch_size)).alias("_batches"))
-    digest = F.conv(F.substring(F.md5(F.col(item).cast("string")), 1, 8), 16, 10).cast("bigint")
-    placed = join_same_keys(items, sizes, keys, "_batches")
-    placed = placed.withColumn("batch", (digest % F.col("_batches")).cast("int"))
-    return placed.groupBy(*keys, "batch").agg(F.array_sort(F.collect_list(item)).alias(name))

@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hemline.operators.grouping import join_same_keys
+from hemline.session import shared_dir
 
 # Spark prunes "row_number <= n" to the n best rows of each task before the shuffle, for n up to
 # this setting.
 _PRUNED_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
-_PIECES = 64
+#: Pieces of a group that meet in one task.
+_FAN_IN = 64
 
 
 def _first(df: DataFrame, keys: list[str], order: list[Column], n: int, position: str) -> DataFrame:
@@ -29,34 +31,58 @@ def top_n(
     For n within Spark's pruning limit (1000 unless set otherwise) every task keeps only
     its n best rows of a group before the shuffle, so a hot group never meets in one task.
     Beyond the limit groups are cut into pieces by input partition (which also parts equal
-    rows), each piece keeps its n best, and only those meet. ``pieces`` asks for that step also below the limit, for groups fed
-    by so many tasks that their n best rows each are too many for one task.
+    rows), four for each core of the cluster; each piece keeps its n best, and these meet in a
+    tree of at most 64 pieces a step. ``pieces`` asks for that also below the limit, for groups
+    fed by so many tasks that their n best rows each are too many for one task.
     """
     if n > int(df.sparkSession.conf.get(_PRUNED_LIMIT, "1000")):
-        pieces = pieces or _PIECES
-    if pieces:
-        piece = F.pmod(F.spark_partition_id(), F.lit(pieces))
-        df = _first(df.withColumn("_piece", piece), [*keys, "_piece"], order, n, "_position").drop("_position", "_piece")
+        pieces = pieces or max(_FAN_IN, 4 * df.sparkSession.sparkContext.defaultParallelism)
+    df = df.withColumn("_piece", F.pmod(F.spark_partition_id(), F.lit(pieces))) if pieces else df
+    while pieces:
+        df = _first(df, [*keys, "_piece"], order, n, "_position").drop("_position")
+        pieces = -(-pieces // _FAN_IN) if pieces > _FAN_IN else 0
+        df = df.withColumn("_piece", F.pmod("_piece", F.lit(pieces))) if pieces else df.drop("_piece")
     best = _first(df, keys, order, n, rank or "_rank")
     return best if rank else best.drop("_rank")
 
 
+def full_rank(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    """Every row with its position in its group, in column ``name``.
+
+    Rows are dealt by ranges of (keys, order) and numbered inside their range, so a hot group
+    is numbered by many tasks; the offsets come from the row counts per group and range. The
+    dealt rows are written once, as ranges are drawn from a sample that another run of the
+    plan would draw again.
+    """
+    ranges = df.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn("_range", F.spark_partition_id())
+    path = shared_dir(df.sparkSession, "ranges")
+    ranges.write.parquet(path)
+    rows = df.sparkSession.read.schema(ranges.schema).parquet(path)
+    inside = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*order))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.select(*keys, "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    placed = join_same_keys(rows.withColumn("_inside", inside), offsets, [*keys, "_range"], "_before")
+    return placed.withColumn(name, F.col("_before") + F.col("_inside")).drop("_range", "_inside", "_before")
+
+
 def top_n_overall(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows of the whole frame (each task sends its n best)."""
     return df.orderBy(*order).limit(n)
 
 
 def top_items(
-    df: DataFrame, group: str, item: str, n: int, names: list[str], present_only: bool = True
+    df: DataFrame, group: str, item: str, n: int, names: list[str], present_only: bool = True, times: str | None = None
 ) -> DataFrame:
     """The ``n`` most frequent items of each group, one column each.
 
-    Ties go to the smaller item; NULL where a group has fewer. Counting is combined
+    Ties go to the smaller item; NULL where a group has fewer. ``times`` names a column that
+    says how often a row counts. Counting is combined
     before the shuffle and the pivot reuses the ranking's partitioning.
     """
     if present_only:
         df = df.where(F.col(item).isNotNull())
-    counts = df.groupBy(group, item).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(group, item).agg((F.sum(times) if times else F.count(F.lit(1))).alias("_n"))
     best = top_n(counts, [group], [F.desc("_n"), F.asc(item)], n, rank="_pos")
     return best.groupBy(group).agg(
         *[F.max(F.when(F.col("_pos") == i + 1, F.col(item))).alias(names[i]) for i in range(n)]
@@ -104,3 +130,15 @@ def stable_ids(df: DataFrame, natural_key: list[str], name: str = "id", prefix_d
 def with_stable_id(df: DataFrame, natural_key: list[str], name: str = "id") -> DataFrame:
     """Add the stable id of each row's natural key (NULLs in the key match NULLs)."""
     return join_same_keys(df, stable_ids(df, natural_key, name), natural_key, name)
+
+def item_batches(df: DataFrame, keys: list[str], item: str, batch_size: int, name: str = "items") -> DataFrame:
+    """Distinct items per group as sorted lists of ``batch_size``, the last one shorter.
+
+    Columns: keys, ``batch`` (from 0), ``items``. Batches follow the order of the items, so
+    that the lists of a group, one after the other, are its sorted list. No task holds more
+    than a batch of a group.
+    """
+    items = df.where(F.col(item).isNotNull()).select(*keys, item).distinct()
+    placed = full_rank(items, keys, [F.asc(item)], "_position")
+    placed = placed.withColumn("batch", F.floor((F.col("_position") - 1) / F.lit(batch_size)).cast("int"))
+    return placed.groupBy(*keys, "batch").agg(F.array_sort(F.collect_list(item)).alias(name))

@@ -24,10 +24,9 @@ from hemline.fixed_values import (
 from hemline.functions.arrays import distinct_names, membership_flag
 from hemline.functions.documents import json_path, page_links, page_meta, page_script, page_title
 from hemline.functions.text import text_after
-from hemline.operators.grouping import item_batches
 from hemline.operators.nested import enumerate_items, tree_leaves
 from hemline.operators.quality import keep_present, skip_empty
-from hemline.operators.ranking import last_wins, top_n
+from hemline.operators.ranking import item_batches, last_wins, top_n
 
 
 def listing_products(listings: DataFrame, run_date: str, keep: list[str] | None = None) -> DataFrame:

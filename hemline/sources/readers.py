@@ -81,6 +81,9 @@ def source_key(extension: str = "json") -> Column:
     return file_stem(SOURCE_PATH, extension)
 
 
+#: Places that the rows of one key are dealt to.
+KEY_PARTS = 64
+
 _FORMATS = ("parquet", "json", "csv", "txt", "text")
 
 
@@ -98,9 +101,11 @@ def read_sized(
 
     Without ``key`` the scan's own splits are the layout as long as their number lies
     within ``lo`` and ``hi``; only otherwise are the rows spread evenly over the computed
-    number of partitions. With ``key`` rows of a key are brought together, and a key too
-    large for one partition is split by adaptive execution. An unknown format is an error;
-    HTML is read as a text column (see ``functions.documents``).
+    number of partitions. With ``key`` rows of a key are brought together in at most
+    ``KEY_PARTS`` places each, which adaptive execution joins where they are small and splits
+    where one is too large. That layout is none that an aggregate by the key could rely on: it
+    combines its rows first. An unknown format is an error; HTML is read as a text column (see
+    ``functions.documents``).
     """
     if fmt not in _FORMATS:
         raise ValueError(f"unsupported format: {fmt}")
@@ -115,21 +120,30 @@ def read_sized(
     if key is None and within(df.rdd.getNumPartitions(), lo, hi):
         return df
     n = partition_count(input_bytes(spark, path), target_mb, lo, hi)
-    return df.hint("rebalance", n, key) if key else df.repartition(n)
+    if not key:
+        return df.repartition(n)
+    part = F.pmod(F.spark_partition_id(), F.lit(min(KEY_PARTS, n)))
+    return df.withColumn("_key_part", part).hint("rebalance", n, key, "_key_part").drop("_key_part")
 
 
 def within(n: int, lo: int | None, hi: int | None) -> bool:
     return (lo is None or n >= lo) and (hi is None or n <= hi)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that comes in fewer pieces than there are cores.
+#: Bytes of files up to which ``spread`` moves rows.
+SPREAD_BYTES = 256 * 1024 * 1024
+
 
-    For parsing-heavy work on small files. An input of many pieces is left as scanned,
-    so large inputs are never shuffled for this.
+def spread(df: DataFrame, path: str, max_bytes: int = SPREAD_BYTES) -> DataFrame:
+    """Give every core a share of a small input that comes in fewer pieces than there are cores.
+
+    For parsing-heavy work on small files below ``path``; files of more than ``max_bytes`` are
+    left as scanned, however many cores there are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    if df.rdd.getNumPartitions() >= cores or input_bytes(df.sparkSession, path) > max_bytes:
+        return df
+    return df.repartition(cores)
 
 
 def partition_count(total_bytes: int, target_mb: int = 128, lo: int | None = None, hi: int | None = None) -> int:

@@ -110,13 +110,25 @@ def test_top_n_equals_brute_force(spark, data, n, pieces):
     assert got == sorted(wanted, key=repr)
 
 
+def test_full_rank_of_a_hot_group_is_dealt_over_tasks(spark):
+    rows_in = [("hot", i % 50, i) for i in range(2_000)] + [(None, 1, 1), (None, 2, 2), ("b", 5, 9)]
+    df = spark.createDataFrame(rows_in, "k string, v int, i int").repartition(3)
+    ranked = ranking.full_rank(df, ["k"], [F.desc("v"), F.asc("i")], "rank")
+    wanted = []
+    for key in ("hot", None, "b"):
+        group = sorted((r for r in rows_in if r[0] == key), key=lambda r: (-r[1], r[2]))
+        wanted += [(*r, at) for at, r in enumerate(group, start=1)]
+    assert rows(ranked) == sorted(wanted, key=repr)
+
+
 def test_item_batches_keep_every_distinct_item_and_cut_a_hot_group(spark):
     hot = [("hot", i) for i in range(1000)] * 2
     df = spark.createDataFrame(hot + [("small", 1), ("small", None), (None, 5)], "g string, i int")
-    got = grouping.item_batches(df, ["g"], "i", 40).collect()
+    got = ranking.item_batches(df, ["g"], "i", 40).collect()
     items = [x for r in got if r.g == "hot" for x in r["items"]]
     assert sorted(items) == list(range(1000))
-    assert max(len(r["items"]) for r in got) < 100
+    lists = [r["items"] for r in sorted((r for r in got if r.g == "hot"), key=lambda r: r.batch)]
+    assert [x for part in lists for x in part] == list(range(1000)) and [len(part) for part in lists] == [40] * 25
     assert [(r.batch, r["items"]) for r in got if r.g == "small"] == [(0, [1])]
     assert [(r.batch, r["items"]) for r in got if r.g is None] == [(0, [5])]
 
@@ -142,3 +154,13 @@ def test_explode_gives_no_row_for_null_and_empty(spark):
     df = spark.createDataFrame([(1, ["a"]), (2, []), (3, None)], "k int, items array<string>")
     assert rows(nested.explode_items(df, "items", "x", ["k"])) == [(1, "a")]
     assert rows(nested.enumerate_items(df, "items", ["k"], "x")) == [(1, "a", 1)]
+
+
+def test_size_check_moves_no_rows(spark):
+    dim = spark.range(1_000).selectExpr("cast(id as string) as k", "id as v")
+    assert lookup.is_small(dim) and not lookup.is_small(dim, max_rows=999) and not lookup.is_small(dim, max_bytes=1_000)
+    facts = spark.range(50).selectExpr("cast(id as string) as code")
+    beyond = lookup.map_lookup(facts, "code", dim, "k", ["v"], max_broadcast_rows=10)
+    plan = beyond._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert beyond.where("v is not null").count() == 50

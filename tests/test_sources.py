@@ -63,10 +63,22 @@ def test_partition_count(size_mb, lo, hi, wanted):
     assert readers.partition_count(size_mb * 1024 * 1024, 128, lo, hi) == wanted
 
 
-def test_spread_leaves_many_partitions_alone(spark):
-    many = spark.range(100, numPartitions=9)
-    assert readers.spread(many) is many
-    assert readers.spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 4
+def test_spread_leaves_many_partitions_and_large_files_alone(spark, tmp_path):
+    (tmp_path / "file.bin").write_bytes(b"x" * 1_000)
+    path, many, one = str(tmp_path), spark.range(100, numPartitions=9), spark.range(100, numPartitions=1)
+    assert readers.spread(many, path) is many
+    assert readers.spread(one, path).rdd.getNumPartitions() == 4
+    assert readers.spread(one, path, max_bytes=999) is one
+
+
+def test_hot_key_of_a_keyed_read_is_dealt_and_counted_first(spark, tmp_path):
+    path = str(tmp_path / "keyed")
+    spark.range(20_000, numPartitions=8).selectExpr("if(id % 10 = 0, cast(id as string), 'hot') as k", "id").write.parquet(path)
+    df = readers.read_sized(spark, path, "parquet", key="k", target_mb=1)
+    counted = df.groupBy("k").count()
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(k") == 2 and "partial_count" in plan and "_key_part" in plan
+    assert counted.where("k = 'hot'").first()["count"] == 18_000
 
 
 def test_shared_dir_uses_the_configured_folder(spark):
