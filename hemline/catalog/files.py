@@ -166,12 +166,31 @@ PART_ITEM = TableContract("part_item_tb", (
 ), key=("item_no",))
 
 
-@query("load_positional", "select p_partkey as item_no, p_name as item_name, p_size as item_size, p_retailprice as price from part")
+@query("load_positional", """
+select 'loaded' as way, p_partkey as item_no, p_name as item_name, p_size as item_size, p_retailprice as price, '' as reasons from part where p_size <> 3 and length(p_name) <= 512
+union all select 'rejected', case when p_size <> 3 then p_partkey end, p_name, p_size, p_retailprice, 'item_no:null' from part where p_size = 3
+""")
 def load_positional(spark, d):
     name = _new_table("positional")
     writers.refresh_table(spark, PART_ITEM, name, shared_dir(spark, "load_positional"))
-    part = table(spark, d, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
-    writers.append_positional(part, PART_ITEM, name)
+    part = table(spark, d, "part").select(F.when(F.col("p_size") != 3, F.col("p_partkey")), "p_name", "p_size", "p_retailprice")
+    rejected = writers.append_positional(part, PART_ITEM, name)
+    loaded = spark.table(name).select(F.lit("loaded").alias("way"), "*", F.lit("").alias("reasons"))
+    return loaded.unionByName(rejected.select(
+        F.lit("rejected").alias("way"), *PART_ITEM.columns, F.array_join("reject_reasons", ",").alias("reasons")))
+
+
+@query("load_subfolders", """
+select o_orderkey as item_no, o_orderpriority as item_name, cast(o_custkey as int) as item_size, o_totalprice as price from orders
+""")
+def load_subfolders(spark, d):
+    """Append the files of all sub-folders to a table, whichever folder they lie in."""
+    path, name = shared_dir(spark, "subfolders"), _new_table("subfolders")
+    writers.refresh_table(spark, PART_ITEM, name, shared_dir(spark, "load_subfolders"))
+    orders = table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("folder"), "o_orderpriority", "o_custkey", "o_totalprice")
+    writers.replace_json(orders, path, ["folder"])
+    found = readers.read_json(spark, f"{path}/*/*.json", "o_orderkey bigint, o_orderpriority string, o_custkey int, o_totalprice double")
+    writers.append_positional(found, PART_ITEM, name)
     return spark.table(name)
 
 

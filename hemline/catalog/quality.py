@@ -42,6 +42,22 @@ DOCUMENT = TableContract("document_tb", (
 ))
 
 
+@query("contract_bad_values", """
+select 'price' as column_name, 'bad_value' as rule, cast(count(*) filter (event_type = 'click') as bigint) as bad_rows from events
+union all select 'day', 'bad_value', cast(count(*) filter (event_id % 3 = 0) as bigint) from events
+union all select 'name', 'bad_value', 0
+union all select 'day', 'null', cast(count(*) filter (event_id % 3 = 0) as bigint) from events
+""")
+def contract_bad_values(spark, d):
+    """Values that no cast can read are counted, missing ones are not."""
+    contract = TableContract("reading_tb", (Field("price", "int"), Field("day", "date", True), Field("name", "string")))
+    events = table(spark, d, "events").select(
+        F.when(F.col("event_type") == "click", "n/a").when(F.col("event_type") != "view", F.floor(F.abs("value")).cast("string")).alias("price"),
+        F.when(F.col("event_id") % 3 == 0, "2025-13-01").otherwise("2025-01-02").alias("day"), F.col("event_type").alias("name"),
+    )
+    return contract.report(contract.conform(events, mark_bad=True))
+
+
 @query("contract_reject", """
 select doc_id, array_to_string([x for x in [
     case when strlen(text) > 2000 then 'text:too_long' end,

@@ -4,7 +4,9 @@ A Parquet-backed table accepts NULL in a NOT NULL column and text of any length,
 so the rules are checked as DataFrame operations: ``conform`` casts and orders the
 columns, ``report`` counts the rows that break a rule, ``split`` separates rows
 that can be loaded from rows that cannot. Text limits are bytes, as in a warehouse.
-Keys are informational: duplicates are counted, not removed.
+A value that a cast can't read becomes NULL; ``conform`` can keep the names of such
+columns, and then ``report`` counts them too (rule ``bad_value``). Keys are
+informational: duplicates are counted, not removed.
 """
 
 from __future__ import annotations
@@ -21,6 +23,10 @@ from hemline.functions.casts import to_date, to_double, to_int, to_long
 _TEXT_CASTS = {"int": to_int, "bigint": to_long, "double": to_double, "date": to_date}
 
 
+#: Column with the names of the columns whose value could not be read.
+BAD_COLUMNS = "bad_columns"
+
+
 @dataclass(frozen=True)
 class Field:
     name: str
@@ -56,8 +62,11 @@ class TableContract:
         where = f" LOCATION '{location}'" if location else ""
         return f"CREATE TABLE {table} ({columns}) USING parquet{where}"
 
-    def conform(self, df: DataFrame, mapping: dict[str, Column | str] | None = None) -> DataFrame:
-        """Project, cast and order to this table; unmapped columns go by their own name."""
+    def conform(self, df: DataFrame, mapping: dict[str, Column | str] | None = None, mark_bad: bool = False) -> DataFrame:
+        """Project, cast and order to this table; unmapped columns go by their own name.
+
+        ``mark_bad`` adds ``bad_columns``; a frame that has it already keeps its entries.
+        """
         mapping = mapping or {}
         unknown = set(mapping) - set(self.columns)
         if unknown:
@@ -67,15 +76,25 @@ class TableContract:
             c = mapping.get(f.name, f.name)
             return F.col(c) if isinstance(c, str) else c
 
-        mapped = df.select(*[source(f).alias(f.name) for f in self.fields])
+        before = [F.col(BAD_COLUMNS)] if mark_bad and BAD_COLUMNS in df.columns else []
+        mapped = df.select(*[source(f).alias(f.name) for f in self.fields], *before)
         types = dict(mapped.dtypes)
-        return mapped.select(*[f.cast(F.col(f.name), types[f.name]).alias(f.name) for f in self.fields])
-
-    def by_position(self, df: DataFrame) -> DataFrame:
+        casts = {f.name: f.cast(F.col(f.name), types[f.name]) for f in self.fields}
+        marks = []
+        if mark_bad:
+            lost = [
+                F.when(F.col(f.name).isNotNull() & casts[f.name].isNull(), F.lit(f.name))
+                for f in self.fields if types[f.name] != f.type
+            ]
+            new = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
+            marks = [F.concat(*before, new).alias(BAD_COLUMNS)]
+        return mapped.select(*[c.alias(name) for name, c in casts.items()], *marks)
+
+    def by_position(self, df: DataFrame, mark_bad: bool = False) -> DataFrame:
         """Conform a frame whose columns have the right order but other names."""
         if len(df.columns) != len(self.fields):
             raise ValueError(f"{self.name} takes {len(self.fields)} columns, got {len(df.columns)}")
-        return self.conform(df.toDF(*self.columns))
+        return self.conform(df.toDF(*self.columns), mark_bad=mark_bad)
 
     def _rules(self) -> list[tuple[str, str, Column]]:
         rules = []
@@ -86,24 +105,36 @@ class TableContract:
                 rules.append((f.name, "too_long", F.octet_length(f.name) > f.max_bytes))
         return rules
 
+    def counted_rules(self, df: DataFrame) -> list[tuple[str, str, Column]]:
+        """(column, rule, condition) of everything that is counted row by row."""
+        bad = [(f.name, "bad_value", F.array_contains(BAD_COLUMNS, f.name)) for f in self.fields]
+        return self._rules() + (bad if BAD_COLUMNS in df.columns else [])
+
     def reject_reasons(self) -> Column:
         """Array of 'column:rule' for every row-level rule the row breaks."""
         reasons = [F.when(broken, F.lit(f"{name}:{rule}")) for name, rule, broken in self._rules()]
         return F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
 
+    def rejects(self) -> Column:
+        """Whether a row breaks any rule that keeps it from the table."""
+        return reduce(lambda a, b: a | b, [F.coalesce(broken, F.lit(False)) for *_, broken in self._rules()], F.lit(False))
+
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(loadable rows, rejected rows with ``reject_reasons``); together they are ``df``."""
-        marked = df.withColumn("reject_reasons", self.reject_reasons())
-        good = marked.where(F.size("reject_reasons") == 0).drop("reject_reasons")
-        return good, marked.where(F.size("reject_reasons") > 0)
+        return df.where(~self.rejects()), df.where(self.rejects()).withColumn("reject_reasons", self.reject_reasons())
+
+    def duplicate_keys(self, df: DataFrame) -> DataFrame:
+        """One row with the number of surplus rows per key: (key, count) pairs are combined before the shuffle."""
+        surplus = df.groupBy(*self.key).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("bad_rows"))
+        return surplus.select(F.lit(",".join(self.key)).alias("column_name"), F.lit("duplicate_key").alias("rule"), "bad_rows")
 
     def report(self, df: DataFrame) -> DataFrame:
         """Rows (column_name, rule, bad_rows); key duplicates count surplus rows.
 
-        One pass without a shuffle of rows for the row-level rules; the key rule
-        aggregates (key, count) pairs, combined before the shuffle.
+        One pass without a shuffle of rows for the row-level rules.
         """
-        rules = self._rules()
+        rules = self.counted_rules(df)
         parts = []
         if rules:
             counts = df.agg(*[F.count_if(broken).alias(f"r{i}") for i, (_, _, broken) in enumerate(rules)])
@@ -113,13 +144,7 @@ class TableContract:
             ])
             parts.append(counts.select(F.inline(rows)))
         if self.key:
-            surplus = (
-                df.groupBy(*self.key).agg(F.count(F.lit(1)).alias("n"))
-                .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("bad_rows"))
-            )
-            parts.append(surplus.select(
-                F.lit(",".join(self.key)).alias("column_name"), F.lit("duplicate_key").alias("rule"), "bad_rows"
-            ))
+            parts.append(self.duplicate_keys(df))
         nothing = df.sparkSession.createDataFrame([], "column_name string, rule string, bad_rows bigint")
         return reduce(DataFrame.unionByName, parts or [nothing])
 

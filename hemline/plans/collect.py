@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hemline.fixed_values import (
@@ -27,6 +27,7 @@ from hemline.functions.text import text_after
 from hemline.operators.nested import enumerate_items, tree_leaves
 from hemline.operators.quality import keep_present, skip_empty
 from hemline.operators.ranking import item_batches, last_wins, top_n
+from hemline.sources.readers import SOURCE_PATH
 
 
 def listing_products(listings: DataFrame, run_date: str, keep: list[str] | None = None) -> DataFrame:
@@ -68,6 +69,12 @@ def listing_products(listings: DataFrame, run_date: str, keep: list[str] | None
     )
 
 
+def read_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per HTML file: its text in ``html`` and where it came from."""
+    pages = spark.read.option("wholetext", True).text(path)
+    return pages.select(F.col("value").alias("html"), F.col("_metadata.file_path").alias(SOURCE_PATH))
+
+
 def page_products(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
     """Product fields of HTML pages; what a page lacks is NULL.
 
@@ -114,6 +121,10 @@ def product_work_list(
     return item_batches(complete.where(F.col("product_id") != 0), [category], "product_id", batch_size, "product_ids")
 
 
+#: Stored category trees: gender -> depth 2 -> depth 3 -> names.
+CATEGORY_TREE = "tree map<string,map<string,map<string,array<string>>>>"
+
+
 def category_tuples(trees: DataFrame, tree: str, position: str) -> DataFrame:
     """Rows (depth_1 .. depth_4) of all category trees merged.
 

@@ -123,7 +123,7 @@ def bronze_to_silver(
         write_parquet(video.videos(found, gender, run_date), silver(TOPICS[f"video_{suffix}"]))
 
     observations = weather.read_weather_lines(spark, bronze("weather_daily", "*.txt"))
-    write_parquet(weather.weather_daily(observations), silver(TOPICS["weather_daily"]))
+    write_parquet(weather.weather_daily(observations, mark_bad=True), silver(TOPICS["weather_daily"]))
     stations = weather.read_weather_lines(spark, bronze("weather_stations"))
     write_parquet(weather.weather_stations(stations), silver(TOPICS["weather_stations"]))
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hemline.contracts import WEATHER_DAILY, WEATHER_STATION
+from hemline.contracts import BAD_COLUMNS, WEATHER_DAILY, WEATHER_STATION
 from hemline.fixed_values import STATION_ID_FIELD, STATION_NAME_FIELD, WEATHER_FIELDS
 from hemline.functions.dates import compact_date
 from hemline.functions.text import record_field
@@ -16,15 +17,19 @@ def read_weather_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return read_text(spark, path)
 
 
-def weather_daily(lines: DataFrame) -> DataFrame:
+def weather_daily(lines: DataFrame, mark_bad: bool = False) -> DataFrame:
     """Comma-separated daily records. Missing or unreadable measures become 0.0; a
-    record without a readable date or station stays, for the contract to reject."""
+    record without a readable date or station stays, for the contract to reject. ``mark_bad``
+    keeps the names of unreadable columns, which the contract counts."""
     records = text_records(lines, ",")
+    day = record_field("fields", 0)
+    unreadable = F.when(day.isNotNull() & compact_date(day).isNull(), F.array(F.lit("TM"))).otherwise(F.array().cast("array<string>"))
+    records = records.withColumn(BAD_COLUMNS, unreadable)
     daily = WEATHER_DAILY.conform(records, {
-        "TM": compact_date(record_field("fields", 0)),
+        "TM": compact_date(day),
         "STN": record_field("fields", 1),
         **{name: record_field("fields", position) for name, position in WEATHER_FIELDS.items()},
-    })
+    }, mark_bad)
     return fill_defaults(daily, {name: 0.0 for name in WEATHER_FIELDS})
 
 

@@ -1,10 +1,10 @@
 """Command line, for spark-submit or ``python -m hemline.run``.
 
     day  BASE [--run-date D] --ably-categories CSV --cm29-categories CSV
-    job  NAME SOURCE TARGET [--run-date D] [--gender G] [--categories CSV]
+    job  NAME SOURCE TARGET [--run-date D] [--gender G] [--categories CSV] [--limit N]
 
-``day`` runs bronze to gold below BASE. ``job`` runs one bronze-to-silver job from a
-source path (wildcards allowed) to a Parquet folder. The run date defaults to today
+``day`` runs bronze to gold below BASE. ``job`` runs one job, from raw payloads or from a
+silver table, from a source path (wildcards allowed) to a Parquet folder. The run date defaults to today
 in the business time zone.
 """
 
@@ -16,10 +16,11 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hemline.fixed_values import BUSINESS_ZONE
-from hemline.plans import category, daily, product, ranking, review, snap, trend, video, weather
+from hemline.fixed_values import BUSINESS_ZONE, ITEM_COMPONENT_ID, NEWEST_REVIEWS
+from hemline.operators.nested import components_of_kind
+from hemline.plans import category, collect, daily, product, ranking, review, snap, trend, video, weather
 from hemline.session import build_session
-from hemline.sources.readers import read_csv
+from hemline.sources.readers import SOURCE_PATH, read_csv, read_json, read_parquet, source_key
 from hemline.sources.writers import write_parquet
 
 ABLY_DIMENSION = "code string, master_category_name string, small_category_name string"
@@ -38,7 +39,27 @@ def _cm29(spark, a) -> DataFrame:
     return product.cm29_listing(product.read_cm29_listing(spark, a.source), read_csv(spark, a.categories, CM29_DIMENSION))
 
 
+def _pages(spark, a) -> DataFrame:
+    """Pages of components, with the category their file is named after."""
+    return read_json(spark, a.source, multiline=True, keep_path=True).withColumn("category", source_key())
+
+
 JOBS = {
+    # from raw payloads
+    "listing_products": lambda s, a: collect.listing_products(read_json(s, a.source, multiline=True), a.run_date),
+    "page_products": lambda s, a: collect.page_products(collect.read_pages(s, a.source), keep=[SOURCE_PATH]),
+    "listing_items": lambda s, a: collect.listing_items(_pages(s, a), "category", SOURCE_PATH),
+    "product_work_list": lambda s, a: collect.product_work_list(
+        components_of_kind(_pages(s, a), "components", ITEM_COMPONENT_ID, keep=["category"]), "category"),
+    "select_videos": lambda s, a: video.select_videos(
+        read_json(s, a.source, multiline=True, keep_path=True).withColumn("category_name", source_key())),
+    "category_groups": lambda s, a: collect.category_groups(
+        collect.category_tuples(read_json(s, a.source, collect.CATEGORY_TREE, multiline=True, keep_path=True), "tree", SOURCE_PATH)),
+    # from silver tables
+    "newest_reviews": lambda s, a: collect.newest_reviews(
+        read_parquet(s, a.source), "product_id", "review_date", "review_content", a.limit),
+    "top_keywords": lambda s, a: trend.top_keywords(read_parquet(s, a.source), a.run_date),
+    # bronze to silver
     "ably_product_detail": lambda s, a: product.ably_product_detail(_ably(s, a), a.run_date),
     "ably_ranking": lambda s, a: ranking.ably_ranking(_ably(s, a), a.run_date),
     "ably_reviews": lambda s, a: review.ably_reviews(review.read_ably_reviews(s, a.source), a.run_date),
@@ -74,6 +95,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--run-date", default=today())
     job.add_argument("--gender")
     job.add_argument("--categories")
+    job.add_argument("--limit", type=int, default=NEWEST_REVIEWS["ably"])
     return top
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
 
 from pyspark.sql import SparkSession
@@ -18,9 +19,6 @@ _SETTINGS = {
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
-_local_base: str | None = None
-
-
 def build_session(app_name: str = "hemline", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the jobs were written for.
 
@@ -39,15 +37,17 @@ def build_session(app_name: str = "hemline", master: str | None = None, **settin
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new, not yet existing folder every executor can reach.
 
-    The cluster names the shared folder in ``spark.checkpoint.dir``. Only a local
-    session, where driver and executors are one machine, may fall back to /tmp.
+    The cluster names the shared folder in ``spark.checkpoint.dir``. Without it, only a local
+    session, where driver and executors are one machine, gets a folder: below its warehouse,
+    removed when the process ends.
     """
-    global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-        if _local_base is None:
-            _local_base = tempfile.mkdtemp(prefix="hemline-", dir="/tmp")
-        base = _local_base
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{label}-{uuid.uuid4().hex}"
+    if base:
+        return f"{base.rstrip('/')}/{path}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:").rstrip("/")
+    path = f"{warehouse}/_scratch/{path}"
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path

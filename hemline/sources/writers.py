@@ -5,7 +5,8 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from hemline.contracts import TableContract
 
@@ -37,9 +38,14 @@ def replace_json(df: DataFrame, path: str, partition_by: list[str]) -> None:
     )
 
 
-def append_positional(df: DataFrame, contract: TableContract, table: str) -> None:
-    """Append to an existing table; columns map by position, whatever their names."""
-    contract.by_position(df).write.insertInto(table, overwrite=False)
+def append_positional(df: DataFrame, contract: TableContract, table: str) -> DataFrame:
+    """Append to an existing table; columns map by position, whatever their names.
+
+    Rows that break a rule of the contract are left out and returned with their reasons.
+    """
+    good, rejected = contract.split(contract.by_position(df, mark_bad=True))
+    good.select(*contract.columns).write.insertInto(table, overwrite=False)
+    return rejected
 
 
 def refresh_table(spark: SparkSession, contract: TableContract, table: str, location: str | None = None) -> None:
@@ -49,7 +55,7 @@ def refresh_table(spark: SparkSession, contract: TableContract, table: str, loca
 
 
 class Loaded(NamedTuple):
-    """What a load leaves to store: rejected rows with their reasons, and rule counts. Both lazy."""
+    """What a load leaves to store: rejected rows with their reasons (lazy), and rule counts."""
 
     rejected: DataFrame
     report: DataFrame
@@ -58,14 +64,27 @@ class Loaded(NamedTuple):
 def load_table(
     contract: TableContract, sources: list[DataFrame], table: str, location: str | None = None
 ) -> Loaded:
-    """Full refresh of a table from all sources: one union, one write.
+    """Full refresh of a table from all sources: the table is made from the contract and filled in one pass.
 
-    Sources are conformed by name; rows that break a row rule are left out.
+    Sources are conformed by name; rows that break a row rule are left out. Rules are counted
+    while the good rows are written; the sources are read again only for rows that were
+    rejected. Surplus keys are counted on the table.
     """
-    conformed = reduce(DataFrame.unionByName, [contract.conform(s) for s in sources])
-    good, rejected = contract.split(conformed)
-    save_table(good, table, location)
-    return Loaded(rejected, contract.report(conformed))
+    spark = sources[0].sparkSession
+    conformed = reduce(DataFrame.unionByName, [contract.conform(s, mark_bad=True) for s in sources])
+    rules = contract.counted_rules(conformed)
+    seen = Observation()
+    marked = conformed.observe(
+        seen, F.count_if(contract.rejects()).alias("rejected"), *[F.count_if(broken).alias(f"r{i}") for i, (*_, broken) in enumerate(rules)])
+    refresh_table(spark, contract, table, location)
+    marked.where(~contract.rejects()).select(*contract.columns).write.insertInto(table, overwrite=True)
+    counts = seen.get
+    report = spark.createDataFrame(
+        [(name, rule, counts.get(f"r{i}", 0)) for i, (name, rule, _) in enumerate(rules)], "column_name string, rule string, bad_rows bigint")
+    if contract.key:
+        report = report.unionByName(contract.duplicate_keys(spark.table(table)))
+    _, rejected = contract.split(conformed)
+    return Loaded(rejected if counts.get("rejected") else rejected.limit(0), report)
 
 
 def save_table(df: DataFrame, table: str, location: str | None = None) -> None:

@@ -115,11 +115,12 @@ def test_load_table_refreshes_and_separates_rejects(spark, tmp_path):
     location = str(tmp_path / "t")
     a = spark.createDataFrame([("1", "abc")], "id string, name string")
     b = spark.createDataFrame([("toolong", 2), ("x", None)], "name string, id int")
+    c = spark.createDataFrame([("n/a", "y")], "id string, name string")
     for _ in range(2):
-        loaded = writers.load_table(TABLE, [a, b], "load_test", location)
+        loaded = writers.load_table(TABLE, [a, b, c], "load_test", location)
     assert rows(spark.table("load_test")) == [(1, "abc")]
-    assert rows(loaded.rejected.select("reject_reasons")) == [(["id:null"],), (["name:too_long"],)]
-    assert rows(loaded.report) == [("id", "null", 1), ("name", "too_long", 1)]
+    assert rows(loaded.rejected.select("reject_reasons")) == [(["id:null"],), (["id:null"],), (["name:too_long"],)]
+    assert rows(loaded.report) == [("id", "bad_value", 1), ("id", "null", 2), ("name", "bad_value", 0), ("name", "too_long", 1)]
 
 
 def test_append_positional_adds_to_the_table(spark, tmp_path):
@@ -128,3 +129,7 @@ def test_append_positional_adds_to_the_table(spark, tmp_path):
     writers.append_positional(df, TABLE, "append_test")
     writers.append_positional(df, TABLE, "append_test")
     assert rows(spark.table("append_test")) == [(7, "x"), (7, "x")]
+    broken = spark.createDataFrame([("8", "abcdef"), (None, "z"), ("9", "ok")], "name string, id string")
+    rejected = writers.append_positional(broken, TABLE, "append_test")
+    assert rows(rejected.select("id", "reject_reasons")) == [(8, ["name:too_long"]), (None, ["id:null"])]
+    assert rows(spark.table("append_test")) == [(7, "x"), (7, "x"), (9, "ok")]
