@@ -176,6 +176,21 @@ from (select lang, unnest(string_split(line, ' ')) as word, generate_subscripts(
 where not contains(word, '.')
 """)
 def musinsa_ranking(spark, d):
+    return ranking.musinsa_ranking(_ranking_documents(spark, d), RUN_DATE)
+
+
+@query("modules_outside", """
+with m as (select unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as i from documents)
+select cast(count(*) as bigint) as modules,
+       cast(coalesce(sum(case when contains(line, ',') then len(string_split(line, ' ')) else 0 end), 0) as bigint) as items
+from m where i not between 1 and 17
+""")
+def modules_outside(spark, d):
+    """What the ranking leaves out by position."""
+    return ranking.modules_outside(_ranking_documents(spark, d))
+
+
+def _ranking_documents(spark, d):
     def item(word, i):
         index = F.when(~F.contains(word, F.lit(".")), _text(i + 1))
         payload = F.struct(F.struct(F.struct(F.struct(F.struct(index.alias("index")).alias("payload")).alias("ga4")).alias("eventLog")).alias("onClickBrandName"))
@@ -183,11 +198,10 @@ def musinsa_ranking(spark, d):
 
     modules = F.transform(F.split("text", "\n"), lambda x: F.struct(
         F.when(F.contains(x, F.lit(",")), F.transform(F.split(x, " "), item)).alias("items")))
-    docs = texts(spark, d, "documents").select(
+    return texts(spark, d, "documents").select(
         F.struct(modules.alias("modules")).alias("data"),
         F.concat(F.lit("s3a://zone/ranking_data/x/여성_상의_"), "lang", F.lit("_"), "source", F.lit(".json")).alias(SOURCE_PATH),
     )
-    return ranking.musinsa_ranking(docs, RUN_DATE)
 
 
 @query("ably_reviews", """
