@@ -31,14 +31,14 @@ def scan_json_lines(spark, d):
 
 @query("scan_json_multiline", CUSTOMER_SQL)
 def scan_json_multiline(spark, d):
-    # One pretty-printed array per file, 500 customers at most (the key is unique).
+    # One pretty-printed array per file, 5,000 customers at most (the key is unique), in one folder.
     path = shared_dir(spark, "json_multiline")
-    rows = table(spark, d, "customer").withColumn("page", F.floor(F.col("c_custkey") / 500))
+    rows = table(spark, d, "customer").withColumn("page", F.floor(F.col("c_custkey") / 5_000))
     pages = rows.groupBy("page").agg(
         F.to_json(F.collect_list(F.struct(*[c for c in rows.columns if c != "page"])), {"pretty": "true"}).alias("value")
     )
-    pages.write.partitionBy("page").text(path)
-    return readers.read_json(spark, f"{path}/*/*.txt", CUSTOMER_SCHEMA, multiline=True)
+    pages.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return readers.read_json(spark, f"{path}/*.txt", CUSTOMER_SCHEMA, multiline=True)
 
 
 @query("scan_json_schema", """
