@@ -13,6 +13,8 @@ A byte is removed when a string of ``LENGTH`` bytes that covers it also starts a
    pairwise, so no task holds a group.
 3. Repeated window starts go back to the documents that have the context; their union is removed.
 
+Texts are joined by a shuffle at every size: what travels grows with the input alone.
+
 Suffixes are sorted in linear grouping steps: groups of suffixes, by first symbol at the outset, are
 taken in descending order; the previous smaller suffixes of a group's members are moved into groups
 right above their own, those that point to more members higher. Each group then holds the suffixes
@@ -44,7 +46,6 @@ FREE = LENGTH - GRAM  # bytes of a window beside its anchor
 PIECE = 400
 #: Symbols sorted in one run.
 RUN = 60_000
-BROADCAST_ROWS = 300_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.uint64((1 << 31) - 1)
@@ -311,14 +312,11 @@ def context_counts(texts: DataFrame) -> DataFrame:
     return shared.select("anchor", "context", "times", "contexts", "first.*")
 
 
-def sorted_contexts(texts: DataFrame, counts: DataFrame, piece: int = PIECE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def sorted_contexts(texts: DataFrame, counts: DataFrame, piece: int = PIECE) -> DataFrame:
     """(anchor, context, low, high): repeated windows of contexts that occur once."""
     mixed_rows = counts.where(F.col("contexts") > 1)
     wanted = mixed_rows.groupBy("text_key").agg(F.collect_list(F.struct("anchor", "context", "times", "contexts", "at", "low", "high")).alias("rows"))
-    wanted = keep(wanted, "wanted-contexts")
-    size = wanted.agg(F.count("*"), F.coalesce(F.sum(F.size("rows")), F.lit(0))).first()
-    small = size[0] <= broadcast_rows and size[1] <= 2 * broadcast_rows
-    one_each = texts.select("text_key", "data").join(F.broadcast(wanted) if small else wanted, "text_key")
+    one_each = texts.select("text_key", "data").join(wanted, "text_key")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["anchor", "context", "times", "before", "after", "low", "high", "own", "pieces"]
@@ -393,15 +391,12 @@ def kept_parts(data: bytes, starts: list[dict] | None) -> tuple[list[tuple[int,
     return runs, b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
-def remove_repeats(docs: DataFrame, keep_columns: list[str], piece: int = PIECE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep_columns: list[str], piece: int = PIECE) -> DataFrame:
     """Of every row: ``kept`` (struct of ``keep_columns``), n_bytes, n_removed, n_spans, kept_sha256 and
     kept_text, the bytes left as text; characters that lost a byte go with it."""
     small_batches(docs.sparkSession)
     texts = keyed(docs, keep_columns)
-    starts = keep(repeated_starts(texts, piece), "repeated-starts")
-    size = starts.agg(F.count("*"), F.coalesce(F.sum(F.size("starts")), F.lit(0))).first()
-    small = size[0] <= broadcast_rows and size[1] <= 4 * broadcast_rows
-    rows = texts.join(F.broadcast(starts) if small else starts, "text_key", "left").select("kept", "data", "starts")
+    rows = texts.join(repeated_starts(texts, piece), "text_key", "left").select("kept", "data", "starts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -116,7 +116,7 @@ def removed(docs, **options):
     return sorted((r["kept"]["doc_id"] or 0, r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got)
 
 
-@pytest.mark.parametrize("options", [{}, {"piece": 2, "broadcast_rows": 0}])
+@pytest.mark.parametrize("options", [{}, {"piece": 2}])
 def test_removed_bytes_equal_brute_force(spark, options):
     r = random.Random(5)
     letters = lambda n: "".join(r.choice("abcdeé ") for _ in range(n))
