@@ -44,7 +44,8 @@ def _pages(spark, a) -> DataFrame:
     return read_json(spark, a.source, multiline=True, keep_path=True).withColumn("category", source_key())
 
 
-JOBS = {
+#: Jobs over raw payloads and silver tables.
+COLLECT_JOBS = {
     # from raw payloads
     "listing_products": lambda s, a: collect.listing_products(read_json(s, a.source, multiline=True), a.run_date),
     "page_products": lambda s, a: collect.page_products(collect.read_pages(s, a.source), keep=[SOURCE_PATH]),
@@ -59,7 +60,10 @@ JOBS = {
     "newest_reviews": lambda s, a: collect.newest_reviews(
         read_parquet(s, a.source), "product_id", "review_date", "review_content", a.limit),
     "top_keywords": lambda s, a: trend.top_keywords(read_parquet(s, a.source), a.run_date),
-    # bronze to silver
+}
+
+#: Bronze to silver.
+DAY_JOBS = {
     "ably_product_detail": lambda s, a: product.ably_product_detail(_ably(s, a), a.run_date),
     "ably_ranking": lambda s, a: ranking.ably_ranking(_ably(s, a), a.run_date),
     "ably_reviews": lambda s, a: review.ably_reviews(review.read_ably_reviews(s, a.source), a.run_date),
@@ -79,6 +83,8 @@ JOBS = {
     "weather_stations": lambda s, a: weather.weather_stations(weather.read_weather_lines(s, a.source)),
 }
 
+JOBS = COLLECT_JOBS | DAY_JOBS
+
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="hemline", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)

@@ -193,7 +193,7 @@ def test_every_job_runs_from_the_command_line(spark, day, tmp_path):
         "videos": "otherapis/남성_youtoube_videos_by_categories_raw_data", "weather_daily": "otherapis/weekly_weather_data_raw_data/*.txt",
         "weather_stations": "otherapis/weather_station_data_raw_data",
     }
-    for name in run.JOBS:
+    for name in run.DAY_JOBS:
         source = f"{zone}/{sources.get(name, '29cm/29cm_product/*/*/*.json')}"
         categories = tmp_path / ("ably.csv" if name.startswith("ably") else "cm29.csv")
         target = str(tmp_path / name)

@@ -63,7 +63,3 @@ def test_only_the_optional_queries_lack_sql():
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0
-
-
-def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
