@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html import unescape as unescape_reference
 from html.entities import html5
 
@@ -35,8 +36,8 @@ _C1 = {n: unescape_reference(f"&#{n};") for n in range(128, 160)}
 
 
 def _named_references() -> Column:
-    names = sorted(n[:-1] for n in html5 if n.endswith(";"))
-    return F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.lit(html5[n + ";"]) for n in names]))
+    names = {n[:-1]: text for n, text in html5.items() if n.endswith(";")}
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
 
 
 def _character(number: Column) -> Column:
