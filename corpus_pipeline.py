@@ -18,9 +18,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language_id.in_known_language(docs, language_id.learn(docs))
 
 
-def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents stays."""
-    return jaccard_join.one_of_each_group(docs)
+def one_of_near_duplicates(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, words: int = jaccard_join.WORDS, percent: int = jaccard_join.PERCENT,
+) -> DataFrame:
+    """One document of each group of linked documents stays; ``words`` and ``percent`` say what links."""
+    return jaccard_join.one_of_each_group(docs, words=words, percent=percent)
 
 
 def repeats_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,15 +1,19 @@
 """N-gram Jaccard join: a size-aware heavy-light join of shingle sets, then connected groups.
 
-A document's set is that of its three-word shingles. Texts with equal sets form a class, told by a
-128-bit digest; everything further works on one text per class.
+A document's set is that of its shingles of ``words`` words; two sets link when their Jaccard
+similarity is at least ``percent`` of 100. Texts with equal sets form a class, told by a 128-bit
+digest; everything further works on one text per class.
 
 * Light sets, up to the boundary ``light_limit()``, enumerate subsets of fixed size: two sets of a
-  and b shingles link only if they share ``c = ceil(90 (a + b) / 190)`` of them, so every set emits
-  its subsets of the sizes c it can need, and linked sets meet at a common subset.
+  and b shingles link only if they share ``c = ceil(percent (a + b) / (100 + percent))`` of them, so
+  every set emits its subsets of the sizes c it can need, and linked sets meet at a common subset.
 * Heavy sets use inverted lists. The shingle hashes are cut into more ranges than two linked sets of
   a size class can differ in, so they agree in all shingles of at least one range: the lists are
-  kept per (class, range, shingles in it), where a frequent shingle alone makes no list long. Light
-  sets near the boundary enter the lists as well.
+  kept per (class, range, shingles in it), where a frequent shingle alone makes no list long. A set
+  enters only its fullest ranges, those of at least t shingles, with t the most that leaves more
+  ranges than it can differ in from any partner: linked sets agree in one that is full enough for
+  both, and ranges of few or no shingles, equal by chance, stay out. Light sets near the boundary
+  enter the lists as well.
 * The boundary is the size at which enumerating costs more than the lists, with a set in a list
   counted as ``CHECK_COST`` entries for the checks it causes.
 
@@ -42,6 +46,8 @@ WORDS = 3
 PERCENT = 90
 CHECK_COST = 8
 CLASS_GROWTH = 1.25
+#: Ranges a size class has beyond those that linked sets can differ in, as a part of these.
+SPARE_RANGES = 6
 #: Different sets a task remembers in order to emit the lists of equal sets once.
 SEEN = 200_000
 #: Shingles of the texts that are compared with each other in one piece.
@@ -62,55 +68,55 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def shingle_hashes(words: list[bytes]) -> np.ndarray:
-    """Sorted different 64-bit hashes of the shingles."""
+def shingle_hashes(words: list[bytes], length: int = WORDS) -> np.ndarray:
+    """Sorted different 64-bit hashes of the shingles of ``length`` words."""
     if not words:
         return np.zeros(0, np.uint64)
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    if len(words) < WORDS:
+    if len(words) < length:
         out = np.array([len(words)], np.uint64)
         for i in range(len(words)):
             out = mixed(out * _ODD + hashes[i:i + 1])
         return out
-    out = hashes[: len(hashes) - WORDS + 1]
-    for i in range(1, WORDS):
-        out = mixed(out * _ODD) + hashes[i: len(hashes) - WORDS + 1 + i]
+    out = hashes[: len(hashes) - length + 1]
+    for i in range(1, length):
+        out = mixed(out * _ODD) + hashes[i: len(hashes) - length + 1 + i]
     return np.unique(mixed(out))
 
 
-def needed(a: int, b: int) -> int:
-    """Shingles that sets of a and b must share: 100 I >= 90 (a + b - I)."""
-    return -(-PERCENT * (a + b) // (100 + PERCENT))
+def needed(a: int, b: int, percent: int = PERCENT) -> int:
+    """Shingles that sets of a and b must share: 100 I >= percent (a + b - I)."""
+    return -(-percent * (a + b) // (100 + percent))
 
 
-def partner_sizes(a: int) -> range:
+def partner_sizes(a: int, percent: int = PERCENT) -> range:
     """Sizes of sets that can link with a set of a."""
-    return range(-(-PERCENT * a // 100), 100 * a // PERCENT + 1)
+    return range(-(-percent * a // 100), 100 * a // percent + 1)
 
 
-def subset_sizes(a: int) -> list[int]:
-    return sorted({needed(a, b) for b in partner_sizes(a) if needed(a, b) <= min(a, b)})
+def subset_sizes(a: int, percent: int = PERCENT) -> list[int]:
+    return sorted({c for b in partner_sizes(a, percent) if (c := needed(a, b, percent)) <= min(a, b)})
 
 
-def most_different(largest: int) -> int:
-    """Shingles in just one of two linked sets of at most ``largest`` shingles."""
-    return (100 - PERCENT) * 2 * largest // (100 + PERCENT)
+def most_different(both: int, percent: int = PERCENT) -> int:
+    """Shingles in just one of two linked sets of at most ``both`` shingles, counted in each."""
+    return (100 - percent) * both // (100 + percent)
 
 
-@lru_cache(maxsize=1)
-def light_limit() -> int:
+@lru_cache(maxsize=None)
+def light_limit(percent: int = PERCENT) -> int:
     a = 1
-    while sum(math.comb(a + 1, c) for c in subset_sizes(a + 1)) <= CHECK_COST * (most_different(a + 1) + 1):
+    while sum(math.comb(a + 1, c) for c in subset_sizes(a + 1, percent)) <= CHECK_COST * (most_different(2 * (a + 1), percent) + 1):
         a += 1
     return a
 
 
 @lru_cache(maxsize=None)
-def size_classes(largest: int) -> tuple[int, ...]:
+def size_classes(largest: int, percent: int = PERCENT) -> tuple[int, ...]:
     """Lower bounds of the size classes of the lists; linked sets lie in one class or neighbours."""
-    edges = [partner_sizes(light_limit() + 1)[0]]
-    while edges[-1] <= 2 * largest:
-        edges.append(max(edges[-1] * 100 // PERCENT + 2, int(edges[-1] * CLASS_GROWTH)))
+    edges = [partner_sizes(light_limit(percent) + 1, percent)[0]]
+    while edges[-1] <= 100 * largest // percent + largest:
+        edges.append(max(edges[-1] * 100 // percent + 2, int(edges[-1] * CLASS_GROWTH)))
     return tuple(edges)
 
 
@@ -119,32 +125,36 @@ def range_bounds(number: int) -> np.ndarray:
     return np.array([(i << 64) // number for i in range(1, number)], dtype=np.uint64)
 
 
-def list_keys(hashes: np.ndarray) -> np.ndarray:
+def list_keys(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """64-bit keys of all lists a set is in."""
     n, keys = len(hashes), []
     marks = mixed(hashes * _ODD)
-    if n <= light_limit():
+    if n <= light_limit(percent):
         total = marks.sum(dtype=np.uint64)
-        for c in subset_sizes(n):
+        for c in subset_sizes(n, percent):
             drop = [sum((int(marks[i]) for i in out), 0) for out in itertools.combinations(range(n), n - c)]
             left = total - np.array([d & 0xFFFFFFFFFFFFFFFF for d in drop], np.uint64)
             keys.append(mixed(left ^ mixed(np.full(1, c, np.uint64) * _ODD)))
-    edges = size_classes(1 << max(n, 64).bit_length())
+    edges = size_classes(1 << max(n, 64).bit_length(), percent)
     if n >= edges[0]:
         home = int(np.searchsorted(edges, n, side="right")) - 1
         sums = np.concatenate(([np.uint64(0)], np.cumsum(marks, dtype=np.uint64)))
+        partner = partner_sizes(n, percent)[-1]
         for k in (home, home + 1):
-            if k > home and partner_sizes(n)[-1] < edges[k]:
+            if k > home and partner < edges[k]:
                 continue
-            number = most_different(edges[k + 1] - 1) + 1
+            most = most_different(2 * (edges[k + 1] - 1), percent)
+            number = most + 1 + most // SPARE_RANGES
             cuts = np.concatenate(([0], np.searchsorted(hashes, range_bounds(number)), [n]))
-            inside = sums[cuts[1:]] - sums[cuts[:-1]]
+            inside, filled = sums[cuts[1:]] - sums[cuts[:-1]], np.diff(cuts)
+            own = most_different(n + min(partner, edges[k + 1] - 1), percent)
+            full = filled >= np.sort(filled)[number - 1 - own]
             place = np.arange(number, dtype=np.uint64) + np.uint64(1 + (k << 32))
-            keys.append(mixed(inside ^ mixed(place * _ODD)))
+            keys.append(mixed(inside ^ mixed(place * _ODD))[full])
     return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_key, n_shingles, set_id, short_id, list_keys) of every row.
 
     ``list_keys`` is empty when the task has given the lists of an equal set already.
@@ -156,7 +166,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
         for batch in batches:
             sizes, ids, shorts, lists, ends = [], [], [], [], [0]
             for text in batch.column("text").to_pylist():
-                hashes = shingle_hashes(words_of(text))
+                hashes = shingle_hashes(words_of(text), words)
                 first = int(mixed(hashes ^ _ODD).sum(dtype=np.uint64))
                 second = int(mixed(hashes * _ODD + _MIX).sum(dtype=np.uint64))
                 sizes.append(len(hashes))
@@ -165,7 +175,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 if ids[-1] not in seen:
                     seen = set() if len(seen) >= SEEN else seen
                     seen.add(ids[-1])
-                    lists.append(list_keys(hashes))
+                    lists.append(list_keys(hashes, percent))
                     ends.append(ends[-1] + len(lists[-1]))
                 else:
                     ends.append(ends[-1])
@@ -192,7 +202,7 @@ def hub_members(sets: DataFrame) -> DataFrame:
     return joined.select("hub", "short_id").distinct()
 
 
-def _exact_sets(texts: list[str]) -> list[np.ndarray]:
+def _exact_sets(texts: list[str], length: int = WORDS) -> list[np.ndarray]:
     """Sorted shingle codes without collisions, for texts that are compared with each other."""
     numbers: dict[bytes, int] = {}
     known: dict[tuple, int] = {}
@@ -200,27 +210,35 @@ def _exact_sets(texts: list[str]) -> list[np.ndarray]:
     for text in texts:
         words = words_of(text)
         coded.append(np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64))
-    out = []
+    every = np.concatenate(coded) if coded else np.zeros(0, np.int64)
+    # shingles that cross from one text into the next get a code as well, which no text takes
+    code, bits = every, max(1, len(numbers).bit_length())
+    held = bits
+    for i in range(1, length):
+        if held + bits > 63:  # codes in use are numbered anew
+            code = np.unique(code, return_inverse=True)[1].astype(np.int64)
+            held = len(code).bit_length()
+        code = (code[:-1] << bits) | every[i:]
+        held += bits
+    out, at = [], 0
     for ids in coded:
-        if len(ids) < WORDS:
+        if len(ids) < length:
             out.append(np.array([-1 - known.setdefault(tuple(ids.tolist()), len(known))], np.int64))
-        elif len(numbers) < 1 << 21:
-            out.append(np.unique((ids[:-2] << 42) | (ids[1:-1] << 21) | ids[2:]))
         else:
-            triples = zip(ids[:-2].tolist(), ids[1:-1].tolist(), ids[2:].tolist())
-            out.append(np.unique(np.array([known.setdefault(t, len(known)) for t in triples], np.int64)))
+            out.append(np.unique(code[at:at + len(ids) - length + 1]))
+        at += len(ids)
     return out
 
 
-def _overlaps(sets: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
+def _overlaps(sets: list[np.ndarray], percent: int = PERCENT) -> Iterator[tuple[int, int, int]]:
     """(i, j, common) of pairs that link."""
     sizes = np.array([len(s) for s in sets])
     if len(sets) <= 6:
         for i, j in itertools.combinations(range(len(sets)), 2):
             low, high = sorted((sizes[i], sizes[j]))
-            if 100 * low >= PERCENT * high:
+            if 100 * low >= percent * high:
                 common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if 100 * common >= PERCENT * (low + high - common):
+                if 100 * common >= percent * (low + high - common):
                     yield i, j, common
         return
     codes, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -238,12 +256,12 @@ def _overlaps(sets: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
         part[owner[a:b], shared[a:b] - at] = 1
         common += part @ part.T
     common = common.astype(np.int64)
-    linked = 100 * common >= PERCENT * (sizes[:, None] + sizes[None, :] - common)
+    linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
     for i, j in zip(*np.nonzero(np.triu(linked, 1))):
         yield int(i), int(j), int(common[i, j])
 
 
-def _links(ids: list[str], texts: list[str]) -> list[tuple[str, str]]:
+def _links(ids: list[str], texts: list[str], words: int = WORDS, percent: int = PERCENT) -> list[tuple[str, str]]:
     """Links that connect all sets found linked: each set with the smallest of its group."""
     distinct = dict(zip(ids, texts))
     names = sorted(distinct)
@@ -255,13 +273,16 @@ def _links(ids: list[str], texts: list[str]) -> list[tuple[str, str]]:
             i = root[i]
         return i
 
-    for i, j, _ in _overlaps(_exact_sets([distinct[n] for n in names])):
+    for i, j, _ in _overlaps(_exact_sets([distinct[n] for n in names], words), percent):
         a, b = find(i), find(j)
         root[max(a, b)] = min(a, b)
     return [(names[i], names[find(i)]) for i in range(len(names)) if find(i) != i]
 
 
-def verified_links(members: DataFrame, sets: DataFrame, docs: DataFrame, piece: int = PIECE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def verified_links(
+    members: DataFrame, sets: DataFrame, docs: DataFrame, piece: int = PIECE, broadcast_rows: int = BROADCAST_ROWS,
+    words: int = WORDS, percent: int = PERCENT,
+) -> DataFrame:
     """(set_id, smaller): exact links between sets of the same hub, enough to connect them."""
     firsts = sets.groupBy("set_id", "short_id", "n_shingles").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
     firsts = firsts.select("set_id", "short_id", "n_shingles", "first.doc_id", "first.text_key")
@@ -289,13 +310,13 @@ def verified_links(members: DataFrame, sets: DataFrame, docs: DataFrame, piece:
             columns = [batch.column(c).to_pylist() for c in ("hub", "a", "b", "set_id", "text")]
             for *now, set_id, text in zip(*columns):
                 if now != key:
-                    links += _links(ids, held) if len(ids) > 1 else []
+                    links += _links(ids, held, words, percent) if len(ids) > 1 else []
                     key, ids, held = now, [], []
                 ids.append(set_id)
                 held.append(text)
             yield out(links)
         if len(ids) > 1:
-            yield out(_links(ids, held))
+            yield out(_links(ids, held, words, percent))
 
     grouped = texts.repartition("hub", "a", "b").sortWithinPartitions("hub", "a", "b")
     return grouped.mapInArrow(run, "set_id string, smaller string")
@@ -324,10 +345,12 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
-def near_duplicate_groups(docs: DataFrame, piece: int = PIECE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def near_duplicate_groups(
+    docs: DataFrame, piece: int = PIECE, broadcast_rows: int = BROADCAST_ROWS, words: int = WORDS, percent: int = PERCENT,
+) -> DataFrame:
     """doc_id, text_key, n_shingles and component_id (smallest doc_id reachable by links) of every row."""
-    sets = keep(shingle_sets(docs), "shingle-sets")
-    links = verified_links(hub_members(sets), sets.drop("list_keys"), docs, piece, broadcast_rows)
+    sets = keep(shingle_sets(docs, words, percent), "shingle-sets")
+    links = verified_links(hub_members(sets), sets.drop("list_keys"), docs, piece, broadcast_rows, words, percent)
     labels = components(links)
     classes = sets.groupBy("set_id").agg(F.min("doc_id").alias("first_id"))
     labelled = classes.join(labels, classes["set_id"] == labels["node"], "left").select(
@@ -338,10 +361,10 @@ def near_duplicate_groups(docs: DataFrame, piece: int = PIECE, broadcast_rows: i
         "doc_id", "text_key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def one_of_each_group(docs: DataFrame) -> DataFrame:
+def one_of_each_group(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows, with all their columns, of which one is left in each group of linked documents:
     that of the smallest doc_id (and text hash). Documents with an empty set all stay."""
-    groups = keep(near_duplicate_groups(docs), "groups").where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    groups = keep(near_duplicate_groups(docs, words=words, percent=percent), "groups").where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     heads = groups.where(F.col("doc_id") == F.col("component_id")).groupBy("component_id").agg(
         F.min("text_key").alias("text_key"), F.count("*").alias("rows")).withColumnRenamed("component_id", "doc_id")
     left = without(docs, groups.join(heads, ["doc_id", "text_key"], "left_anti"))
