@@ -87,9 +87,12 @@ def hits(docs: DataFrame, windows: DataFrame, span: int = SPAN, gram: int = GRAM
             matched = prints.select("doc_id", "text_key", "words", "grams", F.explode_outer("picked").alias("v")).join(
                 F.broadcast(values), "v", "left_semi")
         else:
-            pairs = prints.select("doc_id", "text_key", F.explode_outer("picked").alias("v")).join(values, "v", "left_semi")
+            pairs = prints.select(
+                F.col("doc_id").alias("pair_id"), F.col("text_key").alias("pair_key"), F.explode_outer("picked").alias("v"),
+            ).join(values, "v", "left_semi").distinct()
             grams = _words_of(docs).withColumn("grams", gram_hashes(F.col("words"), k))
-            matched = grams.join(pairs, ["doc_id", "text_key"])
+            same = F.col("doc_id").eqNullSafe(F.col("pair_id")) & (F.col("text_key") == F.col("pair_key"))
+            matched = grams.join(pairs, same).drop("pair_id", "pair_key")
         last = F.size("words") - n
         at = F.filter(F.transform("grams", lambda g, i: F.when(g == F.col("v"), i)), lambda i: i.isNotNull())
         around = F.flatten(F.transform(at, lambda i: F.sequence(F.greatest(i - (width - 1), F.lit(0)), F.least(i, last))))

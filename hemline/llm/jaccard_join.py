@@ -284,7 +284,8 @@ def verified_links(
     words: int = WORDS, percent: int = PERCENT,
 ) -> DataFrame:
     """(set_id, smaller): exact links between sets of the same hub, enough to connect them."""
-    firsts = sets.groupBy("set_id", "short_id", "n_shingles").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    with_id_first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    firsts = sets.groupBy("set_id", "short_id", "n_shingles").agg(F.min(with_id_first).alias("first"))
     firsts = firsts.select("set_id", "short_id", "n_shingles", "first.doc_id", "first.text_key")
     rows = keep(members.join(firsts, "short_id"), "hub-members")
     sizes = rows.groupBy("hub").agg(F.sum("n_shingles").alias("total")).select(
@@ -296,7 +297,12 @@ def verified_links(
         "hub", "set_id", "doc_id", "text_key", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
     wanted = keep(wanted, "hub-pieces")
     small = wanted.count() <= broadcast_rows
-    texts = keyed(docs).join(F.broadcast(wanted) if small else wanted, ["doc_id", "text_key"]).select("hub", "a", "b", "set_id", "text")
+    wanted = wanted.withColumnRenamed("doc_id", "first_id").withColumnRenamed("text_key", "first_key")
+    every = keyed(docs)
+    # a text without an id stands for its set only where no copy has one; its rows are all alike
+    every = every.where(F.col("doc_id").isNotNull()).unionByName(every.where(F.col("doc_id").isNull()).distinct())
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key"))
+    texts = every.join(F.broadcast(wanted) if small else wanted, same).select("hub", "a", "b", "set_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, held = None, [], []
