@@ -5,13 +5,16 @@ against an automaton into phrases, each the longest match that starts where the
 character the sample lacks is a phrase). The number of phrases over the number of symbols estimates
 the cross entropy; the language that needs the fewest phrases wins, the smaller name on a tie.
 
-Letters are taken in lower case, every run of other characters is one blank. Parsing needs no suffix
-links, so automata are dense transition tables and all blocks of ``BLOCK`` symbols of a batch of
-texts are parsed side by side, one numpy step per symbol; each block starts a phrase of its own. All
-symbols of every text are parsed.
+Letters are taken in lower case, every run of other characters is one blank. Every letter of the
+samples is a symbol of its own, whatever the number of scripts; letters of no sample are phrases.
+Parsing needs no suffix links, so automata are transition tables, dense for the ``DENSE`` most
+frequent symbols and sorted (state, symbol) pairs for the others. All blocks of ``BLOCK`` symbols of
+a batch of texts are parsed side by side, one numpy step per symbol; each block starts a phrase of
+its own. All symbols of every text are parsed.
 
 The sample is ``sample_docs`` rows per language (smallest hash of the id) with up to ``sample_chars``
-characters each; this bound is the only one, and predictions never see lang, source or id. NULL texts
+characters each, in slices spread over the text where it is longer; this bound is the only one, and
+predictions never see lang, source or id. NULL texts
 and texts without a letter are ``und`` with score 0, as are all texts when no labelled row exists.
 Repeated rows get equal answers; an empty table gives an empty table; extra columns are ignored.
 """
@@ -19,20 +22,23 @@ Repeated rows get equal answers; an empty table gives an empty table; extra colu
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hemline.llm.common import small_batches
 
 SAMPLE_DOCS = 96
 SAMPLE_CHARS = 160
-ALPHABET = 64
+SLICES = 4
+#: Symbols with a column of their own in the dense tables.
+DENSE = 64
 BLOCK = 256
 #: Symbols parsed at once.
 CHUNK = 2_000_000
@@ -76,19 +82,50 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return step
 
 
+@dataclass(frozen=True)
+class RareMoves:
+    """Transitions by symbols beyond the dense ones, as sorted codes ``state * width + symbol``."""
+
+    width: int
+    codes: np.ndarray
+    targets: np.ndarray
+    first: np.ndarray  # symbol -> target from the start, 0 where the sample lacks it
+
+    @classmethod
+    def of(cls, step: list[dict[int, int]], width: int) -> "RareMoves":
+        moves = sorted((s * width + c, to) for s, m in enumerate(step) for c, to in m.items() if c >= DENSE)
+        codes, targets = (np.array([m[k] for m in moves], np.int64) for k in (0, 1))
+        first = np.zeros(width, np.int64)
+        first[list(step[0])] = list(step[0].values())
+        return cls(width, codes, targets, first)
+
+    def move(self, row: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """As an entry of ``parse_table``."""
+        state = row.astype(np.int64) // DENSE
+        wanted, first = state * self.width + symbol, self.first[symbol]
+        if not len(self.codes):
+            found, to = np.zeros(len(wanted), bool), first
+        else:
+            at = np.minimum(np.searchsorted(self.codes, wanted), len(self.codes) - 1)
+            found = self.codes[at] == wanted
+            to = np.where(found, self.targets[at], first)
+        return to * (DENSE * 4) + np.where(found, 0, (state > 0).astype(np.int64) + (first == 0))
+
+
 def parse_table(step: list[dict[int, int]]) -> np.ndarray:
-    """Flat table over (state * ALPHABET + symbol): next row offset * 4 + number of phrases that end.
+    """Flat table over (state * DENSE + symbol): next row offset * 4 + number of phrases that end.
 
     A symbol that doesn't go on ends the phrase before it; one that the sample lacks is a phrase too.
     """
-    table = np.zeros((len(step), ALPHABET), dtype=np.int32)
+    table = np.zeros((len(step), DENSE), dtype=np.int32)
     for state, moves in enumerate(step):
         for symbol, to in moves.items():
-            table[state, symbol] = to
+            if symbol < DENSE:
+                table[state, symbol] = to
     missing = table == 0
     opened = (np.arange(len(step))[:, None] > 0).astype(np.int32)
     ends = missing * (opened + (table[0] == 0)[None, :])
-    following = np.where(missing, table[0][None, :], table) * (ALPHABET * 4) + ends
+    following = np.where(missing, table[0][None, :], table) * (DENSE * 4) + ends
     following[:, _PAD] = 1  # the end of a text closes its phrase
     following[0, _PAD] = 0
     return following.astype(np.int32).ravel()
@@ -99,25 +136,26 @@ class CrossParser:
     languages: tuple[str, ...]
     symbol_of: np.ndarray  # code point -> symbol
     tables: tuple[np.ndarray, ...]
+    rare: tuple[RareMoves, ...]
 
     @classmethod
     def learn(cls, samples: dict[str, str]) -> "CrossParser":
         """From one text per language."""
-        letters = Counter(c for t in samples.values() for c in t.lower() if c.isalpha())
-        known = {c: i + 3 for i, (c, _) in enumerate(sorted(letters.items(), key=lambda x: (-x[1], x[0]))[: ALPHABET - 3])}
-        points = np.full(0x10000, _BLANK, dtype=np.uint8)
+        letters = Counter(c.lower() for t in samples.values() for c in t if c.isalpha())
+        known = {c: i + 3 for i, (c, _) in enumerate(sorted(letters.items(), key=lambda x: (-x[1], x[0])))}
+        points = np.full(sys.maxunicode + 1, _BLANK, dtype=np.int32)
         for point in range(len(points)):
             if (c := chr(point)).isalpha():
                 points[point] = known.get(c.lower(), _OTHER)
         names = tuple(sorted(samples))
-        empty = cls(names, points, ())
-        return cls(names, points, tuple(parse_table(suffix_automaton(empty.symbols(samples[n]).tolist())) for n in names))
+        empty = cls(names, points, (), ())
+        steps = [suffix_automaton(empty.symbols(samples[n]).tolist()) for n in names]
+        width = max(DENSE, len(known) + 3)
+        return cls(names, points, tuple(map(parse_table, steps)), tuple(RareMoves.of(s, width) for s in steps))
 
     def symbols(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        out = self.symbol_of[np.minimum(points, 0xFFFF)]
-        if len(out) and points.max() > 0xFFFF:
-            out[points > 0xFFFF] = _OTHER
+        out = self.symbol_of[points]
         blank = out == _BLANK
         return np.delete(out, np.flatnonzero(blank[1:] & blank[:-1]) + 1)
 
@@ -126,17 +164,20 @@ class CrossParser:
         sizes = np.array([len(t) for t in texts])
         blocks = np.maximum(1, -(-sizes // BLOCK))
         first = np.concatenate(([0], np.cumsum(blocks)[:-1]))
-        padded = np.zeros(blocks.sum() * BLOCK, dtype=np.uint8)
+        padded = np.zeros(blocks.sum() * BLOCK, dtype=np.int32)
         for text, at in zip(texts, first * BLOCK):
             padded[at:at + len(text)] = text
-        columns = np.ascontiguousarray(padded.reshape(-1, BLOCK).T).astype(np.int32)
+        columns = np.ascontiguousarray(padded.reshape(-1, BLOCK).T)
+        rare = [np.flatnonzero(c >= DENSE) for c in columns]
+        dense = np.where(columns < DENSE, columns, _OTHER)
         out = np.empty((len(self.tables), len(texts)), dtype=np.int64)
-        for i, table in enumerate(self.tables):
+        for i, (table, others) in enumerate(zip(self.tables, self.rare)):
             state = np.zeros(columns.shape[1], dtype=np.int32)
             count = np.zeros(columns.shape[1], dtype=np.int32)
-            for symbol in columns:
-                state += symbol
-                move = table.take(state)
+            for symbol, wide, column in zip(dense, rare, columns):
+                move = table.take(state + symbol)
+                if len(wide):
+                    move[wide] = others.move(state[wide], column[wide])
                 count += move & 3
                 state = move >> 2
             out[i] = np.add.reduceat(count + (state > 0), first)
@@ -180,10 +221,18 @@ class CrossParser:
         return names, scores, rates
 
 
+def spread_sample(text: Column, chars: int) -> Column:
+    """The text, or ``SLICES`` slices of it from start to end, ``chars`` characters at most."""
+    size = max(1, (chars - SLICES + 1) // SLICES)
+    room = F.length(text) - size
+    starts = [F.floor(room * i / (SLICES - 1)).cast("int") + 1 for i in range(SLICES)]
+    return F.when(F.length(text) <= chars, text).otherwise(F.concat_ws(" ", *[F.substring(text, at, F.lit(size)) for at in starts]))
+
+
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> CrossParser:
     """A parser from a bounded sample of the labelled rows (doc_id, text, lang)."""
     labelled = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0)).select(
-        F.col("lang"), F.substring("text", 1, sample_chars).alias("piece"), F.xxhash64("doc_id").alias("at"))
+        F.col("lang"), spread_sample(F.col("text"), sample_chars).alias("piece"), F.xxhash64("doc_id").alias("at"))
     order = Window.partitionBy("lang").orderBy("at", "piece")
     chosen = labelled.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_docs)
     samples: dict[str, list[str]] = {}
