@@ -11,6 +11,7 @@ from hemline.llm import (
     chat_format,
     decontamination,
     html_extraction,
+    importance,
     jaccard_join,
     language_id,
     lm_scoring,
@@ -177,3 +178,34 @@ def op8_heavy_light_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"]).select(
         "kept.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op11_importance_resampling", rf"""
+with recursive steps as (select 0 as k, i as byte, cast(i as bigint) as v from unnest(range(256)) t(i)
+  union all select k + 1, byte, xor(v >> 1, case when v & 1 = 1 then 3988292384 else 0 end) from steps where k < 8),
+crc as (select list(v order by byte) as entries from steps where k = 8),
+d as (select doc_id, row_number() over () as r, {_ALNUM} as w from documents),
+b as (select {_ALNUM} as w from benchmark),
+df as (select r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+         list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as f from d),
+bf as (select unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+         list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as f from b),
+fs as (select distinct f, hex(encode(f)) as h from (select f from df union all select f from bf)),
+bucket as (select f, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(h), 2), lambda i: cast('0x' || h[i:i + 1] as bigint))),
+         lambda c, x: xor(c >> 8, entries[(xor(c, x) & 255) + 1])), 4294967295) % 10000 as k from fs, crc),
+s as (select k, count(*) as s from df join bucket using (f) group by k),
+t as (select k, count(*) as t from bf join bucket using (f) group by k),
+n as (select (select coalesce(sum(s), 0) from s) as sn, (select coalesce(sum(t), 0) from t) as tn),
+g as (select s.k, cast(floor(1000 * ln(((coalesce(t, 0) + 1)::double * (sn + 10000)::double) / ((s + 1)::double * (tn + 10000)::double))) as bigint) as gain
+      from s left join t on s.k = t.k, n),
+w as (select r, count(*) as n_features, sum(gain) as weight from df join bucket using (f) join g using (k) group by r),
+c as (select doc_id, len(d.w) as n_words, cast(coalesce(n_features, 0) as bigint) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+        cast(coalesce(weight, 0) + floor(-1000 * ln(-ln((cast('0x' || substr(sha256('42:' || coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint) + 0.5) / 4294967296::double))) as bigint) as score
+      from d left join w on d.r = w.r),
+o as (select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id nulls last, n_features, n_words) as place,
+        count(*) over (partition by n_words >= 20) as fit from c)
+select doc_id, n_features, weight, score, case when n_words >= 20 and place <= 5 * fit // 100 then place end as rank from o
+""")
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
