@@ -22,5 +22,5 @@ def word_pieces(text: str | None, size: int = PIECE_BYTES) -> Iterator[list[byte
     while at < len(data):
         end = data.find(b" ", at + size)
         end = len(data) if end < 0 else end
-        yield data[at:end].split(b" ") if b"  " not in data[at:end] else [w for w in data[at:end].split(b" ") if w]
+        yield data[at:end].split()
         at = end
