@@ -14,6 +14,7 @@ from hemline.llm import (
     importance,
     jaccard_join,
     language_id,
+    lexical_search,
     lm_scoring,
     mixing,
     quality_rules,
@@ -209,3 +210,21 @@ select doc_id, n_features, weight, score, case when n_words >= 20 and place <= 5
 def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_nra_search", rf"""
+with d as (select doc_id, row_number() over () as r, {_ALNUM} as w from documents),
+i as (select item_id, row_number() over () as q, {_ALNUM} as w from benchmark),
+s as (select cast(count(*) filter (len(w) > 0) as bigint) as docs, cast(sum(len(w)) as bigint) as terms from d),
+tf as (select r, t, count(*) as tf from (select r, unnest(w) as t from d) group by r, t),
+qt as (select q, t, count(*) as repeats from (select q, unnest(w) as t from i) group by q, t),
+w as (select t, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double)) as bigint) as weight from tf, s where t in (select t from qt) group by t, docs),
+m as (select r, doc_id, 25 + (75 * len(w) * docs) // terms as m from d, s where len(w) > 0),
+e as (select q, m.r, doc_id, sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) as score
+      from qt join w using (t) join tf using (t) join m on m.r = tf.r group by q, m.r, doc_id),
+o as (select q, doc_id, cast(score as bigint) as score, cast(row_number() over (partition by q order by score desc, doc_id nulls last) as integer) as rank from e where score > 0)
+select item_id, rank, doc_id, score from o join i on o.q = i.q where rank <= {lexical_search.TOP}
+""")
+def op13_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"))
