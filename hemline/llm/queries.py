@@ -18,6 +18,7 @@ from hemline.llm import (
     lm_scoring,
     mixing,
     quality_rules,
+    secret_scan,
     suffix_dedup,
     url_filter,
 )
@@ -228,3 +229,14 @@ select item_id, rank, doc_id, score from o join i on o.q = i.q where rank <= {le
 def op13_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = lexical_search.build_index(table(spark, sf_dir, "documents"))
     return lexical_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_secret_scan")
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    of = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    line = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(line(base).cast("binary"), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
