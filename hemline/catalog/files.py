@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from hemline.catalog.registry import query, table
@@ -12,7 +13,7 @@ from hemline.functions.casts import to_double, to_int, to_long
 from hemline.functions.text import record_field, record_fields
 from hemline.operators.project import union_all
 from hemline.session import shared_dir
-from hemline.sources import readers, writers
+from hemline.sources import publish, readers, writers
 
 CUSTOMER_SCHEMA = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 CUSTOMER_SQL = "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer"
@@ -242,3 +243,37 @@ def mart_ctas(spark, d):
     )
     writers.build_mart(mart, name, shared_dir(spark, "mart"))
     return spark.table(name)
+
+
+@query("staged_refresh", """
+select 'after failures' as state, s_suppkey, s_name, s_acctbal from supplier
+union all select 'refreshed', s_suppkey, s_name, s_acctbal + 1 from supplier
+union all select 'rolled back', s_suppkey, s_name, s_acctbal from supplier
+""")
+def staged_refresh(spark, d):
+    """A table after refreshes that fail in a source and in a check, after a good one from itself, and taken back."""
+    name, root = _new_table("staged"), shared_dir(spark, "staged_refresh")
+    contract = TableContract("supplier_tb", (
+        Field("s_suppkey", "bigint", True), Field("s_name", "string", True, 25), Field("s_acctbal", "double")), key=("s_suppkey",))
+    supplier = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    writers.load_table(contract, [supplier], name, root)
+    broken = supplier.withColumn("s_name", F.when(F.col("s_suppkey") >= 0, F.raise_error(F.lit("source is gone"))).otherwise(F.col("s_name")))
+    doubtful = supplier.withColumn("s_name", F.when(F.col("s_suppkey") % 3 == 0, F.col("s_name")))
+    for source in (broken, doubtful):
+        try:
+            writers.load_table(contract, [supplier, source], name, root, max_rejected=0.1)
+        except (SparkRuntimeException, publish.CheckFailed):
+            continue
+        raise AssertionError("a refresh from a failing source was published")
+    states = []
+
+    def note(state):
+        # read by folder: a table's own frame would follow the table
+        states.append(spark.read.parquet(publish.current_location(spark, name)).select(F.lit(state).alias("state"), "*"))
+
+    note("after failures")
+    writers.load_table(contract, [spark.table(name).withColumn("s_acctbal", F.col("s_acctbal") + 1)], name, root)
+    note("refreshed")
+    publish.rollback(spark, name)
+    note("rolled back")
+    return union_all(states)

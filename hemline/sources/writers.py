@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hemline.contracts import TableContract
+from hemline.sources import publish
 
 
 def write_parquet(
@@ -55,44 +56,58 @@ def refresh_table(spark: SparkSession, contract: TableContract, table: str, loca
 
 
 class Loaded(NamedTuple):
-    """What a load leaves to store: rejected rows with their reasons (lazy), and rule counts."""
+    """What a load leaves to store: rejected rows with their reasons (lazy), rule counts, and what was published."""
 
     rejected: DataFrame
     report: DataFrame
+    published: publish.Published | None = None
 
 
 def load_table(
-    contract: TableContract, sources: list[DataFrame], table: str, location: str | None = None
+    contract: TableContract,
+    sources: list[DataFrame],
+    table: str,
+    location: str | None = None,
+    max_rejected: float | None = None,
 ) -> Loaded:
-    """Full refresh of a table from all sources: the table is made from the contract and filled in one pass.
+    """Full refresh of a table from all sources, in one pass, published when it is whole.
 
     Sources are conformed by name; rows that break a row rule are left out. Rules are counted
-    while the good rows are written; the sources are read again only for rows that were
-    rejected. Surplus keys are counted on the table.
+    while the good rows are written beside the current version. The new version is refused, and
+    the table left as it is, when a source fails, when the written rows are not as many as the
+    counted ones, or when more than the share ``max_rejected`` of all rows was left out. The sources
+    are read again only for rows that were rejected. Surplus keys are counted on the table.
     """
     spark = sources[0].sparkSession
     conformed = reduce(DataFrame.unionByName, [contract.conform(s, mark_bad=True) for s in sources])
     rules = contract.counted_rules(conformed)
     seen = Observation()
     marked = conformed.observe(
-        seen, F.count_if(contract.rejects()).alias("rejected"), *[F.count_if(broken).alias(f"r{i}") for i, (*_, broken) in enumerate(rules)])
-    refresh_table(spark, contract, table, location)
-    marked.where(~contract.rejects()).select(*contract.columns).write.insertInto(table, overwrite=True)
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(contract.rejects()).alias("rejected"),
+        *[F.count_if(broken).alias(f"r{i}") for i, (*_, broken) in enumerate(rules)])
+
+    def whole(staged: DataFrame) -> None:
+        counts, written = seen.get, staged.count()
+        good = counts.get("rows", 0) - counts.get("rejected", 0)
+        if written != good:
+            raise publish.CheckFailed(f"{table}: {written} rows written of {good}")
+        if max_rejected is not None and counts.get("rejected", 0) > max_rejected * counts.get("rows", 0):
+            raise publish.CheckFailed(f"{table}: {counts['rejected']} of {counts['rows']} rows rejected")
+
+    published = publish.publish(
+        marked.where(~contract.rejects()).select(*contract.columns), table, location, lambda path: contract.create_sql(table, path), whole)
     counts = seen.get
     report = spark.createDataFrame(
         [(name, rule, counts.get(f"r{i}", 0)) for i, (name, rule, _) in enumerate(rules)], "column_name string, rule string, bad_rows bigint")
     if contract.key:
         report = report.unionByName(contract.duplicate_keys(spark.table(table)))
     _, rejected = contract.split(conformed)
-    return Loaded(rejected if counts.get("rejected") else rejected.limit(0), report)
+    return Loaded(rejected if counts.get("rejected") else rejected.limit(0), report, published)
 
 
 def save_table(df: DataFrame, table: str, location: str | None = None) -> None:
-    """Replace a table by the rows of ``df`` (drop and create-as-select)."""
-    writer = df.write.format("parquet").mode("overwrite")
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(table)
+    """Replace a table by the rows of ``df``; the old rows stay until the new ones are written."""
+    publish.publish(df, table, location)
 
 
 build_mart = save_table
