@@ -277,3 +277,26 @@ def staged_refresh(spark, d):
     publish.rollback(spark, name)
     note("rolled back")
     return union_all(states)
+
+
+@query("unreadable_records", """
+with c as (select c_custkey, c_name, c_nationkey, c_custkey % 10 as k,
+  '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":' || c_nationkey || '}' as whole from customer)
+select 'row' as kind, c_custkey, c_name, case when k <> 3 then c_nationkey end as c_nationkey, null as record from c where k not in (1, 2)
+union all select 'unreadable_value', c_custkey, c_name, null, replace(whole, ',"c_nationkey":' || c_nationkey, ',"c_nationkey":"n/a"') from c where k = 3
+union all select 'unreadable_record', null, null, null, whole[1:20] from c where k = 1
+union all select 'unreadable_record', null, null, null, '<html>' || c_name from c where k = 2
+""")
+def unreadable_records(spark, d):
+    """Lines that are cut, no JSON at all, or hold a value of another kind: rows and rejects of one source."""
+    path, k = shared_dir(spark, "unreadable"), F.col("c_custkey") % 10
+    nation = F.when(k == 3, '"n/a"').otherwise(F.col("c_nationkey").cast("string"))
+    whole = F.concat(F.lit('{"c_custkey":'), "c_custkey", F.lit(',"c_name":"'), "c_name", F.lit('","c_nationkey":'), nation, F.lit("}"))
+    line = F.when(k == 1, F.substring(whole, 1, 20)).when(k == 2, F.concat(F.lit("<html>"), "c_name")).otherwise(whole)
+    table(spark, d, "customer").select(line.alias("value")).write.text(path)
+    schema = "c_custkey bigint, c_name string, c_nationkey int"
+    kept, rejects = readers.split_unreadable(readers.read_json(spark, path, schema, keep_unreadable=True))
+    readable = F.from_json("readable", schema)
+    return kept.select(F.lit("row").alias("kind"), "c_custkey", "c_name", "c_nationkey", F.lit(None).cast("string").alias("record")).unionByName(
+        rejects.select(F.col("reason").alias("kind"), readable["c_custkey"].alias("c_custkey"), readable["c_name"].alias("c_name"),
+                       readable["c_nationkey"].alias("c_nationkey"), "record"))

@@ -5,8 +5,9 @@ so the rules are checked as DataFrame operations: ``conform`` casts and orders t
 columns, ``report`` counts the rows that break a rule, ``split`` separates rows
 that can be loaded from rows that cannot. Text limits are bytes, as in a warehouse.
 A value that a cast can't read becomes NULL; ``conform`` can keep the names of such
-columns, and then ``report`` counts them too (rule ``bad_value``). Keys are
-informational: duplicates are counted, not removed.
+columns, and then ``report`` counts them too (rule ``bad_value``). The names travel as a
+column through Parquet and through further contracts; blank text is a missing value, not a bad one.
+Keys are informational: duplicates are counted, not removed.
 """
 
 from __future__ import annotations
@@ -62,30 +63,37 @@ class TableContract:
         where = f" LOCATION '{location}'" if location else ""
         return f"CREATE TABLE {table} ({columns}) USING parquet{where}"
 
-    def conform(self, df: DataFrame, mapping: dict[str, Column | str] | None = None, mark_bad: bool = False) -> DataFrame:
+    def conform(
+        self, df: DataFrame, mapping: dict[str, Column | str] | None = None, mark_bad: bool = False,
+        read_from: dict[str, Column | str] | None = None,
+    ) -> DataFrame:
         """Project, cast and order to this table; unmapped columns go by their own name.
 
-        ``mark_bad`` adds ``bad_columns``; a frame that has it already keeps its entries.
+        ``mark_bad`` adds ``bad_columns``; a frame that has it already keeps its entries. Where
+        the mapping itself reads a column's text, ``read_from`` names that text: a column that is NULL
+        though its text is not blank is bad as well.
         """
-        mapping = mapping or {}
-        unknown = set(mapping) - set(self.columns)
+        mapping, read_from = mapping or {}, (read_from or {}) if mark_bad else {}
+        unknown = (set(mapping) | set(read_from)) - set(self.columns)
         if unknown:
             raise ValueError(f"{self.name} has no column {sorted(unknown)}")
 
-        def source(f: Field) -> Column:
-            c = mapping.get(f.name, f.name)
+        def as_column(c: Column | str) -> Column:
             return F.col(c) if isinstance(c, str) else c
 
+        texts = [as_column(c).alias(f"_text_{name}") for name, c in read_from.items()]
         before = [F.col(BAD_COLUMNS)] if mark_bad and BAD_COLUMNS in df.columns else []
-        mapped = df.select(*[source(f).alias(f.name) for f in self.fields], *before)
+        mapped = df.select(*[as_column(mapping.get(f.name, f.name)).alias(f.name) for f in self.fields], *texts, *before)
         types = dict(mapped.dtypes)
         casts = {f.name: f.cast(F.col(f.name), types[f.name]) for f in self.fields}
         marks = []
         if mark_bad:
-            lost = [
-                F.when(F.col(f.name).isNotNull() & casts[f.name].isNull(), F.lit(f.name))
-                for f in self.fields if types[f.name] != f.type
-            ]
+            lost = []
+            for f in self.fields:
+                text = f"_text_{f.name}" if f.name in read_from else f.name
+                if types[text] != f.type:
+                    present = F.trim(text) != "" if types[text] == "string" else F.col(text).isNotNull()
+                    lost.append(F.when(present & casts[f.name].isNull(), F.lit(f.name)))
             new = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
             marks = [F.concat(*before, new).alias(BAD_COLUMNS)]
         return mapped.select(*[c.alias(name) for name, c in casts.items()], *marks)

@@ -14,12 +14,12 @@ def cm29_master_category(listing: DataFrame) -> DataFrame:
     return distinct_rows(MASTER_CATEGORY.conform(listing, {"cat_depth_1": "gender"}))
 
 
-def cm29_sub_category(listing: DataFrame) -> DataFrame:
+def cm29_sub_category(listing: DataFrame, mark_bad: bool = False) -> DataFrame:
     return distinct_rows(SUB_CATEGORY.conform(listing, {
         "sub_category_id": "file_key",
         "master_category_id": "master_category_name",
         "cat_depth_4": "small_category_name",
-    }))
+    }, mark_bad))
 
 
 def master_category(rankings: list[DataFrame]) -> DataFrame:

@@ -1,7 +1,9 @@
 """One day from bronze to gold.
 
-``bronze_to_silver`` writes the silver Parquet of a day, ``load_silver`` refreshes the
-typed tables from it and stores what they reject, ``build_gold`` rebuilds the marts.
+``store_unreadable`` keeps the bronze records that can't be read, ``bronze_to_silver`` writes the
+silver Parquet of a day, ``load_silver`` refreshes the typed tables from it and stores what they
+reject, ``build_gold`` rebuilds the marts. Silver rows carry the names of the columns whose bronze
+value no cast could read (``bad_columns``), and the load counts them by table and column.
 Every step overwrites its output, so a day can be run again. Errors are not caught.
 """
 
@@ -27,8 +29,9 @@ from hemline.fixed_values import (
     ZONE_BRONZE,
     ZONE_SILVER,
 )
-from hemline.plans import category, marts, product, ranking, review, snap, trend, video, weather
-from hemline.sources.readers import read_parquet, zone_path
+from hemline.operators.project import union_all
+from hemline.plans import category, marts, product, ranking, review, schemas, snap, trend, video, weather
+from hemline.sources.readers import read_parquet, split_unreadable, unreadable_lines, zone_path
 from hemline.sources.writers import build_mart, load_table, write_parquet
 
 GENDERS = {"women": GENDER_FEMALE, "men": GENDER_MALE}
@@ -80,52 +83,91 @@ def bronze_to_silver(
 
     raw = product.read_ably_listing(spark, bronze("ably_listing", "*/*.json"))
     with _kept(product.ably_listing(raw, ably_categories)) as listing:
-        write_parquet(product.ably_product_detail(listing, run_date), silver("ably/product_detail_tb"))
-        write_parquet(ranking.ably_ranking(listing, run_date), silver("ably/ranking_tb"))
+        write_parquet(product.ably_product_detail(listing, run_date, mark_bad=True), silver("ably/product_detail_tb"))
+        write_parquet(ranking.ably_ranking(listing, run_date, mark_bad=True), silver("ably/ranking_tb"))
 
     raw = product.read_cm29_listing(spark, bronze("cm29_listing", "*/*/*.json"))
     with _kept(product.cm29_listing(raw, cm29_categories)) as listing:
-        write_parquet(product.cm29_product_detail(listing), silver("29cm/product_detail_tb"))
-        write_parquet(ranking.cm29_ranking(listing), silver("29cm/ranking_tb"))
+        write_parquet(product.cm29_product_detail(listing, mark_bad=True), silver("29cm/product_detail_tb"))
+        write_parquet(ranking.cm29_ranking(listing, mark_bad=True), silver("29cm/ranking_tb"))
         write_parquet(category.cm29_master_category(listing), silver("29cm/master_category_tb"))
-        write_parquet(category.cm29_sub_category(listing), silver("29cm/sub_category_tb"))
+        write_parquet(category.cm29_sub_category(listing, mark_bad=True), silver("29cm/sub_category_tb"))
 
     documents = ranking.read_musinsa_ranking(spark, bronze("musinsa_ranking"))
-    write_parquet(ranking.musinsa_ranking(documents, run_date), silver("musinsa/ranking_tb"), ["master_category_name"])
+    write_parquet(ranking.musinsa_ranking(documents, run_date, mark_bad=True), silver("musinsa/ranking_tb"), ["master_category_name"])
     lines = product.read_musinsa_detail(spark, bronze("musinsa_detail", "*/*/*.json"))
-    write_parquet(product.musinsa_product_detail(lines), silver("musinsa/product_detail_tb"))
+    write_parquet(product.musinsa_product_detail(lines, mark_bad=True), silver("musinsa/product_detail_tb"))
 
     rankings = [read_parquet(spark, silver(f), ["master_category_name"]) for f in _SILVER["ranking_tb"]]
     write_parquet(category.master_category(rankings), silver("all/master_category_tb"))
 
     reviews = {
         PLATFORM_ABLY: review.ably_reviews(
-            review.read_ably_reviews(spark, bronze("ably_reviews", "*/reviews_*.json")), run_date
+            review.read_ably_reviews(spark, bronze("ably_reviews", "*/reviews_*.json")), run_date, mark_bad=True
         ),
         PLATFORM_29CM: review.cm29_reviews(
-            review.read_cm29_reviews(spark, bronze("cm29_reviews", "*/*/*_reviews.json"))
+            review.read_cm29_reviews(spark, bronze("cm29_reviews", "*/*/*_reviews.json")), mark_bad=True
         ),
         PLATFORM_MUSINSA: review.musinsa_reviews(
-            review.read_musinsa_reviews(spark, bronze("musinsa_reviews")), run_date
+            review.read_musinsa_reviews(spark, bronze("musinsa_reviews")), run_date, mark_bad=True
         ),
     }
     for platform, frame in reviews.items():
         write_parquet(frame, silver(_REVIEWS[platform]))
 
     pages = snap.read_brand_pages(spark, bronze("snap_brand", "*.json"))
-    write_parquet(snap.brand_ranking(pages, run_date), silver(TOPICS["snap_brand"]))
+    write_parquet(snap.brand_ranking(pages, run_date, mark_bad=True), silver(TOPICS["snap_brand"]))
     for suffix, gender in GENDERS.items():
         stories = snap.read_story_pages(spark, bronze(f"snap_story_{suffix}"))
-        write_parquet(snap.story_ranking(stories, gender, run_date), silver(TOPICS[f"snap_story_{suffix}"]))
+        write_parquet(snap.story_ranking(stories, gender, run_date, mark_bad=True), silver(TOPICS[f"snap_story_{suffix}"]))
         results = trend.read_trend(spark, bronze(f"trend_{suffix}", "*.json"))
-        write_parquet(trend.keyword_trend(results, gender, run_date), silver(TOPICS[f"trend_{suffix}"]))
+        write_parquet(trend.keyword_trend(results, gender, run_date, mark_bad=True), silver(TOPICS[f"trend_{suffix}"]))
         found = video.read_videos(spark, bronze(f"video_{suffix}"))
-        write_parquet(video.videos(found, gender, run_date), silver(TOPICS[f"video_{suffix}"]))
+        write_parquet(video.videos(found, gender, run_date, mark_bad=True), silver(TOPICS[f"video_{suffix}"]))
 
     observations = weather.read_weather_lines(spark, bronze("weather_daily", "*.txt"))
     write_parquet(weather.weather_daily(observations, mark_bad=True), silver(TOPICS["weather_daily"]))
     stations = weather.read_weather_lines(spark, bronze("weather_stations"))
-    write_parquet(weather.weather_stations(stations), silver(TOPICS["weather_stations"]))
+    write_parquet(weather.weather_stations(stations, mark_bad=True), silver(TOPICS["weather_stations"]))
+
+
+#: How each JSON topic is read, and the files below its folder.
+_JSON_TOPICS = {
+    "ably_listing": (product.read_ably_listing, "*/*.json"),
+    "ably_reviews": (review.read_ably_reviews, "*/reviews_*.json"),
+    "cm29_listing": (product.read_cm29_listing, "*/*/*.json"),
+    "cm29_reviews": (review.read_cm29_reviews, "*/*/*_reviews.json"),
+    "musinsa_ranking": (ranking.read_musinsa_ranking, ""),
+    "musinsa_reviews": (review.read_musinsa_reviews, ""),
+    "snap_brand": (snap.read_brand_pages, "*.json"),
+    "snap_story_women": (snap.read_story_pages, ""),
+    "snap_story_men": (snap.read_story_pages, ""),
+    "trend_women": (trend.read_trend, "*.json"),
+    "trend_men": (trend.read_trend, "*.json"),
+    "video_women": (video.read_videos, ""),
+    "video_men": (video.read_videos, ""),
+}
+
+
+def store_unreadable(spark: SparkSession, base: str, run_date: str) -> DataFrame:
+    """Write the day's bronze records that can't be read to ``rejected/<day>/records``, by topic.
+
+    Returns the stored rows: topic, source_path, piece_start, record, readable, reason. One more
+    parse of the day's JSON; nothing is shuffled but the rejects.
+    """
+    def path(topic: str, rest: str) -> str:
+        return zone_path(base, ZONE_BRONZE, run_date, TOPICS[topic], *([rest] if rest else []))
+
+    parts = []
+    for topic, (read, rest) in _JSON_TOPICS.items():
+        _, rejects = split_unreadable(read(spark, path(topic, rest), keep_unreadable=True))
+        parts.append(rejects.select(F.lit(topic).alias("topic"), "*"))
+    lines = product.read_musinsa_detail(spark, path("musinsa_detail", "*/*/*.json"), keep_path=True)
+    parts.append(unreadable_lines(lines, schemas.as_text(schemas.MUSINSA_DETAIL)).select(F.lit("musinsa_detail").alias("topic"), "*"))
+    target = zone_path(base, "rejected", run_date, "records")
+    rejects = union_all(parts)
+    write_parquet(rejects, target, ["topic"])
+    return spark.read.schema(rejects.schema).parquet(target)
 
 
 def load_silver(spark: SparkSession, base: str, run_date: str, schema: str = SILVER_SCHEMA) -> None:

@@ -14,9 +14,9 @@ from hemline.plans import schemas
 from hemline.sources.readers import SOURCE_PATH, read_json, read_text, source_key
 
 
-def read_ably_listing(spark: SparkSession, path: str) -> DataFrame:
+def read_ably_listing(spark: SparkSession, path: str, **options) -> DataFrame:
     """Pretty-printed item arrays, one file per category code."""
-    return read_json(spark, path, schemas.ABLY_ITEM, multiline=True, keep_path=True)
+    return read_json(spark, path, schemas.as_text(schemas.ABLY_ITEM), multiline=True, keep_path=True, **options)
 
 
 def ably_listing(raw: DataFrame, categories: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def ably_listing(raw: DataFrame, categories: DataFrame) -> DataFrame:
     return map_lookup(coded, "category_code", categories, "code", names, UNMAPPED_CATEGORY)
 
 
-def ably_product_detail(listing: DataFrame, run_date: str) -> DataFrame:
+def ably_product_detail(listing: DataFrame, run_date: str, mark_bad: bool = False) -> DataFrame:
     return PRODUCT_DETAIL.conform(listing, {
         "platform": F.lit(PLATFORM_ABLY),
         "product_id": "item.like.goods_sno",
@@ -44,12 +44,12 @@ def ably_product_detail(listing: DataFrame, run_date: str) -> DataFrame:
         "review_avg_rating": "logging.analytics.REVIEW_RATING",
         "like_counting": "logging.analytics.LIKES_COUNT",
         "created_at": F.lit(run_date),
-    })
+    }, mark_bad)
 
 
-def read_cm29_listing(spark: SparkSession, path: str) -> DataFrame:
+def read_cm29_listing(spark: SparkSession, path: str, **options) -> DataFrame:
     """Pretty-printed product arrays below gender/group folders, one file per category."""
-    return read_json(spark, path, schemas.CM29_PRODUCT, multiline=True, keep_path=True)
+    return read_json(spark, path, schemas.as_text(schemas.CM29_PRODUCT), multiline=True, keep_path=True, **options)
 
 
 def cm29_listing(raw: DataFrame, categories: DataFrame) -> DataFrame:
@@ -68,18 +68,18 @@ def cm29_listing(raw: DataFrame, categories: DataFrame) -> DataFrame:
     return named.withColumn("master_category_name", compose_category("gender", "cat_depth_2", "cat_depth_3"))
 
 
-def cm29_product_detail(listing: DataFrame) -> DataFrame:
-    return PRODUCT_DETAIL.conform(listing)
+def cm29_product_detail(listing: DataFrame, mark_bad: bool = False) -> DataFrame:
+    return PRODUCT_DETAIL.conform(listing, mark_bad=mark_bad)
 
 
-def read_musinsa_detail(spark: SparkSession, path: str) -> DataFrame:
+def read_musinsa_detail(spark: SparkSession, path: str, **options) -> DataFrame:
     """One JSON record per line, carried as text."""
-    return read_text(spark, path)
+    return read_text(spark, path, **options)
 
 
-def musinsa_product_detail(lines: DataFrame) -> DataFrame:
+def musinsa_product_detail(lines: DataFrame, mark_bad: bool = False) -> DataFrame:
     """``lines`` has the JSON text in ``value``; a malformed line gives a row of NULLs."""
-    record = lines.select(json_parse("value", schemas.MUSINSA_DETAIL).alias("record")).select("record.*")
+    record = lines.select(json_parse("value", schemas.as_text(schemas.MUSINSA_DETAIL)).alias("record")).select("record.*")
     return PRODUCT_DETAIL.conform(record.withColumnsRenamed({
         "image_src": "img_url", "discount_rate": "discount_ratio", "review_count": "review_counting",
-    }))
+    }), mark_bad=mark_bad)

@@ -14,19 +14,19 @@ from hemline.plans import schemas
 from hemline.sources.readers import read_json, source_key
 
 
-def ably_ranking(listing: DataFrame, run_date: str) -> DataFrame:
+def ably_ranking(listing: DataFrame, run_date: str, mark_bad: bool = False) -> DataFrame:
     """From the listing frame of ``plans.product.ably_listing``."""
     return RANKING.conform(listing, {
         "platform": F.lit(PLATFORM_ABLY),
         "product_id": "item.like.goods_sno",
         "ranking": "item.ranking",
         "created_at": F.lit(run_date),
-    })
+    }, mark_bad)
 
 
-def cm29_ranking(listing: DataFrame) -> DataFrame:
+def cm29_ranking(listing: DataFrame, mark_bad: bool = False) -> DataFrame:
     """From the listing frame of ``plans.product.cm29_listing``."""
-    return RANKING.conform(listing)
+    return RANKING.conform(listing, mark_bad=mark_bad)
 
 
 def modules_outside(documents: DataFrame, first: int = RANKED_MODULES_FROM, last: int = RANKED_MODULES_TO) -> DataFrame:
@@ -38,13 +38,13 @@ def modules_outside(documents: DataFrame, first: int = RANKED_MODULES_FROM, last
         F.coalesce(F.sum(F.size(outside)), F.lit(0)).alias("modules"), F.coalesce(F.sum(items), F.lit(0)).alias("items"))
 
 
-def read_musinsa_ranking(spark: SparkSession, path: str) -> DataFrame:
+def read_musinsa_ranking(spark: SparkSession, path: str, **options) -> DataFrame:
     """All category documents in one scan; the category is in the file name."""
-    return read_json(spark, path, schemas.MUSINSA_RANKING, recursive=True, name_pattern="*.json", keep_path=True)
+    return read_json(spark, path, schemas.as_text(schemas.MUSINSA_RANKING), recursive=True, name_pattern="*.json", keep_path=True, **options)
 
 
 def musinsa_ranking(
-    documents: DataFrame, run_date: str, first: int = RANKED_MODULES_FROM, last: int = RANKED_MODULES_TO
+    documents: DataFrame, run_date: str, first: int = RANKED_MODULES_FROM, last: int = RANKED_MODULES_TO, mark_bad: bool = False,
 ) -> DataFrame:
     """Items of the ranked modules, at positions ``first``..``last``; the modules around them
     (banners, links) hold no ranked items. File names are gender_depth2_depth3_depth4."""
@@ -59,4 +59,4 @@ def musinsa_ranking(
         "product_id": "item.id",
         "ranking": "item.info.onClickBrandName.eventLog.ga4.payload.index",
         "created_at": F.lit(run_date),
-    }))
+    }, mark_bad))

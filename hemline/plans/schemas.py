@@ -1,4 +1,17 @@
-"""Schemas of the bronze payloads (fixed values)."""
+"""Schemas of the bronze payloads (fixed values).
+
+Payloads are read with ``as_text`` of a schema: every value as the text it is, for the contract to
+cast, so that a value that can't be read is known and counted. The types stated here are those of
+readable payloads.
+"""
+
+import re
+
+
+def as_text(schema: str) -> str:
+    """The schema with all its values as text."""
+    return re.sub(r"\b(bigint|int|double|date|boolean)\b(?=\s*(?:[,>]|$))", "string", schema)
+
 
 ABLY_ITEM = """
     item struct<

@@ -16,8 +16,8 @@ from hemline.plans.snap import gender_word
 from hemline.sources.readers import read_json
 
 
-def read_trend(spark: SparkSession, path: str) -> DataFrame:
-    return read_json(spark, path, schemas.KEYWORD_TREND)
+def read_trend(spark: SparkSession, path: str, **options) -> DataFrame:
+    return read_json(spark, path, schemas.as_text(schemas.KEYWORD_TREND), **options)
 
 
 def keyword_results(documents: DataFrame, gender: str) -> DataFrame:
@@ -32,7 +32,7 @@ def keyword_results(documents: DataFrame, gender: str) -> DataFrame:
     )
 
 
-def keyword_trend(documents: DataFrame, gender: str, run_date: str) -> DataFrame:
+def keyword_trend(documents: DataFrame, gender: str, run_date: str, mark_bad: bool = False) -> DataFrame:
     """Daily ratios. ``trend_id`` numbers the keyword results, the same in every run."""
     natural_key = ["start_date", "end_date", "time_unit", "gender", "keyword_name"]
     numbered = with_stable_id(keyword_results(documents, gender), natural_key, "trend_id")
@@ -40,7 +40,7 @@ def keyword_trend(documents: DataFrame, gender: str, run_date: str) -> DataFrame
     points = tag(points, category_name=TREND_CATEGORY_NAME, category_code=TREND_CATEGORY_CODE)
     return KEYWORD_TREND.conform(points, {
         "period": "point.period", "ratio": "point.ratio", "created_at": F.lit(run_date),
-    })
+    }, mark_bad)
 
 
 def top_keywords(

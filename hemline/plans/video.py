@@ -14,12 +14,12 @@ from hemline.plans.snap import gender_word
 from hemline.sources.readers import read_json
 
 
-def read_videos(spark: SparkSession, path: str) -> DataFrame:
+def read_videos(spark: SparkSession, path: str, **options) -> DataFrame:
     """All files at any depth; the category is a field, not the path."""
-    return read_json(spark, path, schemas.VIDEO, recursive=True, name_pattern="*.json")
+    return read_json(spark, path, schemas.as_text(schemas.VIDEO), recursive=True, name_pattern="*.json", **options)
 
 
-def videos(raw: DataFrame, gender: str | None, run_date: str) -> DataFrame:
+def videos(raw: DataFrame, gender: str | None, run_date: str, mark_bad: bool = False) -> DataFrame:
     return VIDEO.conform(raw, {
         "video_id": "videoId",
         "gender": gender_word(F.lit(gender).cast("string")),
@@ -30,7 +30,7 @@ def videos(raw: DataFrame, gender: str | None, run_date: str) -> DataFrame:
         "view_count": "viewCount",
         "like_count": "likeCount",
         "created_at": F.lit(run_date),
-    })
+    }, mark_bad, {"published_at": "publishedAt"})
 
 
 def select_videos(

@@ -33,10 +33,10 @@ def weather_daily(lines: DataFrame, mark_bad: bool = False) -> DataFrame:
     return fill_defaults(daily, {name: 0.0 for name in WEATHER_FIELDS})
 
 
-def weather_stations(lines: DataFrame) -> DataFrame:
+def weather_stations(lines: DataFrame, mark_bad: bool = False) -> DataFrame:
     """Blank-separated station records: number and name."""
     records = text_records(lines, r"\s+")
     return WEATHER_STATION.conform(records, {
         "STN_ID": record_field("fields", STATION_ID_FIELD),
         "STN_KO": record_field("fields", STATION_NAME_FIELD),
-    })
+    }, mark_bad)

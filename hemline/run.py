@@ -112,6 +112,7 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         write_parquet(JOBS[a.name](spark, a), a.target)
         return
     dimensions = read_csv(spark, a.ably_categories, ABLY_DIMENSION), read_csv(spark, a.cm29_categories, CM29_DIMENSION)
+    daily.store_unreadable(spark, a.base, a.run_date)
     daily.bronze_to_silver(spark, a.base, a.run_date, *dimensions)
     daily.load_silver(spark, a.base, a.run_date)
     daily.build_gold(spark, a.base)

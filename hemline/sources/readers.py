@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hemline.functions.text import file_stem
 
 SOURCE_PATH = "source_path"
+#: Text of a record that could not be read, and the place in its file at which its piece begins.
+UNREADABLE, PIECE_START = "unreadable", "piece_start"
 
 
 def zone_path(base: str, zone: str, run_date: str, *parts: str) -> str:
@@ -24,14 +28,52 @@ def read_json(
     recursive: bool = False,
     name_pattern: str | None = None,
     keep_path: bool = False,
+    keep_unreadable: bool = False,
 ) -> DataFrame:
     """JSON documents: one per line, or (``multiline``) one pretty value per file.
 
     A file holding an array gives a row per element. ``path`` may hold wildcards;
     ``recursive`` descends into folders; ``name_pattern`` filters file names;
     ``keep_path`` adds the ``source_path`` column.
+
+    A record that can't be read gives a row of NULLs; one with a value of another kind than its
+    schema's, a row without that value. ``keep_unreadable`` (with a ``schema`` in DDL) adds what
+    ``split_unreadable`` parts: the text of such records, the file and the place of the file's
+    piece that they lie in.
+    """
+    reader = _reader(spark, f"{schema}, {UNREADABLE} string" if keep_unreadable else schema, recursive, name_pattern)
+    reader = reader.option("multiLine", multiline).option("columnNameOfCorruptRecord", UNREADABLE)
+    df = _with_path(reader.json(path), keep_path or keep_unreadable)
+    if not keep_unreadable:
+        return df
+    return df.withColumn(PIECE_START, F.col("_metadata.file_block_start"))
+
+
+def split_unreadable(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that could be read, at least in part; records that could not) of a frame read with ``keep_unreadable``.
+
+    The records have source_path, piece_start, the text in ``record``, what could be read of it
+    as JSON in ``readable``, and the reason: ``unreadable_record``, or ``unreadable_value`` for a
+    record that is among the rows too. Together the two frames lose nothing of the source.
     """
-    return _with_path(_reader(spark, schema, recursive, name_pattern).option("multiLine", multiline).json(path), keep_path)
+    fields = [c for c in raw.columns if c not in (UNREADABLE, SOURCE_PATH, PIECE_START)]
+    nothing = reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNull() for c in fields])
+    whole = F.col(UNREADABLE).isNull()
+    rows = raw.where(whole | ~nothing).select(*[f"`{c}`" for c in fields], SOURCE_PATH)
+    rejects = raw.where(~whole).select(
+        SOURCE_PATH, PIECE_START, F.col(UNREADABLE).alias("record"), F.to_json(F.struct(*[f"`{c}`" for c in fields])).alias("readable"),
+        F.when(nothing, "unreadable_record").otherwise("unreadable_value").alias("reason"))
+    return rows, rejects
+
+
+def unreadable_lines(lines: DataFrame, schema: str) -> DataFrame:
+    """The lines (column ``value``, with ``source_path``) that are no JSON records of this schema, in the same form."""
+    parsed = lines.select("*", F.from_json("value", f"{schema}, {UNREADABLE} string", {"columnNameOfCorruptRecord": UNREADABLE}).alias("_r"))
+    bare = parsed.where(F.col(f"_r.{UNREADABLE}").isNotNull())
+    readable = F.to_json(F.col("_r").dropFields(UNREADABLE))
+    return bare.select(
+        SOURCE_PATH, F.lit(None).cast("bigint").alias(PIECE_START), F.col("value").alias("record"), readable.alias("readable"),
+        F.when(readable == "{}", "unreadable_record").otherwise("unreadable_value").alias("reason"))
 
 
 def read_text(

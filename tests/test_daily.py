@@ -1,6 +1,7 @@
 """A whole invented day: bronze files -> silver -> tables -> marts, against hand-written rows."""
 
 import datetime as dt
+import json
 
 import pytest
 from bronze_day import ABLY_CATEGORIES, CM29_CATEGORIES, RUN_DATE, write_day
@@ -199,3 +200,81 @@ def test_every_job_runs_from_the_command_line(spark, day, tmp_path):
         target = str(tmp_path / name)
         run.main(["job", name, source, target, "--run-date", RUN_DATE, "--gender", "남성", "--categories", str(categories)], spark)
         assert spark.read.parquet(target).count() > 0, name
+
+
+def test_a_bad_value_of_bronze_is_counted_by_the_load(spark, tmp_path):
+    """From the payload through silver Parquet to the table's report, with three sources of one table."""
+    from bronze_day import ably_item, cm29_product, detail, line, pretty, put
+
+    from hemline.plans import product
+    from hemline.sources.writers import load_table, write_parquet
+
+    base = str(tmp_path)
+    bad = ably_item(3, 3, "원피스")
+    bad["logging"]["analytics"] |= {"SALES_PRICE": "n/a", "REVIEW_RATING": "good", "LIKES_COUNT": ""}
+    put(base, "ably", "8_18.json", pretty([bad, ably_item(1, 1, "티셔츠")]))
+    put(base, "29cm", "Man/Outer/Blazers.json", pretty([cm29_product(10, 1) | {"final_price": "n/a", "created_at": "today"}]))
+    put(base, "musinsa", "104.json", line(detail(104, "여성-상의-셔츠", like_counting="many", original_price="?")))
+    zone = f"{base}/bronze/{RUN_DATE}"
+    ably = spark.createDataFrame(ABLY_CATEGORIES, "code string, master_category_name string, small_category_name string")
+    cm29 = spark.createDataFrame(CM29_CATEGORIES, "file_key string, depth2 string, depth3 string, depth4 string")
+    frames = [
+        product.ably_product_detail(product.ably_listing(product.read_ably_listing(spark, f"{zone}/ably/*.json"), ably), RUN_DATE, mark_bad=True),
+        product.cm29_product_detail(product.cm29_listing(product.read_cm29_listing(spark, f"{zone}/29cm/*/*/*.json"), cm29), mark_bad=True),
+        product.musinsa_product_detail(product.read_musinsa_detail(spark, f"{zone}/musinsa/*.json"), mark_bad=True),
+    ]
+    for i, frame in enumerate(frames):
+        write_parquet(frame, f"{base}/silver/{i}")
+    silver = [spark.read.parquet(f"{base}/silver/{i}") for i in range(3)]
+    assert rows(silver[0].where("product_id = 3").select("final_price", "like_counting", "bad_columns")) == [
+        (None, None, ["final_price", "review_avg_rating"])]
+    report = load_table(CONTRACTS["product_detail_tb"], silver, "bad_values_test", f"{base}/table").report
+    assert {r["column_name"]: r["bad_rows"] for r in report.where("rule = 'bad_value' and bad_rows > 0").collect()} == {
+        "final_price": 2, "review_avg_rating": 1, "like_counting": 1, "created_at": 1, "original_price": 1}
+
+
+def test_every_job_marks_what_it_cannot_read(spark):
+    from hemline.plans import ranking, review, schemas, snap, trend, video
+
+    def payload(text, schema):
+        one = spark.createDataFrame([(text,)], "value string")
+        return one.selectExpr(f"from_json(value, '{' '.join(schemas.as_text(schema).split())}') as r").select("r.*")
+
+    def marked(df):
+        return sorted(tuple(sorted(r["bad_columns"])) for r in df.collect())
+
+    brand = {"id": "d", "ranking": {"rank": 4, "previousRank": "none"}, "followerCount": "5k", "snaps": []}
+    assert marked(snap.brand_ranking(payload(json.dumps({"data": {"list": [brand]}}), schemas.SNAP_BRAND), RUN_DATE, mark_bad=True)) == [
+        ("follower_count", "previous_rank")]
+    story = {"id": "s1", "aggregations": {"likeCount": 3}}
+    assert marked(snap.story_ranking(payload(json.dumps({"data": {"list": [story]}}), schemas.SNAP_STORY), "MEN", RUN_DATE, mark_bad=True)) == [("story_id",)]
+    result = {"startDate": "2024-12-26", "endDate": "x", "timeUnit": "date", "results": [
+        {"keyword": ["패딩"], "data": [{"period": "2025-01-32", "ratio": "high"}, {"period": "2025-01-01", "ratio": 1}]}]}
+    assert marked(trend.keyword_trend(payload(json.dumps(result), schemas.KEYWORD_TREND), "men", RUN_DATE, mark_bad=True)) == [
+        ("end_date",), ("end_date", "period", "ratio")]
+    assert marked(review.ably_reviews(payload(json.dumps(
+        {"goods_sno": 1, "eval": "bad", "created_at": "not a date", "height": " ", "weight": 50}), schemas.ABLY_REVIEW), RUN_DATE, mark_bad=True)) == [
+        ("review_date", "review_rating")]
+    assert marked(review.cm29_reviews(payload(json.dumps(
+        {"product_id": 1, "insertTimestamp": "", "userSize": ["tall", "60kg"]}), schemas.CM29_REVIEW), mark_bad=True)) == [("reviewer_height",)]
+    musinsa = {"list": [{"goods": {"goodsNo": 7}, "grade": "5", "createDate": "2025-01-01T10:00:00", "userProfileInfo": {"userWeight": "?"}}]}
+    assert marked(review.musinsa_reviews(payload(json.dumps(musinsa), schemas.MUSINSA_REVIEW), RUN_DATE, mark_bad=True)) == [
+        ("review_date", "reviewer_weight")]
+    assert marked(video.videos(payload(json.dumps({"videoId": "v", "publishedAt": "soon", "viewCount": "1,234"}), schemas.VIDEO), "남성", RUN_DATE, mark_bad=True)) == [
+        ("published_at", "view_count")]
+    item = payload(json.dumps({"item": {"like": {"goods_sno": 5}, "ranking": "first"}}), schemas.ABLY_ITEM).selectExpr("*", "'c' as master_category_name")
+    assert marked(ranking.ably_ranking(item, RUN_DATE, mark_bad=True)) == [("ranking",)]
+
+
+def test_unreadable_records_are_kept(spark, tmp_path):
+    from bronze_day import put
+
+    base = str(tmp_path)
+    write_day(base)
+    put(base, "ably/ranking_data", "8_20/8_20.json", '[{"item": {"like"')
+    put(base, "otherapis/musinsa_snap_brand_ranking_raw_data", "page_3.json", "{]\n{\"data\": 5}\n")
+    kept = daily.store_unreadable(spark, base, RUN_DATE)
+    assert rows(kept.select("topic", "reason", "record")) == sorted([
+        ("ably_listing", "unreadable_record", '[{"item": {"like"'), ("snap_brand", "unreadable_record", "{]"),
+        ("snap_brand", "unreadable_record", '{"data": 5}'), ("musinsa_detail", "unreadable_record", "<html>denied</html>")], key=repr)
+    assert all(r["source_path"].endswith(".json") for r in kept.collect())

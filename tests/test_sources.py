@@ -133,3 +133,18 @@ def test_append_positional_adds_to_the_table(spark, tmp_path):
     rejected = writers.append_positional(broken, TABLE, "append_test")
     assert rows(rejected.select("id", "reject_reasons")) == [(8, ["name:too_long"]), (None, ["id:null"])]
     assert rows(spark.table("append_test")) == [(7, "x"), (7, "x"), (9, "ok")]
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_unreadable_records_and_values(spark, tmp_path, multiline):
+    texts = ['{"a": 1, "b": "x", "c": {"d": 1.5}}', '{"a": 1, "b"', '{"a": "n/a", "b": "y"}', '{"a": 2, "c": {"d": "n/a"}}', "[1]", '{"z": 0}']
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i}.json").write_text(text + "\n")
+    raw = readers.read_json(spark, str(tmp_path), "a int, b string, c struct<d: double>", multiline=multiline, keep_unreadable=True)
+    kept, rejects = readers.split_unreadable(raw)
+    assert kept.columns == ["a", "b", "c", "source_path"]
+    assert rows(kept.select("a", "b")) == sorted([(1, "x"), (None, "y"), (2, None), (None, None)], key=repr)
+    assert rows(rejects.select(F.trim(F.translate("record", "\n", "")), "reason")) == sorted([
+        (texts[1], "unreadable_record"), (texts[2], "unreadable_value"), (texts[3], "unreadable_value"), (texts[4], "unreadable_record")], key=repr)
+    assert {r["piece_start"] for r in rejects.collect()} == {0}
+    assert kept.limit(0).count() == 0
