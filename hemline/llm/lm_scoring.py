@@ -29,6 +29,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +55,25 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+def encode(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(different words, number of each word of all texts, words of each text): ``tokens`` of a whole batch."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    encoded = lists.flatten().dictionary_encode()
+    words = encoded.dictionary.cast(pa.binary()).to_pylist()
+    numbers, lengths = encoded.indices.to_numpy().astype(np.int64), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    if b"" in words:  # beside blanks at the ends of a text
+        real = numbers != words.index(b"")
+        lengths = np.bincount(np.repeat(np.arange(len(lengths)), lengths)[real], minlength=len(lengths))
+        numbers = numbers[real]
+    return words, numbers, lengths
+
+
+def with_ends(values: np.ndarray, lengths: np.ndarray, end: float) -> tuple[np.ndarray, np.ndarray]:
+    """(values with one more at the end of every text, where the texts start)."""
+    ends = np.cumsum(lengths)
+    return np.insert(values, ends, end), ends - lengths + np.arange(len(lengths))
+
+
 def suffix_class(word: bytes) -> int:
     ending = word.rstrip(b".,;:!?%&*$#|)\"'")[-3:] + (b"." if word[-1:] == b"." else b"")
     return FIRST_SUFFIX + zlib.crc32(ending) % SUFFIX_CLASSES
@@ -69,11 +89,12 @@ def count_words(training: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([words, pa.array(held.values(), pa.int64())], names=["word", "n"])
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                held.update(tokens(text))
-                if len(held) > COUNT_CHUNK:
-                    yield out()
-                    held = Counter()
+            words, numbers, _ = encode(batch.column("text"))
+            counts = np.bincount(numbers, minlength=len(words))
+            held.update({words[i]: int(counts[i]) for i in np.flatnonzero(counts)})
+            if len(held) > COUNT_CHUNK:
+                yield out()
+                held = Counter()
         yield out()
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,21 +265,21 @@ def train(training: DataFrame, vocab: Vocabulary) -> LogBilinear:
         words, classes = shared.value
         index = dict(zip(words.cast(pa.binary()).to_pylist(), range(len(words))))
         trainer = Trainer(LogBilinear.start(noise), noise)
-        parts: list[np.ndarray] = []
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
         seen = held = 0
 
         def fit() -> None:
-            starts = np.concatenate(([0], np.cumsum([len(p) for p in parts])[:-1]))
-            joined = np.concatenate(parts).astype(np.int64)
-            trainer.fit(*contexts(joined, starts), joined)
+            joined = np.concatenate([p for p, _ in parts]).astype(np.int64)
+            before = np.concatenate(([0], np.cumsum([len(p) for p, _ in parts])[:-1]))
+            trainer.fit(*contexts(joined, np.concatenate([s + b for (_, s), b in zip(parts, before)])), joined)
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                parts.append(np.append(_classes_of(tokens(text), index, classes), END_CLASS))
-                held += len(parts[-1])
-                if held >= TRAIN_CHUNK:
-                    fit()
-                    seen, held, parts = seen + held, 0, []
+            found, numbers, lengths = encode(batch.column("text"))
+            parts.append(with_ends(_classes_of(found, index, classes)[numbers], lengths, END_CLASS))
+            held += len(parts[-1][0])
+            if held >= TRAIN_CHUNK:
+                fit()
+                seen, held, parts = seen + held, 0, []
         if parts:
             fit()
             seen += held
@@ -297,27 +318,28 @@ def score(docs: DataFrame, training: DataFrame, broadcast_words: int = BROADCAST
         unknown = vocab.within_logs(np.arange(CLASSES), np.zeros(CLASSES))
         end_base = vocab.base_logs(np.array([vocab.ends]))[0]
         for batch in batches:
-            numbers = []
-            other_words: list[list[dict] | None] = []
-            for text in batch.column("text").to_pylist():
-                words = tokens(text)
-                at = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
-                cls, log_base, log_within = classes[at], base[at], within[at]
-                missing = np.flatnonzero(at < 0)
-                for i in missing:
-                    cls[i] = suffix_class(words[i])
-                if vocab.complete:
-                    log_within[missing] = unknown[cls[missing]]
-                    other_words.append(None)
-                else:
-                    log_base[missing] = 0.0
-                    found = Counter((words[i], int(cls[i])) for i in missing)
-                    other_words.append([{"word": w.decode(), "class": c, "n": n} for (w, c), n in found.items()])
-                cls = np.append(cls, END_CLASS)
-                one, two = contexts(cls, np.zeros(1, np.int64))
-                log_class = table[(two * (CLASSES + 1) + one) * CLASSES + cls].sum(dtype=np.float64)
-                numbers.append((len(words) + 1, len(words) - len(missing) + (vocab.ends > 0), log_base.sum() + end_base, log_class + log_within.sum()))
-            columns = [pa.array([n[i] for n in numbers], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+            words, numbers, lengths = encode(batch.column("text"))
+            at = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
+            cls, log_base, log_within = classes[at], base[at], within[at]
+            missing = np.flatnonzero(at < 0)
+            cls[missing] = [suffix_class(words[i]) for i in missing]
+            if vocab.complete:
+                log_within[missing] = unknown[cls[missing]]
+            else:
+                log_base[missing] = 0.0
+            place, starts = with_ends(cls[numbers], lengths, END_CLASS)
+            one, two = contexts(place, starts)
+            log_class = table[(two * (CLASSES + 1) + one) * CLASSES + place].astype(np.float64)
+            whole = lambda values, end: np.add.reduceat(with_ends(values, lengths, end)[0], starts) if len(starts) else values
+            n_known = whole((at >= 0)[numbers].astype(np.int64), int(vocab.ends > 0))
+            of_class = np.add.reduceat(log_class, starts) if len(starts) else log_class
+            columns = [pa.array(lengths + 1, pa.int64()), pa.array(n_known, pa.int64()),
+                       pa.array(whole(log_base[numbers], end_base), pa.float64()), pa.array(of_class + whole(log_within[numbers], 0.0), pa.float64())]
+            other_words: list[list[dict] | None] = [None] * len(lengths)
+            if not vocab.complete:
+                for i, own in enumerate(np.split(numbers, np.cumsum(lengths)[:-1])):
+                    which, counts = np.unique(own[at[own] < 0], return_counts=True)
+                    other_words[i] = [{"word": words[w].decode(), "class": int(cls[w]), "n": int(n)} for w, n in zip(which, counts)]
             kind = pa.list_(pa.struct([("word", pa.string()), ("class", pa.int32()), ("n", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), batch.column("held_out"), *columns, pa.array(other_words, kind)],

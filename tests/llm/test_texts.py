@@ -239,3 +239,42 @@ def test_similar_siblings_share_their_evidence(spark):
         [("h", ["a", n], 4, b, g) for n, b, g in [("p", 2, 0), ("q", 3, 0), ("r", 0, 40)]], "host string, segs array<string>, urls long, bad long, good long")
     got = {r["template"][-1]: r["bad_share"] for r in url_filter.template_purity(url_filter.templates(counted)).collect()}
     assert got["p"] == got["q"] == 6 / 7 and got["r"] < 0.05
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="aBÄß \t\n\x0b\x0c\r\x1c\x85  .7", max_size=25)), min_size=1, max_size=5))
+def test_words_of_a_batch_are_those_of_its_texts(texts):
+    import pyarrow as pa
+
+    words, numbers, lengths = lm_scoring.encode(pa.array(texts, pa.string()))
+    assert [words[i] for i in numbers] == [w for t in texts for w in lm_scoring.tokens(t)]
+    assert lengths.tolist() == [len(lm_scoring.tokens(t)) for t in texts]
+    values, starts = lm_scoring.with_ends(numbers, lengths, -1)
+    assert (values == -1).sum() == len(texts) and starts.tolist() == [0, *(np.cumsum(lengths + 1)[:-1])]
+
+
+def test_scores_equal_a_plain_model(spark):
+    """P(class | two classes before) * P(word | class), text by text, with the parameters that training gives."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id", "text", "doc_id % 5 = 1 as held_out")
+    training = docs.where("not held_out")
+    counts = lm_scoring.count_words(training).cache()
+    vocab, _ = lm_scoring.vocabulary(counts, training.count())
+    model = lm_scoring.train(training, vocab)
+    index, wanted = vocab.index(), {}
+    state = lambda two, one: model.context[two] * model.place[1] + model.context[one] * model.place[0]
+    for r in docs.where("held_out or doc_id < 30").collect():
+        two = one = lm_scoring.BEGIN
+        total = 0.0
+        for w in [*lm_scoring.tokens(r["text"]), None]:
+            cls = lm_scoring.END_CLASS if w is None else vocab.classes[index[w]] if w in index else lm_scoring.suffix_class(w)
+            logits = model.target @ state(two, one) + model.bias
+            total += (logits[cls] - np.logaddexp.reduce(logits)) / math.log(10)
+            if w is not None and cls >= lm_scoring.FIRST_SUFFIX:
+                n = vocab.counts[index[w]] if w in index else 0
+                total += math.log10((n + 0.5) / (vocab.class_counts[cls] + 0.5 * (vocab.class_sizes[cls] + 1)))
+            elif w is not None:
+                assert vocab.class_sizes[cls] == 1
+            two, one = one, cls
+        wanted[r["doc_id"]] = total
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score(docs, training).collect()}
+    assert all(abs(got[d] - x) < 1e-3 * max(1, abs(x)) for d, x in wanted.items())
