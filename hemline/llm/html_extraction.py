@@ -1,13 +1,17 @@
 """Main text of web pages by smoothed text-to-tag ratios.
 
 The standard library's parser streams events; every block boundary ends a line, which has its text
-(references decoded, white space runs as one blank), its number of tags, and the content container
-(article, main, else section, division or body) it lies in. A line's ratio is its characters per
-tag; lines inside menus, headers, footers, sidebars, notices, adverts, forms, comments and the like,
-told by element or by the words of class and id, have ratio 0. The ratios are smoothed with a
-Gaussian and split in two clusters; a container with a line in the upper cluster is content, and all
-its other lines, short ones too, are kept. Where a page has an article or main element with text,
-only those are candidates.
+(references decoded, white space runs as one blank), its number of tags and linked characters, and the
+content container (article, main, else section, division or body) it lies in. Lines inside menus,
+headers, footers, sidebars, notices, adverts, controls of forms, comments and the like are no
+candidates; they are told by element, or by a class, id or role all of whose words name such things
+or parts of a page's frame. A form is left out unless more than half of the page's text lies in it.
+Where a page has an article or main element with text, only its lines are candidates.
+
+A candidate's ratio is its characters per tag. The candidates' ratios, in page order, are smoothed with
+a Gaussian and split in two clusters. A container with a line in the upper cluster is content, and
+its other lines, short ones too, are kept; but three and more successive lines that are links as a
+whole, most of them in the lower cluster, are a list of links, and left out.
 
 One page is parsed at a time, row by row without a shuffle. NULL and empty html give an empty text.
 Unclosed and stray tags are tolerated. Repeated rows give equal rows, an empty table an empty one;
@@ -19,6 +23,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,43 +37,81 @@ SIGMA = 1.0
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split())
 #: Elements that never hold main text.
 DROPPED = frozenset(
-    "nav footer aside form script style noscript template button select option textarea iframe object svg canvas "
+    "nav footer aside label legend datalist script style noscript template button select option textarea iframe object svg canvas "
     "dialog menu head title audio video map".split())
 CONTAINERS = frozenset("article main section div body td".split())
-#: Words of a class or id that mark other things than main text.
+#: Words of a class, id or role that name adverts and notices, on any element.
+NOTICES = re.compile(
+    r"ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscri\w+")
+#: Words that name other things than main text, on elements that hold blocks.
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|"
-    r"newsletter|subscri\w+|sidebar|menu|nav\w*|breadcrumbs?|header|footer|masthead|comments?|disqus|replies|social|"
-    r"share|sharing|related|recommend\w*|widget|login|signup|search|pagination|pager)(?:$|[\s_-])", re.I)
+    r"sidebar|menu|nav\w*|breadcrumbs?|header|footer|masthead|comments?|disqus|replies|social|share|sharing|related|"
+    r"recommend\w*|widget|login|signup|search|pagination|pager")
+#: Words that may stand beside them and only say where or what kind of box it is.
+FRAME = frozenset(
+    "area article bar block blog body bottom box button buttons col column container entry global group icons inner item items "
+    "left link links list main module outer page panel post posts primary reader right row secondary section site slot sticky "
+    "stories story text top unit user wrap wrapper".split())
+TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption table dl dt dd".split())
+#: Successive lines of nothing but links that make a list of links.
+LINK_LIST = 3
 CLOSED_BY_BLOCK = frozenset({"p"})
 CLOSED_BY_SAME = frozenset("li dt dd tr td th option".split())
 
 
+def marked(tag: str, names: str) -> bool:
+    """Whether one of the names says that an element isn't main text."""
+    for name in names.lower().split():
+        words = [w for w in re.split(r"[-_\d]+", name) if w]
+        notices = [bool(NOTICES.fullmatch(w)) for w in words]
+        marks = [bool(MARKS.fullmatch(w)) for w in words]
+        if (any(notices) or (any(marks) and tag not in TEXT_BLOCKS)) and all(
+                n or m or w in FRAME for w, n, m in zip(words, notices, marks)):
+            return True
+    return False
+
+
+class Line(NamedTuple):
+    text: str
+    tags: int
+    linked: int  # characters inside links
+    container: int
+    article: bool
+    form: int  # number of the form it lies in, or 0
+
+
+class _State(NamedTuple):
+    """What holds inside an open element."""
+
+    dropped: bool = False
+    container: int = 0
+    article: bool = False
+    form: int = 0
+    link: bool = False
+
+
 class _Lines(HTMLParser):
-    """Collects (text, tags, container, in_article) lines."""
+    """Collects the lines of a page; those that are dropped have no text."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
-        self.open: list[tuple[str, bool, int, bool]] = []  # tag, dropped, container, in article
+        self.lines: list[Line] = []
+        self.open: list[tuple[str, _State]] = []
         self.pieces: list[str] = []
-        self.tags = self.containers = 0
+        self.tags = self.containers = self.forms = self.linked = 0
 
-    def _state(self) -> tuple[bool, int, bool]:
-        return self.open[-1][1:] if self.open else (False, 0, False)
+    def _state(self) -> _State:
+        return self.open[-1][1] if self.open else _State()
 
     def _end_line(self) -> None:
-        text = " ".join("".join(self.pieces).split())
-        dropped, container, article = self._state()
-        if text and not dropped:
-            self.lines.append((text, self.tags, container, article))
-        elif text:
-            self.lines.append(("", max(self.tags, 1), -1, False))
-        self.pieces, self.tags = [], 0
+        text, state = " ".join("".join(self.pieces).split()), self._state()
+        if text and not state.dropped:
+            self.lines.append(Line(text, self.tags, self.linked, state.container, state.article, state.form))
+        self.pieces, self.tags, self.linked = [], 0, 0
 
     def _close(self, tag: str, within: frozenset[str] | None = None) -> bool:
         """Close the innermost open ``tag``, unless an element not in ``within`` lies between."""
@@ -91,17 +135,18 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        dropped, container, article = self._state()
-        content = tag in ("article", "main")
-        marks = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
-        dropped = dropped or tag in DROPPED or (tag == "header" and not article) or (
-            bool(marks) and tag not in ("html", "body") and not content and bool(MARKS.search(marks))) or (
-            content and article and bool(marks) and bool(MARKS.search(marks)))
-        article = article or content
+        state, content = self._state(), tag in ("article", "main")
+        names = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
+        dropped = tag in DROPPED or (tag == "header" and not state.article) or (
+            tag not in ("html", "body") and not (content and not state.article) and marked(tag, names))
+        article, container, form = state.article or content, state.container, state.form
         if content or (tag in CONTAINERS and not article):
             self.containers += 1
             container = self.containers
-        self.open.append((tag, dropped, container, article))
+        if tag == "form":
+            self.forms += 1
+            form = self.forms
+        self.open.append((tag, _State(state.dropped or dropped, container, article, form, state.link or tag == "a")))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID or tag in INLINE:
@@ -121,8 +166,10 @@ class _Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self.pieces.append(data)
+        if self._state().link:
+            self.linked += len(data)
 
-    def finish(self) -> list[tuple[str, int, int, bool]]:
+    def finish(self) -> list[Line]:
         self.close()
         self._end_line()
         return self.lines
@@ -153,14 +200,22 @@ def main_text(html: str | None) -> str:
     parser = _Lines()
     parser.feed(html)
     lines = parser.finish()
-    if not any(text for text, *_ in lines):
+    in_form: dict[int, int] = {}
+    for line in lines:
+        in_form[line.form] = in_form.get(line.form, 0) + len(line.text)
+    total = sum(in_form.values())
+    lines = [x for x in lines if not x.form or 2 * in_form[x.form] > total]
+    lines = [x for x in lines if x.article] or lines
+    if not lines:
         return ""
-    only_articles = any(text and article for text, _, _, article in lines)
-    candidate = np.array([bool(text) and (article or not only_articles) for text, _, _, article in lines])
-    ratios = np.array([len(text) / max(tags, 1) for text, tags, _, _ in lines]) * candidate
-    high = upper_cluster(smoothed(ratios)) & candidate
-    chosen = {lines[i][2] for i in np.flatnonzero(high)}
-    return " ".join(text for (text, _, container, _), ok in zip(lines, candidate) if ok and container in chosen)
+    high = upper_cluster(smoothed(np.array([len(x.text) / max(x.tags, 1) for x in lines])))
+    chosen = {x.container for x, upper in zip(lines, high) if upper}
+    kept: list[str] = []
+    for is_link, run in groupby(zip(lines, high), key=lambda pair: pair[0].linked >= len(pair[0].text)):
+        own = list(run)
+        if not is_link or len(own) < LINK_LIST or 2 * sum(upper for _, upper in own) >= len(own):
+            kept += [x.text for x, _ in own if x.container in chosen]
+    return " ".join(kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:

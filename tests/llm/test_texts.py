@@ -278,3 +278,44 @@ def test_scores_equal_a_plain_model(spark):
         wanted[r["doc_id"]] = total
     got = {r["doc_id"]: r["score"] for r in lm_scoring.score(docs, training).collect()}
     assert all(abs(got[d] - x) < 1e-3 * max(1, abs(x)) for d, x in wanted.items())
+
+
+PARAGRAPH = "A paragraph of a hundred and seventy characters or so, which tells a story in many words and says something new each time it is read by anyone who cares to read on to its end."
+
+
+@pytest.mark.parametrize("page, wanted", [
+    ('<article><p>one two three</p><div class="ad">x</div><p>four five six</p></article>', "one two three four five six"),
+    (f"<body><p>{PARAGRAPH}</p><aside>More of the same</aside><p>{PARAGRAPH}</p></body>", f"{PARAGRAPH} {PARAGRAPH}"),
+    (f"<body><form action=x><input type=hidden><nav>menu</nav><div><h1>Head</h1><p>{PARAGRAPH}</p><label>Name</label><button>Go</button></div></form></body>",
+     f"Head {PARAGRAPH}"),
+    (f"<article><p class=share>We share this.</p><div class='share-of-voice'><p>{PARAGRAPH}</p></div><section id=comments-on-method>Of method.</section></article>",
+     f"We share this. {PARAGRAPH} Of method."),
+    (f"<article><p>{PARAGRAPH}</p><form><p>Enter your mail address here</p><input></form><div class='post-comments'>Nice!</div><p class=ad>Buy</p></article>", PARAGRAPH),
+    (f"<article><p>{PARAGRAPH}</p><ul><li><a href=1>One story</a><li><a href=2>Two stories</a><li><a href=3>And more</a></ul><p>{PARAGRAPH}</p></article>",
+     f"{PARAGRAPH} {PARAGRAPH}"),
+    (f"<article><p>{PARAGRAPH}</p><ul><li><a href=1>One story</a> is told<li>Two stories<li><a href=3>And more</a></ul></article>",
+     f"{PARAGRAPH} One story is told Two stories And more"),
+    ("<form><p>only a form</p></form>", "only a form"), ("<p class=ad>all advert</p>", ""),
+])
+def test_no_part_of_an_article_is_lost(page, wanted):
+    assert html_extraction.main_text(page) == wanted
+
+
+def test_the_clusters_decide(monkeypatch):
+    page = (f"<article><p>{PARAGRAPH}</p><ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul></article>",
+            f"<body><div><a href=x>go</a> <b>to</b></div><div><p>{PARAGRAPH}</p></div><div>end</div></body>")
+    before = [html_extraction.main_text(p) for p in page]
+    monkeypatch.setattr(html_extraction, "upper_cluster", lambda values: np.ones(len(values), bool))
+    assert all(html_extraction.main_text(p) != b for p, b in zip(page, before)) and before == [PARAGRAPH, PARAGRAPH]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "text here ", "<br>", "<b>", "</b>", "<article>", "</article>", "&amp;", "<aside>no</aside>"]), max_size=25))
+def test_text_of_an_article_is_whole(pieces):
+    """Everything inside an article but its dropped elements comes out, in order, whatever the ratios say."""
+    import re
+
+    inside = "".join(x for x in pieces if "article" not in x and "div" not in x)
+    wanted = re.sub(r"<aside>.*?</aside>|</?(?:p|br)>", " ", inside)
+    wanted = " ".join(re.sub(r"</?b>", "", wanted).replace("&amp;", "&").split())
+    assert html_extraction.main_text(f"<body><div>outside</div><article>{inside}</article></body>") == (wanted or "outside")
