@@ -19,7 +19,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_duplicates(
-    spark: SparkSession, docs: DataFrame, sf_dir: str, words: int = jaccard_join.WORDS, percent: int = jaccard_join.PERCENT,
+    spark: SparkSession, docs: DataFrame, sf_dir: str, words: int = 5, percent: int = 80,
 ) -> DataFrame:
     """One document of each group of linked documents stays; ``words`` and ``percent`` say what links."""
     return jaccard_join.one_of_each_group(docs, words=words, percent=percent)
