@@ -6,7 +6,7 @@ import json
 from html import unescape as unescape_reference
 from html.entities import html5
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hemline.functions.casts import as_column
@@ -73,34 +73,73 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.nullif(F.when(quoted, F.substring(value, 2, F.length(value) - 2)).otherwise(value), F.lit(""))
 
 
-def _tags(html: Column, name: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{name}(?=[\s/>]){_INSIDE_TAG}"), F.lit(1))
+_COMMENT = r"<!--.*?(?:-->|\z)"
+
+
+def visible(html: Column) -> Column:
+    """The page without comments and without what scripts and styles hold, in which no tag is one."""
+    return F.regexp_replace(html, rf"(?is){_COMMENT}|(<(script|style)(?=[\s/>]){_INSIDE_TAG}).*?(?=</\2|\z)", "$1")
+
+
+def _tags(visible_html: Column, name: str) -> Column:
+    return F.regexp_extract_all(visible_html, F.lit(rf"(?is)<{name}(?=[\s/>]){_INSIDE_TAG}"), F.lit(1))
+
+
+def _raw_title(visible_html: Column) -> Column:
+    return _found(visible_html, r"(?is)<title[^>]*>(.*?)</title>")
+
+
+def _raw_links(visible_html: Column) -> Column:
+    return F.filter(F.transform(_tags(visible_html, "a"), lambda tag: _attribute(tag, "href")), lambda link: link.isNotNull())
 
 
 def page_title(html: Column | str, suffix: str | None = None) -> Column:
     """Text of <title> without the site's suffix; NULL when there is no title."""
-    title = unescape(_found(as_column(html), r"(?is)<title[^>]*>(.*?)</title>"))
+    title = unescape(_raw_title(visible(as_column(html))))
     return F.regexp_replace(title, suffix, "") if suffix else title
 
 
 def page_lang(html: Column | str) -> Column:
-    return _attribute(F.get(_tags(as_column(html), "html"), 0), "lang")
+    return _attribute(F.get(_tags(visible(as_column(html)), "html"), 0), "lang")
 
 
 def page_meta(html: Column | str, prop: str) -> Column:
     """Content of the first <meta property=prop>, whichever attribute comes first."""
-    named = F.filter(_tags(as_column(html), "meta"), lambda tag: _attribute(tag, "property") == prop)
+    named = F.filter(_tags(visible(as_column(html)), "meta"), lambda tag: _attribute(tag, "property") == prop)
     return unescape(_attribute(F.get(named, 0), "content"))
 
 
 def page_links(html: Column | str) -> Column:
     """Array of link targets in page order; links without a target are left out."""
-    targets = F.transform(_tags(as_column(html), "a"), lambda tag: unescape(_attribute(tag, "href")))
-    return F.filter(targets, lambda link: link.isNotNull())
+    return F.transform(_raw_links(visible(as_column(html))), unescape)
 
 
 def page_script(html: Column | str, script_id: str) -> Column:
-    """Text of the first <script> with this id, NULL when absent."""
-    scripts = F.regexp_extract_all(as_column(html), F.lit(rf"(?is)<script(?=[\s/>]){_INSIDE_TAG}.*?</script"), F.lit(0))
-    named = F.filter(scripts, lambda s: _attribute(F.regexp_extract(s, rf"(?is)^<script{_INSIDE_TAG}", 1), "id") == script_id)
+    """Text of the first <script> with this id, NULL when absent; none inside a comment counts."""
+    pieces = F.regexp_extract_all(as_column(html), F.lit(rf"(?is){_COMMENT}|<script(?=[\s/>]){_INSIDE_TAG}.*?</script"), F.lit(0))
+    named = F.filter(pieces, lambda s: ~s.startswith("<!--") & (
+        _attribute(F.regexp_extract(s, rf"(?is)^<script{_INSIDE_TAG}", 1), "id") == script_id))
     return F.nullif(F.regexp_extract(F.get(named, 0), rf"(?is)^<script{_INSIDE_TAG}(.*)</script$", 2), F.lit(""))
+
+
+def page_fields(pages: DataFrame, html: str, metas: list[str], script_id: str, keep: list[str] | None = None) -> DataFrame:
+    """(title, meta, links, script) of every page, each part of it scanned once.
+
+    ``meta`` is the array of the contents of ``metas``, in their order. All values of a page, links
+    included, are resolved together, so the table of references stands in the plan once.
+    """
+    seen = pages.select(*(keep or []), F.col(html).alias("_html"), visible(F.col(html)).alias("_visible"))
+    tags = seen.select(
+        *(keep or []), _raw_title(F.col("_visible")).alias("_title"), _raw_links(F.col("_visible")).alias("_links"),
+        F.transform(_tags(F.col("_visible"), "meta"), lambda t: F.struct(
+            _attribute(t, "property").alias("property"), _attribute(t, "content").alias("content"))).alias("_metas"),
+        page_script("_html", script_id).alias("script"))
+
+    def content(prop: str) -> Column:
+        return F.get(F.filter("_metas", lambda m: m["property"] == prop), 0)["content"]
+
+    raw = tags.select(*(keep or []), "script", F.concat(F.array("_title", *map(content, metas)), "_links").alias("_raw"))
+    values = raw.select(*(keep or []), "script", F.transform("_raw", unescape).alias("_values"))
+    return values.select(
+        *(keep or []), F.get("_values", 0).alias("title"), F.slice("_values", 2, len(metas)).alias("meta"),
+        F.slice("_values", len(metas) + 2, F.size("_values")).alias("links"), "script")

@@ -22,7 +22,7 @@ from hemline.fixed_values import (
     PRODUCT_BATCH_SIZE,
 )
 from hemline.functions.arrays import distinct_names, membership_flag
-from hemline.functions.documents import json_path, page_links, page_meta, page_script, page_title
+from hemline.functions.documents import json_path, page_fields
 from hemline.functions.text import text_after
 from hemline.operators.nested import enumerate_items, tree_leaves
 from hemline.operators.quality import keep_present, skip_empty
@@ -80,13 +80,14 @@ def page_products(pages: DataFrame, html: str = "html", keep: list[str] | None =
 
     The English brand name is the slug of the first brand link.
     """
-    brand_links = F.filter(page_links(html), lambda link: link.contains(BRAND_LINK_MARK))
-    found = pages.select(
+    parts = page_fields(pages, html, list(PAGE_META.values()), PAGE_JSON_ID, keep)
+    brand_link = F.get(F.filter("links", lambda link: link.contains(BRAND_LINK_MARK)), 0)
+    found = parts.select(
         *(keep or []),
-        page_title(html, PAGE_TITLE_SUFFIX).alias("product_name"),
-        text_after(F.get(brand_links, 0), BRAND_LINK_MARK).alias("brand_name_en"),
-        *[page_meta(html, prop).alias(name) for name, prop in PAGE_META.items()],
-        json_path(page_script(html, PAGE_JSON_ID), PAGE_REVIEW_PATH).alias("_review"),
+        F.regexp_replace("title", PAGE_TITLE_SUFFIX, "").alias("product_name"),
+        text_after(brand_link, BRAND_LINK_MARK).alias("brand_name_en"),
+        *[F.get("meta", i).alias(name) for i, name in enumerate(PAGE_META)],
+        json_path("script", PAGE_REVIEW_PATH).alias("_review"),
     )
     return found.select(
         "*",

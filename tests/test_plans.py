@@ -56,3 +56,20 @@ def test_aggregates_are_combined_before_the_shuffle(spark):
 def test_the_category_join_of_the_product_mart_is_dropped(spark):
     text = plan(spark, "mart_product_left")
     assert text.count("LeftOuter") == 2  # the offsets of the ranks and the details
+
+
+def test_page_fields_resolve_references_once_and_skip_comments(spark):
+    from hemline.plans import collect
+
+    html = (
+        '<title>A &amp; B</title><!-- <meta property="og:image" content="no"> <title>x</title> --><script>"<a href=/brand/no>"</script>'
+        "<style><meta property='og:image' content=no></style><meta content='a&quot;b' property='og:image'><!-- <a href='/brand/hidden'> "
+        f'--><a href="/brand/seen&amp;1">s</a><!--<script id="__NEXT_DATA__">{{"no": 1}}</script>--><script id="__NEXT_DATA__">'
+        '{"props": {"pageProps": {"meta": {"data": {"goodsReview": {"totalCount": 7, "note": "<!-- kept"}}}}}}</script><!-- unclosed <title>y</title>')
+    pages = spark.createDataFrame([(1, html), (2, None), (3, ""), (4, "<!--<title>z</title>")], "k int, html string")
+    products = collect.page_products(pages, keep=["k"])
+    got = {r["k"]: r for r in products.collect()}
+    assert (got[1]["product_name"], got[1]["image_src"], got[1]["review_count"]) == ("A & B", 'a"b', "7")
+    assert got[2]["product_name"] is got[3]["product_name"] is got[4]["product_name"] is None
+    plan = products._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CounterClockwiseContourIntegral") == 1
