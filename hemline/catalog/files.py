@@ -13,7 +13,7 @@ from hemline.functions.casts import to_double, to_int, to_long
 from hemline.functions.text import record_field, record_fields
 from hemline.operators.project import union_all
 from hemline.session import shared_dir
-from hemline.sources import publish, readers, writers
+from hemline.sources import batches, publish, readers, writers
 
 CUSTOMER_SCHEMA = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 CUSTOMER_SQL = "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer"
@@ -195,6 +195,31 @@ def load_subfolders(spark, d):
     return spark.table(name)
 
 
+@query("load_new_files", """
+with o as (select *, o_orderkey % 97 = 3 as bad, case when o_orderpriority < '3' then 1 else 2 end as batch_no from orders)
+select case when bad then 'rejected' else 'loaded' end as way, case when not bad then o_orderkey end as item_no, o_orderpriority as item_name,
+  cast(o_custkey as int) as item_size, o_totalprice as price, batch_no, case when bad then 'item_no:null' else '' end as reasons from o
+""")
+def load_new_files(spark, d):
+    """The folders of a first day, the same day again, all folders, and these again: every file is loaded once."""
+    path, name, root = shared_dir(spark, "new_files"), _new_table("new_files"), shared_dir(spark, "load_new_files")
+    schema = "o_orderkey bigint, o_orderpriority string, o_custkey int, o_totalprice double"
+    key = F.when(F.col("o_orderkey") % 97 != 3, F.col("o_orderkey")).alias("o_orderkey")
+    orders = table(spark, d, "orders").select(key, F.col("o_orderpriority").alias("folder"), "o_orderpriority", "o_custkey", "o_totalprice")
+
+    def load():
+        return batches.load_new_files(
+            spark, f"{path}/*/*.json", lambda paths: readers.read_json(spark, paths, schema), PART_ITEM, name, root)
+
+    for day in (F.col("folder") < "3", F.col("folder") >= "3"):
+        writers.replace_json(orders.where(day), path, ["folder"])
+        load()
+        load()
+    loaded = spark.table(name).select(F.lit("loaded").alias("way"), "*", F.lit("").alias("reasons"))
+    return loaded.unionByName(batches.rejected_rows(spark, name).select(
+        F.lit("rejected").alias("way"), *PART_ITEM.columns, batches.BATCH, F.array_join("reject_reasons", ",").alias("reasons")))
+
+
 LINE = TableContract("line_tb", (
     Field("l_orderkey", "bigint", True), Field("l_partkey", "bigint", True), Field("l_suppkey", "bigint", True),
     Field("l_linenumber", "int", True), Field("l_quantity", "double"), Field("l_extendedprice", "double"),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from hemline.catalog.registry import query, table
 from hemline.fixed_values import NEWEST_REVIEWS
-from hemline.operators import ranking
+from hemline.operators import lasting, ranking
 from hemline.plans import collect, trend
+from hemline.session import shared_dir
 
 
 @query("top2_labels", """
@@ -94,6 +97,46 @@ def top5_keywords(spark, d):
     return trend.top_keywords(points, "2024-01-15")
 
 
+@query("top5_keywords_rescaled", """
+with v as (select event_type as gender, user_id % 24 as k, cast(ts as date) as period, sum(value) as value from events group by all),
+s as (select gender, case when k < 12 then 'request 0' else 'request 3' end as "group", 'word ' || k as keyword_name, period, value,
+        max(value) over (partition by gender, k < 12) as top from v where value > 0),
+l as (select gender, "group", keyword_name, round(coalesce(arg_max(100 * value / top, period) filter (period between date '2024-01-15' - 7 and date '2024-01-15'), 0), 6) as last_ratio
+      from s group by all)
+select gender, "group", keyword_name, last_ratio, cast(rk as int) as position
+from (select *, row_number() over (partition by gender, "group" order by last_ratio desc, keyword_name) as rk from l) where rk <= 5
+""")
+def top5_keywords_rescaled(spark, d):
+    """Six requests, each scaled to its own maximum; neighbours share a keyword, except the third and the fourth."""
+    true = table(spark, d, "events").groupBy(
+        F.col("event_type").alias("gender"), (F.col("user_id") % 24).alias("k"), F.col("ts").cast("date").alias("period"),
+    ).agg(F.sum("value").alias("value")).where("value > 0")
+    own = F.floor(F.col("k") / 4).cast("int")
+    before = F.when((F.col("k") % 4 == 0) & ~F.col("k").isin(0, 12), own - 1)
+    held = true.select("*", F.explode(F.array_compact(F.array(own, before))).alias("r"))
+    largest = held.groupBy("gender", "r").agg(F.max("value").alias("largest"))
+    points = held.join(largest, ["gender", "r"]).select(
+        F.concat(F.lit("request "), F.col("r").cast("string")).alias("request"), "gender",
+        F.concat(F.lit("word "), F.col("k").cast("string")).alias("keyword_name"), "period", (100 * F.col("value") / F.col("largest")).alias("ratio"))
+    return trend.top_keywords_rescaled(points, "2024-01-15")
+
+
+@query("lasting_ids", """
+with n as (select event_type, nullif(user_id, 7) as user_id, min(case when ts < timestamp '2024-01-10' then 1 else 2 end) as day from events group by all),
+o as (select *, row_number() over (partition by day order by md5('{"event_type":"' || event_type || '","user_id":' || coalesce(cast(user_id as varchar), 'null') || '}')) as pos,
+        count(*) filter (day = 1) over () as first_day from n)
+select event_type, user_id, cast(pos + case when day = 2 then first_day else 0 end as bigint) as trend_id, cast(day as int) as batch_no from o
+""")
+def lasting_ids(spark, d):
+    """Ids of two days and of the first one again: keys that come later number above, none changes."""
+    events = table(spark, d, "events").select("event_type", F.nullif(F.col("user_id"), F.lit(7)).alias("user_id"), "ts")
+    name, root = f"hemline_ids_{uuid.uuid4().hex}", shared_dir(spark, "lasting_ids")
+    first = events.where(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"))
+    for day in (first, events, first):
+        lasting.register_keys(day, ["event_type", "user_id"], name, root, "trend_id")
+    return spark.table(name)
+
+
 @query("surrogate_id", """
 select event_type, user_id, cast(dense_rank() over (order by md5('{"event_type":"' || event_type || '","user_id":' || user_id || '}')) as bigint) as trend_id
 from (select distinct event_type, user_id from events)

@@ -44,6 +44,11 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _files(spark, path)
+    fs.mkdirs(p)
+
+
 def versions(spark: SparkSession, root: str) -> list[str]:
     """Folders of all versions below ``root``, the oldest first."""
     fs, p = _files(spark, root)
