@@ -67,12 +67,14 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def bronze_to_silver(
-    spark: SparkSession, base: str, run_date: str, ably_categories: DataFrame, cm29_categories: DataFrame
+    spark: SparkSession, base: str, run_date: str, ably_categories: DataFrame, cm29_categories: DataFrame,
+    trend_ids: str | None = None,
 ) -> None:
     """Write all silver folders of the day.
 
     ``ably_categories``: code, master_category_name, small_category_name.
     ``cm29_categories``: file_key, depth2, depth3, depth4.
+    ``trend_ids``: the table that keeps the ids of keyword results from day to day.
     """
 
     def bronze(topic: str, *rest: str) -> str:
@@ -121,7 +123,10 @@ def bronze_to_silver(
         stories = snap.read_story_pages(spark, bronze(f"snap_story_{suffix}"))
         write_parquet(snap.story_ranking(stories, gender, run_date, mark_bad=True), silver(TOPICS[f"snap_story_{suffix}"]))
         results = trend.read_trend(spark, bronze(f"trend_{suffix}", "*.json"))
-        write_parquet(trend.keyword_trend(results, gender, run_date, mark_bad=True), silver(TOPICS[f"trend_{suffix}"]))
+        if trend_ids:
+            trend.register_results(results, gender, trend_ids, f"{base.rstrip('/')}/dim/{trend_ids}")
+        write_parquet(
+            trend.keyword_trend(results, gender, run_date, mark_bad=True, dictionary=trend_ids), silver(TOPICS[f"trend_{suffix}"]))
         found = video.read_videos(spark, bronze(f"video_{suffix}"))
         write_parquet(video.videos(found, gender, run_date), silver(TOPICS[f"video_{suffix}"]))
 

@@ -60,6 +60,7 @@ COLLECT_JOBS = {
     "newest_reviews": lambda s, a: collect.newest_reviews(
         read_parquet(s, a.source), "product_id", "review_date", "review_content", a.limit),
     "top_keywords": lambda s, a: trend.top_keywords(read_parquet(s, a.source), a.run_date),
+    "top_keywords_rescaled": lambda s, a: trend.top_keywords_rescaled(read_parquet(s, a.source), a.run_date),
 }
 
 #: Bronze to silver.
@@ -94,6 +95,7 @@ def parser() -> argparse.ArgumentParser:
     day.add_argument("--run-date", default=today())
     day.add_argument("--ably-categories", required=True)
     day.add_argument("--cm29-categories", required=True)
+    day.add_argument("--trend-ids", help="table that keeps the ids of keyword results; without it they hold for one day")
     job = commands.add_parser("job")
     job.add_argument("name", choices=sorted(JOBS))
     job.add_argument("source")
@@ -113,7 +115,7 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         return
     dimensions = read_csv(spark, a.ably_categories, ABLY_DIMENSION), read_csv(spark, a.cm29_categories, CM29_DIMENSION)
     daily.store_unreadable(spark, a.base, a.run_date)
-    daily.bronze_to_silver(spark, a.base, a.run_date, *dimensions)
+    daily.bronze_to_silver(spark, a.base, a.run_date, *dimensions, trend_ids=a.trend_ids)
     daily.load_silver(spark, a.base, a.run_date)
     daily.build_gold(spark, a.base)
 
