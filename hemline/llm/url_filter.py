@@ -2,13 +2,15 @@
 
 Explicit rules come first: a rule fits its host and all subdomains when the path starts with the
 rule's path, the longest rule wins. Urls under a rule are also the labelled urls of the method
-(any other labelled urls may be given instead):
+(or the ``labels`` that the caller gives):
 
 1. Paths become segments; runs of digits and long hexadecimal runs become ``#``. Urls are counted by
    host and segments, so later steps see one row per different template, however hot a host is.
 2. Level by level, the segments below a node are generalised to ``*`` when there are many of them
-   and most are rare. Segments below ``max_depth`` are one ``**``: the depth of the tree, not a cut
-   of the input.
+   and urls spread over many: the effective number of segments, ``(sum n)^2 / sum n^2`` over their
+   different paths n, reaches ``min_children``. Repeated urls and the corpus size don't matter. The tree
+   goes as deep as paths do; a node with fewer paths than ``min_children`` can't branch so far
+   further down, and its paths end as they are, so one very long url adds no levels.
 3. Sibling branches whose shares of bad labels don't differ significantly are merged: siblings in
    order of their share are chained while the two-proportion statistic of neighbours stays below
    ``max_z``.
@@ -22,6 +24,7 @@ row its own. An empty table gives an empty table. Extra columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,9 +51,9 @@ RULES = (
     UrlRule("block", "net/"), UrlRule("allow", "example.net/en/"),
     UrlRule("block", "example.com/de/"), UrlRule("allow", "org/fr/"),
 )
-MAX_DEPTH = 6
 MIN_CHILDREN = 8
-RARE_SHARE = 0.5
+#: Levels between two written stages.
+STAGE_LEVELS = 4
 MAX_Z = 1.96
 PRIOR_WEIGHT = 2.0
 REJECT_AT = 0.75
@@ -72,27 +75,38 @@ def longest_rule(host: Column, path: Column, rules: tuple[UrlRule, ...], value)
     return chosen
 
 
-def segments(path: Column, max_depth: int) -> Column:
-    shaped = F.transform(
+def segments(path: Column) -> Column:
+    return F.transform(
         F.array_remove(F.split(path, "/"), ""),
         lambda s: F.regexp_replace(F.regexp_replace(s, r"\b[0-9a-fA-F]{8,}\b", "#"), "[0-9]+", "#"))
-    return F.when(F.size(shaped) > max_depth, F.concat(F.slice(shaped, 1, max_depth), F.array(F.lit("**")))).otherwise(shaped)
 
 
-def templates(counted: DataFrame, max_depth: int = MAX_DEPTH, min_children: int = MIN_CHILDREN, rare_share: float = RARE_SHARE) -> DataFrame:
-    """Adds ``template`` (array) to (host, segs, urls, bad, good) rows."""
-    tree = counted.withColumn("template", F.array().cast("array<string>"))
-    for depth in range(max_depth):
-        below = F.get("segs", F.lit(depth))
-        node = tree.select("*", below.alias("child"))
-        children = node.where(F.col("child").isNotNull()).groupBy("host", "template", "child").agg(F.sum("urls").alias("urls"))
-        many = children.groupBy("host", "template").agg(F.count("*").alias("n_children"), F.sum("urls").alias("n_urls")).where(
-            (F.col("n_children") >= min_children) & (F.col("n_children") >= rare_share * F.col("n_urls")))
-        many = many.select("host", "template", F.lit(True).alias("variable"))
-        tree = node.join(many, ["host", "template"], "left").withColumn(
-            "template", F.when(F.col("child").isNull(), F.col("template")).otherwise(F.concat(
-                "template", F.array(F.when(F.col("variable"), F.lit("*")).otherwise(F.col("child")))))).drop("child", "variable")
-    return tree
+def templates(counted: DataFrame, min_children: int = MIN_CHILDREN) -> DataFrame:
+    """Adds ``template`` (array) to (host, segs, urls, bad, good) rows, one row per host and path.
+
+    One shuffle a level, of the paths that may still branch; the others leave the loop.
+    """
+    columns = [*counted.columns, "template"]
+    tree, done, depth = counted.withColumn("template", F.array().cast("array<string>")), [], 0
+    while True:
+        node = tree.withColumn("child", F.get("segs", F.lit(depth)))
+        children = node.where(F.col("child").isNotNull()).groupBy("host", "template", "child").agg(F.count("*").alias("paths"))
+        nodes = children.groupBy("host", "template").agg(
+            F.sum("paths").alias("below"), F.count("*").alias("n_children"), F.sum(F.col("paths").cast("double") * F.col("paths")).alias("squares"))
+        spread = F.col("below").cast("double") * F.col("below") / F.col("squares")
+        nodes = nodes.select(
+            "host", "template", "below",
+            ((F.col("n_children") >= min_children) & (spread >= min_children)).alias("variable"))
+        step = F.when(F.col("variable"), F.lit("*")).otherwise(F.col("child"))
+        joined = keep(node.join(nodes, ["host", "template"], "left"), "url-level") if depth % STAGE_LEVELS == STAGE_LEVELS - 1 else node.join(
+            nodes, ["host", "template"], "left")
+        ends = F.col("child").isNull() | (F.col("below") < min_children)
+        rest = F.slice("segs", depth + 1, F.greatest(F.size("segs") - depth, F.lit(0)))
+        done.append(joined.where(ends).withColumn("template", F.concat("template", rest)).select(*columns))
+        tree = joined.where(~ends).withColumn("template", F.concat("template", F.array(step))).select(*columns)
+        depth += 1
+        if depth % STAGE_LEVELS == 0 and tree.isEmpty():
+            return reduce(DataFrame.unionByName, done)
 
 
 def template_purity(tree: DataFrame, max_z: float = MAX_Z, prior_weight: float = PRIOR_WEIGHT) -> DataFrame:
@@ -116,18 +130,30 @@ def template_purity(tree: DataFrame, max_z: float = MAX_Z, prior_weight: float =
         "host", "template", "urls", "labelled", smoothed.alias("bad_share"))
 
 
-def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, reject_at: float = REJECT_AT, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """page_id, host, path, rule, verdict, template and bad_share of every page."""
-    host, path = split_url(F.col("url"))
-    parsed = pages.select(F.col("page_id"), host.alias("host"), path.alias("path"))
-    ruled = parsed.select(
+def judge_urls(
+    pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, reject_at: float = REJECT_AT, labels: DataFrame | None = None
+) -> DataFrame:
+    """page_id, host, path, rule, verdict, template and bad_share of every page.
+
+    ``labels`` (url, bad) are labelled urls that take the place of those under a rule; they need not
+    be among the pages. A NULL ``bad`` is no label.
+    """
+
+    def parsed(urls: DataFrame, *columns: Column) -> DataFrame:
+        host, path = split_url(F.col("url"))
+        return urls.select(*columns, host.alias("host"), path.alias("path")).withColumn("segs", segments(F.col("path")))
+
+    ruled = parsed(pages, F.col("page_id")).select(
         "*", longest_rule(F.col("host"), F.col("path"), rules, lambda r: r.rule).alias("rule"),
-        longest_rule(F.col("host"), F.col("path"), rules, lambda r: r.verdict).alias("ruled"),
-        segments(F.col("path"), max_depth).alias("segs"))
-    counted = keep(ruled.groupBy("host", "segs").agg(
-        F.count("*").alias("urls"), F.count_if(F.col("ruled") == "block").alias("bad"),
-        F.count_if(F.col("ruled") == "allow").alias("good")), "url-counts")
-    tree = keep(templates(counted, max_depth), "url-tree")
+        longest_rule(F.col("host"), F.col("path"), rules, lambda r: r.verdict).alias("ruled"))
+    if labels is None:
+        seen = ruled.select("host", "segs", (F.col("ruled") == "block").alias("bad"), F.lit(1).alias("page"))
+    else:
+        seen = ruled.select("host", "segs", F.lit(None).cast("boolean").alias("bad"), F.lit(1).alias("page")).unionByName(
+            parsed(labels, F.col("bad")).select("host", "segs", "bad", F.lit(0).alias("page")))
+    counted = keep(seen.groupBy("host", "segs").agg(
+        F.sum("page").alias("urls"), F.count_if(F.col("bad")).alias("bad"), F.count_if(~F.col("bad")).alias("good")), "url-counts")
+    tree = keep(templates(counted), "url-tree")
     judged = tree.select("host", "segs", "template").join(template_purity(tree), ["host", "template"]).select(
         "host", "segs", F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), "bad_share")
     method = F.when(F.col("bad_share") >= reject_at, F.lit("block")).otherwise(F.lit("allow"))
