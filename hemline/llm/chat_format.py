@@ -37,13 +37,15 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 START, END = "<|im_start|>", "<|im_end|>"
 LOSS_ROLE = "assistant"
-#: Longer runs without white space are encoded in pieces; the bytes stay the same.
-LONGEST_RUN = 2_000
+#: What the pattern takes for white space.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Longer runs of white space overflow the splitter's stack, so they go past it.
+LONGEST_BLANK = 10_000
 
 _OPEN = re.compile(r"<(\\*)\|")
 _ESCAPED = re.compile(r"<\\(\\*)\|")
 _ROLE_ESCAPED = re.compile(r"\\(\\|n)")
-_RUN = re.compile(r"\S{%d}" % LONGEST_RUN)
+_BLANK = re.compile("[%s]{%d,}" % (WHITE, LONGEST_BLANK))
 
 
 def escape(text: str) -> str:
@@ -74,9 +76,17 @@ def encoding(folder: str):
 
 
 def encode(enc, text: str) -> list[int]:
-    if len(text) > LONGEST_RUN and _RUN.search(text):
-        return [i for at in range(0, len(text), LONGEST_RUN) for i in enc.encode_ordinary(text[at:at + LONGEST_RUN])]
-    return enc.encode_ordinary(text)
+    """Token ids of a whole text, as the encoder gives them.
+
+    The pattern takes a run of white space as one piece, but for its last character where a word
+    follows. Very long runs are cut out by that rule and merged as the piece they are: equal ids.
+    """
+    ids, at = [], 0
+    for run in _BLANK.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += enc.encode_ordinary(text[at:run.start()]) + enc._encode_single_piece(text[run.start():end])
+        at = end
+    return ids + enc.encode_ordinary(text[at:])
 
 
 def turn_tokens(enc, role: str, text: str) -> tuple[list[int], np.ndarray]:
