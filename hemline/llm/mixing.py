@@ -11,7 +11,8 @@ copy at which the demand ends is taken in part.
 Cumulative sizes come from digest ranges: sums per (source, range), then a running sum inside each
 range, so a source with a third of all rows is spread over as many tasks as its ranges.
 
-NULL and empty texts have size 0 and take nothing; a NULL source is a source of its own, the last.
+NULL and empty texts have size 0 and take nothing; rows without an id are ordered, and spread over the
+ranges, by a digest of their text; a NULL source is a source of its own, the last.
 Repeated rows are documents of their own. Only the named columns are read; an empty table gives an
 empty plan.
 """
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hemline.llm.common import SPACE, keep
+from hemline.operators.ranking import full_rank
 
 WEIGHTS = (1, 2, 3)
 #: Change of a source's weight over the run, by rank: falls, stays, rises.
@@ -77,7 +79,10 @@ def plan(
     (copy, position, take) of the copies that the mix reads, in part for the last of a source."""
     sized = keep(docs.select(
         F.col("doc_id"), F.col("source"), n_spaced_words(F.col("text")).alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("digest"),
+        F.md5(F.coalesce(
+            F.col("doc_id").cast("string"),
+            F.concat(F.lit("text "), F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))),
+        ).cast("binary")).alias("digest"),
     ), "mix-sizes")
     digits = max(1, math.ceil(math.log(max(sized.count() / rows_per_range, 2), 16)))
     sized = sized.withColumn("range", F.substring("digest", 1, digits))
@@ -110,3 +115,16 @@ def manifest(planned: DataFrame) -> DataFrame:
     """One row per copy that the mix reads, range-sorted by training position."""
     rows = planned.select("doc_id", "source", "size", F.explode("copies").alias("c"))
     return rows.select("doc_id", "source", "size", "c.copy", "c.position", "c.take").orderBy("position", "doc_id", "copy")
+
+
+def in_training_order(planned: DataFrame) -> DataFrame:
+    """Adds ``first_position``, the training position of a document's first copy, and ``training_rank``,
+    its place among the documents by that position (equal ones by id and size); NULL where the mix takes nothing.
+
+    Documents are range-sorted by position and numbered range by range, so no task holds them all.
+    """
+    timed = planned.withColumn("first_position", F.try_element_at("copies", F.lit(1))["position"])
+    order = [F.asc("first_position"), F.asc("doc_id"), F.asc("size")]
+    ranked = full_rank(timed.where(F.col("first_position").isNotNull()), [], order, "training_rank")
+    unread = timed.where(F.col("first_position").isNull()).withColumn("training_rank", F.lit(None).cast("long"))
+    return ranked.withColumn("training_rank", F.col("training_rank").cast("long")).unionByName(unread)

@@ -15,15 +15,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hemline.llm.common import SPACE
+from hemline.llm.common import SPACE, ascii_lower
 
-#: Frequent function words of English, German, Spanish and French.
-STOP_WORDS = (
-    "the of and to in is that for it with as on be this by "
-    "der die und den von zu das mit sich des auf für ist im dem nicht ein "
-    "de la que el en y los del se las por un para con no una "
-    "le et les des un une du est dans qui que pour au sur"
-).split()
+#: Frequent function words by language, all in Latin script.
+STOP_WORDS_OF = {
+    "English": "the of and to in is that for it with as on be this by",
+    "German": "der die und den von zu das mit sich des auf für ist im dem nicht ein",
+    "Spanish": "de la que el en y los del se las por un para con no una",
+    "French": "le et les des un une du est dans qui que pour au sur",
+    "Italian": "di che la il un per non una sono gli della con",
+    "Portuguese": "de que do da em um para com uma os no na por mais",
+    "Dutch": "de het een van en in is dat op te zijn voor met niet",
+}
+STOP_WORDS = tuple(sorted({word for words in STOP_WORDS_OF.values() for word in words.split()}))
 
 
 @dataclass(frozen=True)
@@ -37,14 +41,15 @@ class Rule:
     high: int | None = None
 
 
-#: Lengths, symbols, stop words and lines. ``one`` is the number 1.
+#: Lengths, symbols, stop words and lines. ``one`` is the number 1. Stop words are a share of the words in Latin
+#: script, the script of all listed languages: a text in another script has none and passes this rule.
 RULES = (
     Rule("words", "n_words", "one", low=5_000),
     Rule("repeated_words", "n_repeat_words", "n_words", high=50),
     Rule("word_length", "word_chars", "n_words", low=200, high=1_500),
     Rule("symbols", "n_symbols", "n_words", high=30),
     Rule("letters", "n_letters", "word_chars", low=60),
-    Rule("stop_words", "n_stop_words", "one", low=200),
+    Rule("stop_words", "n_stop_words", "n_latin_words", low=2, high=90),
     Rule("repeated_lines", "n_dup_lines", "n_lines", high=50),
 )
 
@@ -70,7 +75,8 @@ def _repeat_words(grams: Column) -> Column:
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The measures of every row: id, n_words, word_chars, n_symbols, n_letters, n_lines, n_dup_lines,
-    n_repeat_words and n_stop_words (different ones)."""
+    n_repeat_words, and among runs of Latin letters (A-Z lower-cased, so punctuation around a word doesn't hide
+    it) n_latin_words and n_stop_words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     pieces = docs.select(F.col(id_col), text.alias("text"), F.split(text, SPACE).alias("pieces"))
     words = pieces.select(
@@ -82,14 +88,16 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         id_col, "text", "word_chars", F.size("words").cast("long").alias("n_words"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.size(F.array_intersect("words", F.array(*map(F.lit, STOP_WORDS)))).cast("long").alias("n_stop_words"),
+        F.array_remove(F.split(ascii_lower(F.col("text")), r"[^\p{IsLatin}]+"), "").alias("latin"),
         F.when(F.size("words") >= 3, F.transform(
             F.sequence(F.lit(0), F.size("words") - 3),
             lambda i: F.xxhash64(F.col("words")[i], F.col("words")[i + 1], F.col("words")[i + 2]),
         )).otherwise(F.array().cast("array<bigint>")).alias("grams"),
     )
     return grams.select(
-        id_col, "n_words", "word_chars", "n_lines", "n_dup_lines", "n_stop_words",
+        id_col, "n_words", "word_chars", "n_lines", "n_dup_lines",
+        F.size("latin").cast("long").alias("n_latin_words"),
+        F.size(F.filter("latin", lambda word: word.isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
         F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         F.length(F.regexp_replace("text", r"[^\p{L}]+", "")).cast("long").alias("n_letters"),
         F.when(F.size(F.array_distinct("grams")) == F.size("grams"), F.lit(0))

@@ -73,7 +73,7 @@ def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 @query("op9_source_mixing", rf"""
-with d as (select doc_id, source, cast(len({_SPACED}) as bigint) as size, md5(coalesce(cast(doc_id as varchar), '')) as digest from documents),
+with d as (select doc_id, source, cast(len({_SPACED}) as bigint) as size, md5(coalesce(cast(doc_id as varchar), 'text ' || md5(coalesce(text, '')))) as digest from documents),
 s as (select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) - 1 as k from d group by source),
 c as (select *, 1 + k % 3 as weight, (k % 3 - 1) * 0.5::double as slope, 3 * source_size as ceiling from s),
 l as (select *, sum(source_size) over () as total, sum(weight) over () as weights,
@@ -85,14 +85,18 @@ t as (select source, source_size, slope, least(ceiling::double, level * weight)
 p as (select d.doc_id, d.size, t.source_size, t.target, t.goal, t.slope,
         cast(coalesce(sum(d.size) over (partition by d.source order by digest, d.doc_id, d.size rows between unbounded preceding and 1 preceding), 0) as bigint) as start
       from d join t on d.source is not distinct from t.source),
-q as (select *, [greatest(0, least(size, goal - start)), greatest(0, least(size, goal - start - source_size)), greatest(0, least(size, goal - start - 2 * source_size))] as takes from p)
-select doc_id, size, source_size, target, cast(list_sum(takes) as bigint) as taken, cast(len(list_filter(takes, lambda x: x > 0)) as bigint) as copies from q
+q as (select *, [greatest(0, least(size, goal - start)), greatest(0, least(size, goal - start - source_size)), greatest(0, least(size, goal - start - 2 * source_size))] as takes from p),
+u as (select *, case when takes[1] > 0 then (start + takes[1] / 2.0::double) / goal end as used from q),
+f as (select *, case when slope = 0 then used else (sqrt((1 - slope) * (1 - slope) + 4 * slope * used) - (1 - slope)) / (2 * slope) end as first_position from u)
+select doc_id, size, source_size, target, cast(list_sum(takes) as bigint) as taken, cast(len(list_filter(takes, lambda x: x > 0)) as bigint) as copies,
+  first_position, case when first_position is not null then row_number() over (order by first_position nulls last, doc_id nulls first, size) end as training_rank from f
 """)
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planned = mixing.plan(table(spark, sf_dir, "documents"))
+    planned = mixing.in_training_order(mixing.plan(table(spark, sf_dir, "documents")))
     taken = F.aggregate("copies", F.lit(0).cast("long"), lambda n, c: n + c["take"])
     return planned.select(
-        "doc_id", "size", "source_size", "target", taken.alias("taken"), F.size("copies").cast("long").alias("copies"))
+        "doc_id", "size", "source_size", "target", taken.alias("taken"), F.size("copies").cast("long").alias("copies"),
+        "first_position", "training_rank")
 
 
 def _rules_sql() -> str:
@@ -108,7 +112,7 @@ _STOP_SQL = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
 
 
 @query("op10_quality_rules", rf"""
-with d as (select doc_id, row_number() over () as r, coalesce(text, '') as t, {_SPACED} as w from documents),
+with d as (select doc_id, row_number() over () as r, coalesce(text, '') as t, {_LOWER} as low, {_SPACED} as w from documents),
 g as (select r, unnest(range(1, len(w) - 1)) as i, unnest(list_transform(range(1, len(w) - 1), lambda i: [w[i], w[i + 1], w[i + 2]])) as gram from d where len(w) >= 3),
 f as (select r, i from (select r, i, count(*) over (partition by r, gram) as n from g) where n > 1),
 p as (select r, count(distinct j) as n_repeat_words from (select r, unnest([i, i + 1, i + 2]) as j from f) group by r),
@@ -116,12 +120,13 @@ m as (select doc_id, d.r, cast(len(w) as bigint) as n_words, cast(length(array_t
     cast(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) as bigint) as n_symbols,
     cast(length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) as bigint) as n_letters,
     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines,
-    cast(len(list_filter(list_distinct(w), lambda x: x in ({_STOP_SQL}))) as bigint) as n_stop_words
+    regexp_extract_all(low, '\p{{Latin}}+') as latin, cast(len(latin) as bigint) as n_latin_words,
+    cast(len(list_filter(latin, lambda x: x in ({_STOP_SQL}))) as bigint) as n_stop_words
   from d),
 a as (select m.*, len(lines) as n_lines, cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines, cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words
   from m left join p on m.r = p.r)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, {_rules_sql()} as kept
+  n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, {_rules_sql()} as kept, n_latin_words, n_stop_words
 from a
 """)
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +134,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = {r.name: r for r in quality_rules.RULES}
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        (quality_rules.failed(base["words"]) | quality_rules.failed(base["repeated_words"])).alias("base_failed"), "kept")
+        (quality_rules.failed(base["words"]) | quality_rules.failed(base["repeated_words"])).alias("base_failed"), "kept",
+        "n_latin_words", "n_stop_words")
 
 
 def fold(divisor: int):
