@@ -37,7 +37,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hemline.llm.common import keep, small_batches, text_key, without
@@ -154,39 +154,63 @@ def list_keys(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
 
 
-def shingle_sets(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, text_key, n_shingles, set_id, short_id, list_keys) of every row.
+def _digests(hashes: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit digests of a set; the first, signed, is its short id."""
+    first = int(mixed(hashes ^ _ODD).sum(dtype=np.uint64))
+    return first, int(mixed(hashes * _ODD + _MIX).sum(dtype=np.uint64))
 
-    ``list_keys`` is empty when the task has given the lists of an equal set already.
-    """
+
+def _signed(digest: int) -> int:
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
+def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """(doc_id, text_key, n_shingles, set_id, short_id) of every row."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[str] = set()
         for batch in batches:
-            sizes, ids, shorts, lists, ends = [], [], [], [], [0]
+            sizes, ids, shorts = [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = shingle_hashes(words_of(text), words)
-                first = int(mixed(hashes ^ _ODD).sum(dtype=np.uint64))
-                second = int(mixed(hashes * _ODD + _MIX).sum(dtype=np.uint64))
+                first, second = _digests(hashes)
                 sizes.append(len(hashes))
                 ids.append(f"{first:016x}{second:016x}{len(hashes):x}")
-                shorts.append(first - (1 << 64) if first >> 63 else first)
-                if ids[-1] not in seen:
-                    seen = set() if len(seen) >= SEEN else seen
-                    seen.add(ids[-1])
-                    lists.append(list_keys(hashes, percent))
-                    ends.append(ends[-1] + len(lists[-1]))
-                else:
-                    ends.append(ends[-1])
-            keys = pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64), pa.int64())
+                shorts.append(_signed(first))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(ids, pa.string()),
-                 pa.array(shorts, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), keys)],
-                names=["doc_id", "text_key", "n_shingles", "set_id", "short_id", "list_keys"])
+                 pa.array(shorts, pa.int64())],
+                names=["doc_id", "text_key", "n_shingles", "set_id", "short_id"])
+
+    return keyed(docs).mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_id string, short_id long")
 
-    return keyed(docs).mapInArrow(
-        run, "doc_id long, text_key long, n_shingles long, set_id string, short_id long, list_keys array<long>")
+
+def set_lists(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(short_id, list_keys) of the sets, which a task gives once for equal sets.
+
+    The lists are as large as the texts, so they are made from the texts where they are shuffled
+    and never written.
+    """
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            shorts, lists, ends = [], [np.zeros(0, np.int64)], [0]
+            for text in batch.column("text").to_pylist():
+                hashes = shingle_hashes(words_of(text), words)
+                digests = _digests(hashes)
+                if digests in seen or not len(hashes):
+                    continue
+                seen = set() if len(seen) >= SEEN else seen
+                seen.add(digests)
+                shorts.append(_signed(digests[0]))
+                lists.append(list_keys(hashes, percent))
+                ends.append(ends[-1] + len(lists[-1]))
+            keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists), pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(shorts, pa.int64()), keys], names=["short_id", "list_keys"])
+
+    return docs.select("text").mapInArrow(run, "short_id long, list_keys array<long>")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -194,12 +218,16 @@ def keyed(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), F.col("text"))
 
 
-def hub_members(sets: DataFrame) -> DataFrame:
-    """(hub, short_id): sets that share a list, by the smallest set of the list."""
-    entries = sets.select("short_id", F.explode_outer("list_keys").alias("key")).where(F.col("key").isNotNull())
-    shared = entries.groupBy("key").agg(F.min("short_id").alias("hub"), F.max("short_id").alias("other")).where(F.col("hub") < F.col("other"))
-    joined = entries.join(shared.select("key", "hub"), "key")
-    return joined.select("hub", "short_id").distinct()
+def hub_members(lists: DataFrame) -> DataFrame:
+    """(hub, short_id): sets that share a list, by the smallest set of the list.
+
+    The entries are shuffled once, and lists of one set end there. A task reads a list of many sets
+    row by row and may spill it.
+    """
+    entries = lists.select("short_id", F.explode("list_keys").alias("key"))
+    sharing = Window.partitionBy("key")
+    shared = entries.select("short_id", F.min("short_id").over(sharing).alias("hub"), F.max("short_id").over(sharing).alias("other"))
+    return shared.where(F.col("hub") < F.col("other")).select("hub", "short_id").distinct()
 
 
 def _exact_sets(texts: list[str], length: int = WORDS) -> list[np.ndarray]:
@@ -355,8 +383,8 @@ def near_duplicate_groups(
     docs: DataFrame, piece: int = PIECE, broadcast_rows: int = BROADCAST_ROWS, words: int = WORDS, percent: int = PERCENT,
 ) -> DataFrame:
     """doc_id, text_key, n_shingles and component_id (smallest doc_id reachable by links) of every row."""
-    sets = keep(shingle_sets(docs, words, percent), "shingle-sets")
-    links = verified_links(hub_members(sets), sets.drop("list_keys"), docs, piece, broadcast_rows, words, percent)
+    sets = keep(shingle_sets(docs, words), "shingle-sets")
+    links = verified_links(hub_members(set_lists(docs, words, percent)), sets, docs, piece, broadcast_rows, words, percent)
     labels = components(links)
     classes = sets.groupBy("set_id").agg(F.min("doc_id").alias("first_id"))
     labelled = classes.join(labels, classes["set_id"] == labels["node"], "left").select(

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 
 import corpus_pipeline
 from hemline.llm import jaccard_join
+from hemline.llm.common import keep
 
 from .test_pairs import variants
 
@@ -78,3 +79,21 @@ def test_codes_tell_all_shingles_apart():
         coded = jaccard_join._exact_sets(texts, length)
         assert [len(c) for c in coded[:4]] == [len(s) for s in sets[:4]]
         assert len(np.unique(np.concatenate(coded[:4]))) == len(set().union(*sets[:4]))
+
+
+def test_lists_are_shuffled_once_and_not_written(spark, monkeypatch):
+    r = random.Random(6)
+    rows = [(i, " ".join(f"w{r.randrange(10**6)}" for _ in range(300))) for i in range(200)]
+    rows += [(1_000 + i, t + " x") for i, t in rows[:5]]
+    written = {}
+
+    def noted(df, label):
+        written[label] = (df.dtypes, df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, label)
+
+    monkeypatch.setattr(jaccard_join, "keep", noted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.near_duplicate_groups(docs, words=5, percent=80).collect()
+    assert sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in got) == groups(rows, 5, 80)
+    assert not [label for label, (types, _) in written.items() if any(t.startswith("array") for _, t in types)]
+    assert written["hub-members"][1].count("Exchange hashpartitioning(key#") == 1
